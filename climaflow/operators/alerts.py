@@ -61,8 +61,9 @@ def sustained(df: DataFrame, flagged: Column, hold_s: int, key: str = "station")
     result is bounded by the calendar. Only buckets at the ends of a long enough run are then
     looked up again for the exact first and last flagged sample.
     """
-    rows = df.select(F.col(key), "ts", flagged.alias("flag")).where(F.col("ts").isNotNull() & F.col("flag").isNotNull())
-    rows = rows.withColumn("bucket", F.floor(epoch_seconds("ts") / hold_s))
+    rows = df.select(F.col(key), "ts", flagged.alias("flag"))
+    rows = rows.where(F.col(key).isNotNull() & F.col("ts").isNotNull() & F.col("flag").isNotNull())
+    rows = rows.withColumn("bucket", F.floor(epoch_seconds("ts") / hold_s)).where(F.col("bucket").isNotNull())
     calm = F.when(~F.col("flag"), F.col("ts"))
     buckets = rows.groupBy(key, "bucket").agg(
         F.min("ts").alias("lo"), F.max("ts").alias("hi"),

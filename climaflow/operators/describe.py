@@ -28,6 +28,7 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
         .groupBy("name", "v")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("block", F.floor(F.col("v") / BLOCK))
+        .where(F.col("block").isNotNull())  # same subplan in both branches below: one shuffle
     )
     by_block = W.partitionBy("name").orderBy("block")
     blocks = (

@@ -12,6 +12,15 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 DAY = 86400
 
 
+def _in_chunks(df: DataFrame, keys: tuple[str, ...], chunk: Column) -> DataFrame:
+    """Rows with their chunk. The null test is spelled out so that both branches of the join that
+    follows read the same subplan and Spark runs its shuffle once."""
+    chunked = df.withColumn("_chunk", chunk)
+    for c in (*keys, "_chunk"):
+        chunked = chunked.where(F.col(c).isNotNull())
+    return chunked
+
+
 def running_totals(df: DataFrame, seq: str, totals: dict[str, str], keys: tuple[str, ...] = (),
                    width: int = 65536) -> DataFrame:
     """Running sums in ``seq`` order; ``totals`` maps output name to input column.
@@ -19,7 +28,7 @@ def running_totals(df: DataFrame, seq: str, totals: dict[str, str], keys: tuple[
     ``seq`` is a whole number, unique per key, so a chunk of ``width`` numbers holds at most
     ``width`` rows. Chunk totals are summed first and their running sums added to each chunk.
     """
-    chunked = df.withColumn("_chunk", F.floor(F.col(seq) / width))
+    chunked = _in_chunks(df, keys, F.floor(F.col(seq) / width))
     parts = chunked.groupBy(*keys, "_chunk").agg(*[F.sum(src).alias(f"_t_{out}") for out, src in totals.items()])
     before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     offsets = parts.select(
@@ -60,7 +69,7 @@ def previous_row(df: DataFrame, keys: tuple[str, ...], second: str, columns: lis
     Chunks are days, so they hold at most 86,400 rows per key. The first row of a day takes
     the last row of the newest earlier day that has any.
     """
-    chunked = df.withColumn("_chunk", F.floor(F.col(second) / chunk))
+    chunked = _in_chunks(df, keys, F.floor(F.col(second) / chunk))
     edges = chunked.groupBy(*keys, "_chunk").agg(
         F.max(F.struct(second, *[c for c in columns if c != second])).alias("_last")
     )

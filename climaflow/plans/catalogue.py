@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import batch, oracle
+from . import batch, oracle, streams
 
-QUERIES = {**batch.QUERIES}
+QUERIES = {**batch.QUERIES, **streams.QUERIES}
 ORACLE = {**oracle.ORACLE}

@@ -318,4 +318,25 @@ rated AS (SELECT station, CAST(to_timestamp(sec) AT TIME ZONE 'UTC' AS TIMESTAMP
   lead(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS silent_to FROM events)
 SELECT station, silent_from, silent_to, (epoch_us(silent_to) - epoch_us(silent_from)) / 1000000.0::DOUBLE AS gap_s
 FROM g WHERE epoch_us(silent_to) - epoch_us(silent_from) > 60000000""",
+    "stream_window_complete": WINDOW_5M,
+    "stream_update_latest": WINDOW_5M,
+    "stream_restart": WINDOW_5M,
+    "stream_late_drop": WINDOW_5M.replace("FROM r GROUP BY ALL", """FROM r,
+  (SELECT min(epoch_us(ts)) AS t0, max(epoch_us(ts)) AS t1 FROM events)
+  WHERE least(floor((epoch_us(ts) - t0) * 4 / (t1 - t0)), 3) IN (0, 3) GROUP BY ALL"""),
+    "stream_snapshot_heatmap": f"""WITH {READINGS}
+SELECT station, hour_of_day, {_cents_mean('sum(c)', 'count(*)')} AS avg_temp, count(*) AS events FROM r GROUP BY ALL""",
+    "stream_sustained": f"WITH {READINGS} {_islands('r', 'temp > 30 OR temp < -10', 300)}",
+    "stream_silence": """WITH g AS (SELECT event_type AS station, ts AS silent_from,
+  lead(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS silent_to FROM events)
+SELECT station, silent_from, silent_to FROM g
+WHERE epoch_us(coalesce(silent_to, (SELECT max(ts) FROM events))) - epoch_us(silent_from) > 60000000""",
+    "sink_fanout": f"""WITH {FULL}
+SELECT sink, station, count(*) AS rows, CAST(sum(c) AS BIGINT) AS temp_sum, CAST(sum(humidity) AS BIGINT) AS humidity_sum, max(ts_raw) AS newest
+FROM f, (SELECT unnest(['table', 'csv', 'parquet']) AS sink) GROUP BY ALL""",
+    "parquet_compact": f"""WITH {FULL}
+SELECT 'large' AS sink, station, count(*) AS rows, CAST(sum(c) AS BIGINT) AS temp_sum, CAST(sum(humidity) AS BIGINT) AS humidity_sum, max(ts_raw) AS newest
+FROM f GROUP BY ALL""",
+    "csv_roundtrip": f"""WITH {FULL} SELECT ts_raw, station, temp, feels_like, temp_min, temp_max, humidity,
+  pressure, description, wind, visibility, hour_of_day, day_of_week FROM f""",
 }

@@ -25,7 +25,7 @@ def read_readings(spark: SparkSession, path: str) -> DataFrame:
 
 def training_scan(df: DataFrame, ordered: bool = False) -> DataFrame:
     """Time and temperature of rows that have both; ordered only where the output needs it."""
-    rows = df.select("ts", "temp").dropna(subset=["ts", "temp"])
+    rows = df.select("ts", "temp").where(F.col("ts").isNotNull() & F.col("temp").isNotNull())
     return rows.orderBy("ts") if ordered else rows
 
 
