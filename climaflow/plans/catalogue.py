@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import batch, oracle, streams
+from . import batch, forecasts, oracle, streams
 
-QUERIES = {**batch.QUERIES, **streams.QUERIES}
+QUERIES = {**batch.QUERIES, **streams.QUERIES, **forecasts.QUERIES}
 ORACLE = {**oracle.ORACLE}

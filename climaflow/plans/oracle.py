@@ -190,6 +190,34 @@ _EXPECTED_TEMP = (
     f"(8.5::DOUBLE + 2.5::DOUBLE * cos(2.0::DOUBLE * pi() * ({_DOY} - 172) / 365.0::DOUBLE) + 7.5::DOUBLE * {_WAVE9})"
 )
 
+LABELLED = """
+z AS (SELECT event_id, (ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Lima' AS t, CAST(round(value * 100) AS BIGINT) - 2000 AS c FROM events),
+l AS (SELECT event_id, c, event_id % 5 = 0 AS is_test, CAST(hour(t) AS INTEGER) AS hour_of_day,
+        CAST(isodow(t) - 1 AS INTEGER) AS day_of_week, CAST(month(t) AS INTEGER) AS month, CAST(week(t) AS INTEGER) AS iso_week FROM z)"""
+
+_FEATURES = ("hour_of_day", "day_of_week", "month", "iso_week")
+
+
+def _knn(k: int) -> str:
+    """Brute force over feature cells: all distances, nearest first, the last place shared."""
+    f = ", ".join(_FEATURES)
+    scale = ", ".join(f"CASE WHEN var_pop({c}) > 1e-12 THEN stddev_pop({c}) ELSE 1.0 END AS s_{c}" for c in _FEATURES)
+    gap = " + ".join(f"((q.{c} - t.{c}) / s_{c}) * ((q.{c} - t.{c}) / s_{c})" for c in _FEATURES)
+    return LABELLED + f""",
+tc AS (SELECT {f}, count(*) AS n, sum(c) AS s FROM l WHERE NOT is_test GROUP BY ALL),
+sc AS (SELECT {scale} FROM l WHERE NOT is_test),
+qc AS (SELECT DISTINCT {f} FROM l WHERE is_test),
+pr AS (SELECT {', '.join('q.' + c for c in _FEATURES)}, round({gap}, 9) AS d, sum(t.n) AS n, sum(t.s) AS s FROM qc q, tc t, sc GROUP BY ALL),
+bf AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY {f} ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM pr),
+tk AS (SELECT *, least(n, {k} - before) AS take FROM bf WHERE before < {k}),
+knn AS (SELECT {f}, sum(take::DOUBLE * s / n) / sum(take) / 100.0::DOUBLE AS p FROM tk GROUP BY ALL)"""
+
+
+BASELINES = READINGS + """,
+p AS (SELECT station, temp, 8.5::DOUBLE + 2.5::DOUBLE * cos(2.0::DOUBLE * pi() * (dayofyear(ts) - 172) / 365.0::DOUBLE)
+        + 7.5::DOUBLE * sin(2.0::DOUBLE * pi() * (hour(ts) - 9.0::DOUBLE) / 24.0::DOUBLE) AS curve,
+        10.0::DOUBLE AS constant, humidity / 2.0::DOUBLE AS humid FROM r)"""
+
 ORACLE = {
     "window_agg_5m": WINDOW_5M,
     "window_agg_notebook": _window_sql(
@@ -339,4 +367,40 @@ SELECT 'large' AS sink, station, count(*) AS rows, CAST(sum(c) AS BIGINT) AS tem
 FROM f GROUP BY ALL""",
     "csv_roundtrip": f"""WITH {FULL} SELECT ts_raw, station, temp, feels_like, temp_min, temp_max, humidity,
   pressure, description, wind, visibility, hour_of_day, day_of_week FROM f""",
+    "split_counts": f"""WITH {LABELLED}
+SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, count(*) AS rows, CAST(sum(c) AS BIGINT) AS temp_sum FROM l GROUP BY 1""",
+    "knn_predict": f"WITH {_knn(5)} SELECT hour_of_day, day_of_week, month, iso_week, round(p, 6) AS knn FROM knn",
+    "knn_predict_200": f"WITH {_knn(200)} SELECT hour_of_day, day_of_week, month, iso_week, round(p, 6) AS knn FROM knn",
+    "knn_metrics": f"""WITH {_knn(5)},
+e AS (SELECT c / 100.0::DOUBLE AS y, p FROM l JOIN knn USING (hour_of_day, day_of_week, month, iso_week) WHERE is_test)
+SELECT 'knn' AS model, count(*) AS rows, round(avg(abs(y - p)), 6) AS mae, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
+  round(1 - sum((y - p) * (y - p)) / (sum(y * y) - sum(y) * sum(y) / count(*)), 6) AS r2 FROM e""",
+    "baseline_scores": f"WITH {BASELINES} " + " UNION ALL ".join(
+        f"""SELECT '{m}' AS model, count(*) AS rows, round(avg(abs(temp - {m})), 6) AS mae, round(sqrt(avg((temp - {m}) * (temp - {m}))), 6) AS rmse,
+  round(1 - sum((temp - {m}) * (temp - {m})) / (sum(temp * temp) - sum(temp) * sum(temp) / count(*)), 6) AS r2 FROM p"""
+        for m in ("curve", "constant", "humid")
+    ),
+    "baseline_best": f"WITH {BASELINES}, s AS (" + " UNION ALL ".join(
+        f"SELECT station, '{m}' AS model, {i} AS place, round(avg(abs(temp - {m})), 2) AS mae FROM p GROUP BY station"
+        for i, m in enumerate(("curve", "constant", "humid"))
+    ) + ") SELECT station, model, mae FROM s QUALIFY row_number() OVER (PARTITION BY station ORDER BY mae, place) = 1",
+    "series_stats": f"""WITH {READINGS}, h AS (SELECT station AS model, {_cents_mean('sum(c)', 'count(*)')} AS value FROM r GROUP BY station, hour(ts)),
+v AS (SELECT model, CAST(round(value * 100) AS BIGINT) AS c FROM h)
+SELECT model, {_cents_mean('sum(c)', 'count(*)')} AS avg, min(c) / 100.0::DOUBLE AS min, max(c) / 100.0::DOUBLE AS max FROM v GROUP BY model""",
+    "trend_grids": """WITH b AS (SELECT CAST(max(ts) AS DATE) AS base FROM events),
+hours AS (SELECT CAST(range AS INTEGER) AS h FROM range(5, 21)),
+days AS (SELECT m.mode, CAST(i.range AS INTEGER) AS position, base + CAST(i.range AS INTEGER) AS d
+         FROM b, (VALUES ('week', 7), ('month', 30)) m(mode, n), range(30) i WHERE i.range < m.n),
+months AS (SELECT CAST(range AS INTEGER) AS position, CAST((month(base) - 1 + range) % 12 + 1 AS INTEGER) AS m FROM b, range(12))
+SELECT 'day' AS mode, h AS position, lpad(CAST(h AS VARCHAR), 2, '0') || ':00h' AS label, h AS hour_of_day,
+  CAST(isodow(base) - 1 AS INTEGER) AS day_of_week, CAST(month(base) AS INTEGER) AS month, CAST(week(base) AS INTEGER) AS iso_week FROM b, hours
+UNION ALL
+SELECT mode, position, CASE WHEN mode = 'week' THEN ['Lunes','Martes','Miércoles','Jueves','Viernes','Sábado','Domingo'][isodow(d)]
+  ELSE day(d) || '/' || month(d) END, h, CAST(isodow(d) - 1 AS INTEGER), CAST(month(d) AS INTEGER), CAST(week(d) AS INTEGER) FROM days, hours
+UNION ALL
+SELECT 'year', position, ['Enero','Febrero','Marzo','Abril','Mayo','Junio','Julio','Agosto','Septiembre','Octubre','Noviembre','Diciembre'][m],
+  h, CAST(w.range AS INTEGER), m, [2, 6, 11, 15, 20, 24, 28, 33, 37, 41, 46, 50][m] FROM months, hours, range(7) w""",
+    "model_roundtrip": f"""WITH {LABELLED}, q AS (SELECT DISTINCT hour_of_day, day_of_week, month, iso_week FROM l)
+SELECT model, count(*) AS points, count(*) AS equal_points
+FROM q, (SELECT unnest(['ridge', 'random_forest', 'gradient_boosting', 'knn', 'best']) AS model) GROUP BY model""",
 }
