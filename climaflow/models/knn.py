@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -36,80 +35,95 @@ def _distance(features: list[str], scale: dict[str, float]) -> Column:
 
 
 def _vote(near: DataFrame, features: list[str], k: int) -> DataFrame:
-    """Mean of the k nearest rows. Cells at the k-th distance share the places that are left."""
+    """Mean of the k nearest rows and how many rows were found (at most k). Cells at the k-th
+    distance share the places that are left."""
     by_distance = near.groupBy(*features, "d").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     ahead = W.partitionBy(*features).orderBy("d").rowsBetween(W.unboundedPreceding, -1)
     placed = by_distance.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
     used = placed.where(F.col("before") < k).withColumn("take", F.least(F.col("n"), k - F.col("before")))
     return used.groupBy(*features).agg(
-        (F.sum(F.col("take") * F.col("s") / F.col("n")) / F.sum("take") / 100.0).alias("knn")
+        F.sum("take").alias("found"),
+        (F.sum(F.col("take") * F.col("s") / F.col("n")) / F.sum("take") / 100.0).alias("knn"),
     )
 
 
-def _blocks(prefix: str, features: list[str], scale: dict[str, float], size: float) -> list[Column]:
-    return [F.floor(F.col(f"{prefix}{f}") / F.lit(scale[f]) / F.lit(size)).alias(f"b_{f}") for f in features]
+def _blocks(prefix: str, features: list[str], scale: dict[str, float]) -> dict[str, Column]:
+    return {f"b_{f}": F.floor(F.col(f"{prefix}{f}") / F.lit(scale[f]) / F.col("size")) for f in features}
 
 
-def _within(train: DataFrame, queries: DataFrame, features, scale, radius: float) -> DataFrame:
-    """Query and training cells no further apart than ``radius``, matched by grid block.
+def _within(train: DataFrame, queries: DataFrame, features, scale, unit: float, levels: list[int]) -> DataFrame:
+    """Query and training cells no further apart than the query's radius, ``unit * 2^level``.
 
-    With blocks a little wider than the radius, all such cells lie in the query's own block or
-    one next to it, so an equality join on the block finds them.
+    Each level has its own grid, with blocks a little wider than the radius: all such cells lie in
+    the query's block or one next to it, so an equality join on level and block finds them.
     """
-    size = radius * 1.001
+    size = F.pow(F.lit(2.0), F.col("level")) * F.lit(unit * 1.001)
     t = train.select(
-        *[F.col(f).alias(f"t_{f}") for f in features], "n", "s"
-    )
-    t = t.select("*", *_blocks("t_", features, scale, size))
-    q = queries.select(*[F.col(f).alias(f"q_{f}") for f in features])
-    around = F.explode(F.array(*[
-        F.struct(*[F.lit(o).alias(f"o_{f}") for f, o in zip(features, offsets)])
-        for offsets in itertools.product((-1, 0, 1), repeat=len(features))
-    ]))
-    q = q.select("*", *_blocks("q_", features, scale, size), around.alias("o")).select(
-        *[f"q_{f}" for f in features],
-        *[(F.col(f"b_{f}") + F.col(f"o.o_{f}")).alias(f"b_{f}") for f in features],
-    )
-    pairs = q.join(t, [f"b_{f}" for f in features]).withColumn("d", _distance(features, scale))
-    near = pairs.where(F.col("d") <= round(radius * radius, DISTANCE_DIGITS))
+        *[F.col(f).alias(f"t_{f}") for f in features], "n", "s",
+        F.explode(F.array(*[F.lit(v) for v in levels])).alias("level"),
+    ).withColumn("size", size)
+    t = t.withColumns(_blocks("t_", features, scale)).drop("size")
+    q = queries.select(*[F.col(f).alias(f"q_{f}") for f in features], "level").withColumn("size", size)
+    q = q.withColumns(_blocks("q_", features, scale))
+    for f in features:
+        beside = F.explode(F.array(F.col(f"b_{f}") - 1, F.col(f"b_{f}"), F.col(f"b_{f}") + 1))
+        q = q.withColumn(f"b_{f}", beside)
+    pairs = q.join(t, ["level", *[f"b_{f}" for f in features]]).withColumn("d", _distance(features, scale))
+    radius = F.col("size") / 1.001
+    near = pairs.where(F.col("d") <= F.round(radius * radius, DISTANCE_DIGITS))
     return near.select(*[F.col(f"q_{f}").alias(f) for f in features], "d", "n", "s")
 
 
+def _nearest_gap(x: Column, values: list[float]) -> Column:
+    return F.array_min(F.transform(F.array(*[F.lit(v) for v in values]), lambda v: F.abs(v - x)))
+
+
 def predict(train: DataFrame, queries: DataFrame, features: list[str], k: int = K,
             scale: dict[str, float] | None = None) -> DataFrame:
     """Prediction ``knn`` per distinct query cell.
 
     ``train`` has one row per feature combination with row count ``n`` and sum of hundredths
     ``s``. A query whose own cell holds k rows needs no neighbour. The others look within a
-    radius that doubles until k rows are found, so crowded regions stay local and only queries in
-    sparse regions look far. Nothing is capped: the last radius spans all cells.
+    radius of their own, which starts just beyond the nearest possible neighbour and grows
+    by doubling until k rows are found: crowded regions stay local, and only queries in sparse regions look
+    far. Nothing is capped: the last radius of a query spans all cells.
     """
     scale = scale or scales(train, features)
-    todo = queries.select(*features).distinct().checkpoint()
-    own = train.select(*features, F.lit(0.0).alias("d"), "n", "s")
-    done: list[DataFrame] = []
-
-    def settle(near: DataFrame, todo: DataFrame, final: bool) -> DataFrame:
-        counted = near.groupBy(*features).agg(F.sum("n").alias("_have"))
-        ready = counted.where(F.lit(final) | (F.col("_have") >= k)).select(*features)
-        done.append(_vote(near.join(ready, features, "left_semi"), features, k))
-        return todo.join(ready, features, "left_anti").checkpoint()
-
-    todo = settle(own.join(todo, features, "left_semi"), todo, False)
-    if not todo.isEmpty():
-        spans = train.select(*features).unionByName(queries.select(*features)).agg(
-            *[(F.max(f) - F.min(f)).cast("double").alias(f) for f in features]
-        ).first()
-        reach = math.sqrt(sum((spans[f] / scale[f]) ** 2 for f in features)) + 1e-6
-        steps = sorted(1.0 / s for s in scale.values())
-        radius = steps[len(steps) // 2]
-        while not todo.isEmpty():
-            final = radius >= reach
-            todo = settle(_within(train, todo, features, scale, radius), todo, final)
-            if final:
-                break
-            radius = min(radius * 2, reach)
+    taken = train.agg(*[F.collect_set(F.col(f).cast("double")).alias(f) for f in features]).first()
+
+    # Per feature, the distance to the nearest value any training cell has. Together they bound the
+    # distance to the nearest cell from below. The value lists are short: features are whole numbers
+    # of a small range (hours, weekdays, months, weeks, degrees).
+    away2 = F.lit(0.0)
+    for f in features:
+        gap = _nearest_gap(F.col(f), sorted(taken[f])) / F.lit(scale[f])
+        away2 = away2 + gap * gap
+    farthest = F.lit(0.0)
+    for f in features:
+        gap = F.greatest(F.lit(max(taken[f])) - F.col(f), F.col(f) - F.lit(min(taken[f]))) / F.lit(scale[f])
+        farthest = farthest + gap * gap
+    steps = sorted(1.0 / s for s in scale.values())
+    unit = steps[len(steps) // 2]
+
+    def level_of(reach: Column) -> Column:
+        """Lowest level whose radius covers ``reach``."""
+        return F.greatest(F.ceil(F.log2(reach / F.lit(unit))), F.lit(0)).cast("int")
+
+    todo = queries.select(*features).distinct().withColumns({
+        "level": level_of(F.sqrt(away2) + F.lit(unit)), "last": level_of(F.sqrt(farthest) + F.lit(1e-6)),
+    }).checkpoint()
+    own = train.select(*features, F.lit(0.0).alias("d"), "n", "s").join(todo.select(*features), features, "left_semi")
+    voted = _vote(own, features, k).where(F.col("found") >= k).checkpoint()
+    done = [voted]
+    todo = todo.join(voted, features, "left_anti")
+    while levels := sorted(r["level"] for r in todo.select("level").distinct().collect()):
+        votes = _vote(_within(train, todo, features, scale, unit, levels), features, k)
+        settled = F.coalesce(F.col("found") >= k, F.lit(False)) | (F.col("level") >= F.col("last"))
+        outcome = todo.join(votes, features, "left").withColumn("settled", settled).checkpoint()
+        done.append(outcome.where("settled").select(*voted.columns))
+        step = F.when(F.col("found").isNull(), 2).otherwise(1)
+        todo = outcome.where("not settled").select(*features, (F.col("level") + step).alias("level"), "last")
     result = done[0]
     for part in done[1:]:
         result = result.unionByName(part)
-    return result
+    return result.drop("found")

@@ -66,5 +66,9 @@ def first_rows(df: DataFrame, k: int = 10) -> DataFrame:
 
 
 def latest_per_key(revisions: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """Newest revision of each key of an update-mode output."""
-    return top_k(revisions, keys, [F.col(version).desc()], 1, "_p").drop("_p")
+    """Newest revision of each key of an update-mode output.
+
+    Keys are many and have few revisions each, so one ranking level is enough.
+    """
+    w = W.partitionBy(*keys).orderBy(F.col(version).desc())
+    return revisions.withColumn("_p", F.row_number().over(w)).where("_p = 1").drop("_p")

@@ -17,14 +17,19 @@ def _rows(spark, d) -> DataFrame:
     return ft.labelled(readings(events(spark, d)))
 
 
+_LOADED: dict[str, temperature.TemperatureModels] = {}
+
+
 def _models(spark: SparkSession, d: str) -> temperature.TemperatureModels:
-    """Models of this table, trained once per application and loaded from the shared folder after."""
+    """Models of this table: trained and saved once per application, then kept loaded."""
     name = hashlib.sha1(d.encode()).hexdigest()[:12]
     path = f"{shared_dir(spark)}/models-{spark.sparkContext.applicationId}-{name}"
-    models, reason = temperature.fit_or_load(readings(events(spark, d)), path)
-    if models is None:
-        raise ValueError(reason)
-    return models
+    if path not in _LOADED:
+        models, reason = temperature.fit_or_load(readings(events(spark, d)), path)
+        if models is None:
+            raise ValueError(reason)
+        _LOADED[path] = models
+    return _LOADED[path]
 
 
 def split_counts(spark, d):

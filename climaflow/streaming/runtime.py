@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -111,3 +113,41 @@ def batch_metrics(query: StreamingQuery, trial: int = 0) -> list[tuple]:
 
 def metrics_frame(spark: SparkSession, metrics: list[tuple]) -> DataFrame:
     return spark.createDataFrame(metrics, METRIC_SCHEMA)
+
+
+class Metered:
+    """Batch callback that runs another one and records rows, seconds and rows per second.
+
+    Rows are counted while the inner callback reads the batch, not by a pass of their own; a
+    callback that reads the batch more than once should persist it, as ``FanOut`` does.
+    """
+
+    def __init__(self, inner: Callable[[DataFrame, int], None], out: str, trial: int = 0):
+        self.inner, self.out, self.trial = inner, out, trial
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        seen, began = Observation(), time.time()
+        self.inner(batch.observe(seen, F.count(F.lit(1)).alias("rows")), batch_id)
+        seconds, rows = round(time.time() - began, 3), seen.get["rows"]
+        metric = (self.trial, batch_id, rows, seconds, round(rows / max(seconds, 0.001), 2))
+        frame = metrics_frame(batch.sparkSession, [metric]).coalesce(1)
+        frame.write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
+
+
+def topic_offsets(progress: dict) -> list[tuple]:
+    """Rows ``topic, partition, end_offset, current_offset`` of the Kafka sources in a progress report."""
+    found = []
+    for source in progress.get("sources", []):
+        newest, reached = (
+            json.loads(v) if isinstance(v := source.get(k) or "{}", str) else v for k in ("latestOffset", "endOffset")
+        )
+        for topic, partitions in newest.items():
+            for partition, end in partitions.items():
+                found.append((topic, int(partition), int(end), int(reached.get(topic, {}).get(partition, 0))))
+    return found
+
+
+def offsets_frame(spark: SparkSession, progress: dict) -> DataFrame:
+    return spark.createDataFrame(
+        topic_offsets(progress), "topic string, partition int, end_offset bigint, current_offset bigint"
+    )
