@@ -14,8 +14,9 @@ from ..functions.fixedpoint import exact_mean_of_hundredths, hundredths
 
 TEST_EVERY = 5
 MIN_ROWS = 20
-# Partitions of a cell table: enough for parallel tree building, fixed so that fits repeat.
-CELL_PARTITIONS = 8
+# Partitions of a cell table, fixed so that fits repeat. At most 107k rows: few tasks per job
+# matter more than many cores, as boosting runs hundreds of small jobs.
+CELL_PARTITIONS = 2
 
 
 def is_test(key: str = "event_id") -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -10,20 +11,32 @@ K = 5
 DISTANCE_DIGITS = 9
 
 
-def scales(train: DataFrame, features: list[str], weight: str = "n") -> dict[str, float]:
-    """Population deviation of each feature over the rows behind the cells; 1 where constant."""
-    n = F.col(weight).cast("double")
+@dataclass(frozen=True)
+class Profile:
+    """Scale and occurring values of each feature of the training cells."""
+
+    scale: dict[str, float]
+    values: dict[str, list[float]]
+
+
+def profile(train: DataFrame, features: list[str]) -> Profile:
+    """Population deviation over the rows behind the cells (1 where constant) and value lists.
+
+    The lists are short: features are whole numbers of a small range (hours, weekdays, months,
+    weeks, degrees).
+    """
+    n = F.col("n").cast("double")
     sums = [F.sum(n).alias("n")]
     for f in features:
         x = F.col(f).cast("double")
-        sums += [F.sum(n * x).alias(f"{f}_1"), F.sum(n * x * x).alias(f"{f}_2")]
+        sums += [F.sum(n * x).alias(f"{f}_1"), F.sum(n * x * x).alias(f"{f}_2"), F.collect_set(x).alias(f"{f}_v")]
     row = train.agg(*sums).first()
-    found = {}
+    scale = {}
     for f in features:
         mean = row[f"{f}_1"] / row["n"]
         variance = row[f"{f}_2"] / row["n"] - mean * mean
-        found[f] = math.sqrt(variance) if variance > 1e-12 else 1.0
-    return found
+        scale[f] = math.sqrt(variance) if variance > 1e-12 else 1.0
+    return Profile(scale, {f: sorted(row[f"{f}_v"]) for f in features})
 
 
 def _distance(features: list[str], scale: dict[str, float]) -> Column:
@@ -79,29 +92,26 @@ def _nearest_gap(x: Column, values: list[float]) -> Column:
 
 
 def predict(train: DataFrame, queries: DataFrame, features: list[str], k: int = K,
-            scale: dict[str, float] | None = None) -> DataFrame:
+            known: Profile | None = None) -> DataFrame:
     """Prediction ``knn`` per distinct query cell.
 
     ``train`` has one row per feature combination with row count ``n`` and sum of hundredths
     ``s``. A query whose own cell holds k rows needs no neighbour. The others look within a
     radius of their own, which starts just beyond the nearest possible neighbour and grows
-    by doubling until k rows are found: crowded regions stay local, and only queries in sparse regions look
-    far. Nothing is capped: the last radius of a query spans all cells.
+    by doubling until k rows are found: crowded regions stay local, and only queries in sparse
+    regions look far. Nothing is capped: the last radius of a query spans all cells.
     """
-    scale = scale or scales(train, features)
-    taken = train.agg(*[F.collect_set(F.col(f).cast("double")).alias(f) for f in features]).first()
+    known = known or profile(train, features)
+    scale = known.scale
 
-    # Per feature, the distance to the nearest value any training cell has. Together they bound the
-    # distance to the nearest cell from below. The value lists are short: features are whole numbers
-    # of a small range (hours, weekdays, months, weeks, degrees).
-    away2 = F.lit(0.0)
-    for f in features:
-        gap = _nearest_gap(F.col(f), sorted(taken[f])) / F.lit(scale[f])
-        away2 = away2 + gap * gap
-    farthest = F.lit(0.0)
+    # Per feature, the distance to the nearest value any training cell has, and to the farthest.
+    # Together they bound the distance to the nearest and the farthest cell.
+    nearest2, farthest2 = F.lit(0.0), F.lit(0.0)
     for f in features:
-        gap = F.greatest(F.lit(max(taken[f])) - F.col(f), F.col(f) - F.lit(min(taken[f]))) / F.lit(scale[f])
-        farthest = farthest + gap * gap
+        values, x = known.values[f], F.col(f)
+        near = _nearest_gap(x, values) / F.lit(scale[f])
+        far = F.greatest(F.lit(values[-1]) - x, x - F.lit(values[0])) / F.lit(scale[f])
+        nearest2, farthest2 = nearest2 + near * near, farthest2 + far * far
     steps = sorted(1.0 / s for s in scale.values())
     unit = steps[len(steps) // 2]
 
@@ -110,20 +120,23 @@ def predict(train: DataFrame, queries: DataFrame, features: list[str], k: int =
         return F.greatest(F.ceil(F.log2(reach / F.lit(unit))), F.lit(0)).cast("int")
 
     todo = queries.select(*features).distinct().withColumns({
-        "level": level_of(F.sqrt(away2) + F.lit(unit)), "last": level_of(F.sqrt(farthest) + F.lit(1e-6)),
-    }).checkpoint()
-    own = train.select(*features, F.lit(0.0).alias("d"), "n", "s").join(todo.select(*features), features, "left_semi")
-    voted = _vote(own, features, k).where(F.col("found") >= k).checkpoint()
-    done = [voted]
-    todo = todo.join(voted, features, "left_anti")
-    while levels := sorted(r["level"] for r in todo.select("level").distinct().collect()):
+        "level": level_of(F.sqrt(nearest2) + F.lit(unit)), "last": level_of(F.sqrt(farthest2) + F.lit(1e-6)),
+    })
+    own = train.select(*features, F.lit(0.0).alias("d"), "n", "s")
+    votes, step, finished = _vote(own, features, k), F.lit(0), F.lit(False)
+    done: list[DataFrame] = []
+    while True:
+        enough = F.coalesce(F.col("found") >= k, F.lit(False))
+        outcome = todo.join(votes, features, "left").withColumn("settled", enough | finished).checkpoint()
+        done.append(outcome.where("settled").select(*features, "knn"))
+        todo = outcome.where("not settled").select(*features, (F.col("level") + step).alias("level"), "last")
+        levels = sorted(r["level"] for r in todo.select("level").distinct().collect())
+        if not levels:
+            break
         votes = _vote(_within(train, todo, features, scale, unit, levels), features, k)
-        settled = F.coalesce(F.col("found") >= k, F.lit(False)) | (F.col("level") >= F.col("last"))
-        outcome = todo.join(votes, features, "left").withColumn("settled", settled).checkpoint()
-        done.append(outcome.where("settled").select(*voted.columns))
         step = F.when(F.col("found").isNull(), 2).otherwise(1)
-        todo = outcome.where("not settled").select(*features, (F.col("level") + step).alias("level"), "last")
+        finished = F.col("level") >= F.col("last")
     result = done[0]
     for part in done[1:]:
         result = result.unionByName(part)
-    return result.drop("found")
+    return result

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -43,6 +44,10 @@ class TemperatureModels:
     best: str = FALLBACK
     meta: dict = field(default_factory=dict)
 
+    @cached_property
+    def neighbours(self) -> knn.Profile:
+        return knn.profile(self.cells, CALENDAR_FEATURES)
+
     @property
     def names(self) -> list[str]:
         return [m for m in MODELS if m in self.pipelines or (m == "knn" and self.cells is not None)]
@@ -55,7 +60,7 @@ class TemperatureModels:
             if name in self.pipelines:
                 out = regressors.apply(self.pipelines[name], out)
         if self.cells is not None:
-            near = knn.predict(self.cells, wanted, CALENDAR_FEATURES)
+            near = knn.predict(self.cells, wanted, CALENDAR_FEATURES, known=self.neighbours)
             out = out.join(near, CALENDAR_FEATURES)
         return out
 

@@ -49,10 +49,22 @@ def _day_features(day: str) -> list[Column]:
     ]
 
 
-def trend(models: TemperatureModels, grid: DataFrame) -> DataFrame:
-    """Predicted value per model and point: the mean over the point's grid rows, two decimals."""
-    long = models.long(models.predict_rows(grid), "position", "label")
-    return long.groupBy("model", "position", "label").agg(F.round(F.avg("value"), 2).alias("value"))
+def trend(models: TemperatureModels, grid: DataFrame, *keys: str) -> DataFrame:
+    """Predicted value per model and point: the mean over the point's grid rows, two decimals.
+
+    ``keys`` names columns that tell several grids in one table apart.
+    """
+    long = models.long(models.predict_rows(grid), *keys, "position", "label")
+    return long.groupBy(*keys, "model", "position", "label").agg(F.round(F.avg("value"), 2).alias("value"))
+
+
+def trend_grids(spark: SparkSession, base: Column, hour_from: int = 0, hour_to: int = 23) -> DataFrame:
+    """The grids of all modes in one table, told apart by ``mode``."""
+    parts = [trend_grid(spark, m, base, hour_from, hour_to).select(F.lit(m).alias("mode"), "*") for m in MODES]
+    grids = parts[0]
+    for part in parts[1:]:
+        grids = grids.unionByName(part)
+    return grids
 
 
 def predict_points(models: TemperatureModels, requests: DataFrame) -> DataFrame:

@@ -88,9 +88,10 @@ def quarantine_split(spark, d):
         .when(F.col("event_id") % 17 == 0, F.regexp_replace("value", '"timestamp":"[^"]+"', '"timestamp":"nope"'))
         .otherwise(F.col("value"))
     )
-    good, bad = wire.quarantine_split(e.withColumn("value", broken), "event_id")
-    return good.select("event_id", F.lit("good").alias("outcome"), "temp").unionByName(
-        bad.select("event_id", F.col("reason").alias("outcome"), F.lit(None).cast("double").alias("temp"))
+    checked = wire.decode_checked(e.withColumn("value", broken), "event_id")
+    good = F.col("reason").isNull()
+    return checked.select(
+        "event_id", F.coalesce("reason", F.lit("good")).alias("outcome"), F.when(good, F.col("temp")).alias("temp")
     )
 
 

@@ -121,25 +121,13 @@ def _trend(mode: str):
 
 def trend_grids(spark, d):
     """Grid rows of all four modes from the newest date on, hours 20 to 5 put in order."""
-    parts = [
-        trends.trend_grid(spark, m, _last_day(spark, d), 20, 5).select(F.lit(m).alias("mode"), "*") for m in trends.MODES
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return trends.trend_grids(spark, _last_day(spark, d), 20, 5)
 
 
 def trend_stats(spark, d):
     """Mean, least and largest trend value per mode and model."""
-    models = _models(spark, d)
-    parts = [
-        trends.trend(models, trends.trend_grid(spark, m, _last_day(spark, d))).withColumn("mode", F.lit(m)) for m in trends.MODES
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return scores.series_stats(out, "value", ("mode", "model"))
+    grids = trends.trend_grids(spark, _last_day(spark, d))
+    return scores.series_stats(trends.trend(_models(spark, d), grids, "mode"), "value", ("mode", "model"))
 
 
 def series_stats(spark, d):

@@ -110,15 +110,15 @@ def stream_silence(spark, d):
 
 
 def sink_fanout(spark, d):
-    """Readings to table, CSV and small files; rows and sums read back from each."""
+    """Readings to table, CSV and Parquet files; rows and sums read back from each."""
     root = run_dir(spark, "fanout")
     stream = full_readings(event_stream(spark, _events_path(d)))
     callback = fanout.FanOut(fanout.storage_sinks(root), f"{root}/outcomes")
     runtime.run_available(runtime.each_batch(stream, callback, f"{root}/checkpoint", "append"), spark)
     table = files.read_readings(spark, f"{root}/table/*")
     csv = files.read_stored_csv(spark, f"{root}/csv/*")
-    small = files.to_engine_names(files.read_readings(spark, f"{root}/parquet/*"))
-    return _read_back({"table": table, "csv": csv, "parquet": small})
+    parquet = files.to_engine_names(files.read_readings(spark, f"{root}/parquet/*"))
+    return _read_back({"table": table, "csv": csv, "parquet": parquet})
 
 
 def _read_back(sinks: dict[str, DataFrame]) -> DataFrame:
@@ -136,9 +136,10 @@ def _read_back(sinks: dict[str, DataFrame]) -> DataFrame:
 
 
 def parquet_compact(spark, d):
-    """Small files of 50 rows rewritten as large ones, read back."""
+    """Many small files rewritten as few large ones, read back."""
     root = run_dir(spark, "compact")
-    tables.append_small_parquet(full_readings(events(spark, d)), f"{root}/small")
+    pieces = 8 * spark.sparkContext.defaultParallelism
+    tables.append_parquet(full_readings(events(spark, d)).repartition(pieces), f"{root}/small")
     tables.compact(spark, f"{root}/small", f"{root}/large")
     return _read_back({"large": files.to_engine_names(files.read_readings(spark, f"{root}/large"))})
 

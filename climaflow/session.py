@@ -32,6 +32,7 @@ def local_session(cores: str | int = "*", memory: str = "8g", name: str = "clima
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in REQUIRED.items():

@@ -7,17 +7,17 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
-from .tables import append_csv, append_small_parquet, append_table
+from .tables import append_csv, append_parquet, append_table
 
 Write = Callable[[DataFrame, str], None]
 
 
 def storage_sinks(root: str) -> dict[str, Write]:
-    """Table, CSV and small-file sinks below ``root``, one folder per batch and sink."""
+    """Table, CSV and Parquet sinks below ``root``, one folder per batch and sink."""
     return {
         "table": lambda df, b: append_table(df, f"{root}/table/{b}", "overwrite"),
         "csv": lambda df, b: append_csv(df, f"{root}/csv/{b}", "overwrite"),
-        "parquet": lambda df, b: append_small_parquet(df, f"{root}/parquet/{b}", mode="overwrite"),
+        "parquet": lambda df, b: append_parquet(df, f"{root}/parquet/{b}", mode="overwrite"),
     }
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..schema import STORED_FIELDS, to_wire_names
+from ..schema import to_wire_names
 from ..sources.files import stored_projection
 
-# Fixed value: rows per small micro-batch file.
-SMALL_FILE_ROWS = 50
+# Rows per file of bulk writes. A sink fed event by event used files of 50 rows; ``rows_per_file``
+# still allows that, but no default asks a file system for it.
 ROWS_PER_FILE = 5_000_000
 
 
@@ -33,11 +33,14 @@ def append_csv(df: DataFrame, path: str, mode: str = "append") -> None:
     to_wire_names(stored_projection(df)).write.mode(mode).option("header", True).csv(path)
 
 
-def append_small_parquet(df: DataFrame, path: str, rows: int = SMALL_FILE_ROWS, mode: str = "append") -> None:
-    """Append the stored fields in files of at most ``rows`` rows; nothing is held back."""
+def append_parquet(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, mode: str = "append") -> None:
+    """Append the 13 stored fields in files of at most ``rows_per_file`` rows.
+
+    Every micro-batch is written out whole; nothing waits in a buffer.
+    """
     (
         to_wire_names(stored_projection(df))
-        .write.mode(mode).option("maxRecordsPerFile", rows).parquet(path)
+        .write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
     )
 
 
@@ -48,5 +51,3 @@ def compact(spark: SparkSession, source: str, target: str, rows_per_file: int =
         .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(target)
     )
 
-
-__all__ = ["STORED_FIELDS", "append_csv", "append_small_parquet", "append_table", "compact"]

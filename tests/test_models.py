@@ -54,7 +54,7 @@ def brute_knn(train, scale, query, k):
 @pytest.mark.parametrize("k", [1, 5, 40, 399, 1000])
 def test_knn_equals_brute_force(spark, cells, k):
     _, df = cells
-    scale = knn.scales(df, ["a", "b"])
+    scale = knn.profile(df, ["a", "b"]).scale
     train = {(r["a"], r["b"]): (r["n"], r["s"]) for r in df.collect()}
     wanted = list(itertools.product([-40, 0, 3, 23, 60], [0, 6, 30]))
     got = knn.predict(df, spark.createDataFrame(wanted, "a int, b int"), ["a", "b"], k)

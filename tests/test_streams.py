@@ -152,7 +152,7 @@ def test_fanout_isolates_failures_and_replays(spark, small, tmp_path):
 
 
 def test_small_files_hold_fifty_rows_and_compact(spark, small, tmp_path):
-    tables.append_small_parquet(full_readings(events(spark, small)), f"{tmp_path}/s")
+    tables.append_parquet(full_readings(events(spark, small)), f"{tmp_path}/s", 50)
     small_files = spark.read.parquet(f"{tmp_path}/s")
     assert small_files.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] == 50
     tables.compact(spark, f"{tmp_path}/s", f"{tmp_path}/l")
