@@ -37,14 +37,18 @@ def cells(rows: DataFrame, features: list[str] = CALENDAR_FEATURES) -> DataFrame
     return rows.groupBy(*features).agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("s"))
 
 
-def training_cells(rows: DataFrame) -> DataFrame:
-    """Weighted training rows in a repeatable layout, cut off from their source."""
-    grouped = cells(rows.where(~F.col("is_test")))
-    fixed = grouped.repartition(CELL_PARTITIONS, *CALENDAR_FEATURES).sortWithinPartitions(*CALENDAR_FEATURES)
-    weighted = fixed.withColumns({
+def split_cells(rows: DataFrame) -> DataFrame:
+    """Cells of both splits from one scan, in a repeatable layout and cut off from their source."""
+    grouped = cells(rows, [*CALENDAR_FEATURES, "is_test"])
+    fixed = grouped.repartition(CELL_PARTITIONS, *CALENDAR_FEATURES).sortWithinPartitions("is_test", *CALENDAR_FEATURES)
+    return fixed.checkpoint()
+
+
+def training_cells(both: DataFrame) -> DataFrame:
+    """Weighted training rows of ``split_cells``."""
+    return both.where(~F.col("is_test")).withColumns({
         "label": exact_mean_of_hundredths("s", "n"), "weight": F.col("n").cast("double"),
     })
-    return weighted.checkpoint()
 
 
 def split_counts(rows: DataFrame) -> DataFrame:

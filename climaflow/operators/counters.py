@@ -12,13 +12,16 @@ def samples(df: DataFrame, value: str, keys: tuple[str, ...] = ("station",)) ->
     """One sample per key and second: the newest value of that second.
 
     A second is the finest step the rates look at. Collapsing to it bounds a day of one
-    station to 86,400 rows, however many raw rows arrive.
+    station to 86,400 rows, however many raw rows arrive. Time within the second and event_id
+    make one number to compare, which keeps this a hash aggregate; a struct would sort the input.
     """
+    micros = F.pmod(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(1_000_000))
+    tie = F.coalesce("event_id", F.lit(0)).cast("decimal(19,0)")
+    newest = micros.cast("decimal(6,0)") * F.lit(f"1{'0' * 19}").cast("decimal(20,0)") + tie
     return (
         df.where(F.col("ts").isNotNull() & F.col(value).isNotNull())
         .groupBy(*keys, epoch_seconds("ts").alias("sec"))
-        .agg(F.max(F.struct("ts", "event_id", F.col(value).alias("v"))).alias("s"))
-        .select(*keys, "sec", F.col("s.v").alias("v"))
+        .agg(F.max_by(value, newest).alias("v"))
     )
 
 

@@ -14,33 +14,33 @@ BLOCK = 4096
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, min, quartiles and max, one row per column.
 
-    All figures follow from how often each value occurs. Counting per value happens before
-    the shuffle; the running count over ordered values is taken in two levels (blocks of
+    All figures follow from how often each value occurs. Counting per column and value happens
+    before the shuffle; the running count over ordered values is taken in two levels (blocks of
     values, then values within a block), so no task sees a whole column.
     """
     pairs = F.array(*[
-        F.struct(F.lit(c).alias("name"), hundredths(c).alias("v")) for c in columns
+        F.struct(F.lit(i).alias("at"), hundredths(c).alias("v")) for i, c in enumerate(columns)
     ])
     freq = (
         df.select(F.explode(pairs).alias("p"))
-        .select("p.name", "p.v")
+        .select("p.at", "p.v")
         .where(F.col("v").isNotNull())
-        .groupBy("name", "v")
+        .groupBy("at", "v")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("block", F.floor(F.col("v") / BLOCK))
         .where(F.col("block").isNotNull())  # same subplan in both branches below: one shuffle
     )
-    by_block = W.partitionBy("name").orderBy("block")
+    by_block = W.partitionBy("at").orderBy("block")
     blocks = (
-        freq.groupBy("name", "block").agg(F.sum("n").alias("block_n"))
+        freq.groupBy("at", "block").agg(F.sum("n").alias("block_n"))
         .select(
-            "name", "block",
+            "at", "block",
             F.coalesce(F.sum("block_n").over(by_block.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-            F.sum("block_n").over(W.partitionBy("name")).alias("total"),
+            F.sum("block_n").over(W.partitionBy("at")).alias("total"),
         )
     )
-    inside = W.partitionBy("name", "block").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
-    ranked = freq.join(blocks, ["name", "block"]).withColumn("upto", F.col("before") + F.sum("n").over(inside))
+    inside = W.partitionBy("at", "block").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+    ranked = freq.join(blocks, ["at", "block"]).withColumn("upto", F.col("before") + F.sum("n").over(inside))
     lowest = F.col("upto") - F.col("n")
 
     def value_at(rank):
@@ -51,7 +51,7 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
         at = (F.col("total") - 1) * F.lit(p)
         picks += [value_at(F.floor(at)).alias(f"{q}_lo"), value_at(F.ceil(at)).alias(f"{q}_hi")]
     wide = F.col("v").cast("decimal(20,0)")
-    sums = ranked.groupBy("name").agg(
+    sums = ranked.groupBy("at").agg(
         F.sum("n").alias("count"),
         F.sum(wide * F.col("n")).cast("decimal(38,0)").alias("s1"),
         F.sum(wide * wide * F.col("n")).cast("decimal(38,0)").alias("s2"),
@@ -68,7 +68,7 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     n, s1, s2 = (F.col(c).cast("double") for c in ("count", "s1", "s2"))
     spread = F.when(F.col("count") > 1, F.sqrt((s2 - s1 * s1 / n) / (n - 1)) / 100.0)
     return sums.select(
-        F.col("name").alias("column_name"),
+        F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("at") + 1).alias("column_name"),
         F.col("count").alias("rows"),
         F.round(s1 / n / 100.0, 6).alias("mean"),
         F.round(spread, 6).alias("std"),

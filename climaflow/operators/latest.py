@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.calendar import clock_text, epoch_millis
+from .history import newest
 
 NEWEST = ("ts", "event_id")
 
@@ -27,30 +28,52 @@ def _newest_first() -> list[Column]:
     return [F.col(c).desc() for c in NEWEST]
 
 
+def recent_days(df: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """Rows from the day on that surely holds each key's newest ``k``; the rest cannot be among them.
+
+    A first pass reads only key and time and counts rows per key and day, which the calendar
+    bounds. The oldest day any key needs becomes a scalar filter that prunes date partitions and
+    row groups of the wide second pass, so a long history is not sorted to find its end.
+    """
+    days = df.where(F.col("ts").isNotNull()).groupBy(*keys, F.to_date("ts").alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    later = W.partitionBy(*keys).orderBy(F.col("_day").desc()).rowsBetween(W.unboundedPreceding, -1)
+    needed = days.withColumn("_after", F.coalesce(F.sum("_n").over(later), F.lit(0))).where(F.col("_after") < k)
+    starts = needed.groupBy(*keys).agg(F.min("_day").cast("timestamp_ntz").alias("_start"))
+    oldest = starts.agg(F.min("_start").alias("s")).scalar()
+    return df.where(F.col("ts") >= oldest).join(starts, keys).where(F.col("ts") >= F.col("_start")).drop("_start")
+
+
+def _newest_k(df: DataFrame, keys: list[str], k: int, position: str) -> DataFrame:
+    return top_k(recent_days(df, keys, k), keys, _newest_first(), k, position)
+
+
 def last_series(df: DataFrame, k: int = 60, keys: list[str] | None = None) -> DataFrame:
     """The last ``k`` points of the four live series per station; ``age`` 1 is the newest."""
     keys = keys or ["station"]
     slim = df.select(*keys, "ts", "event_id", "temp", "humidity", "wind", "pressure")
-    return top_k(slim, keys, _newest_first(), k, "age")
+    return _newest_k(slim, keys, k, "age")
 
 
 def event_log(df: DataFrame, k: int = 10, keys: list[str] | None = None) -> DataFrame:
     """Newest ``k`` events per station with their clock text and sky description."""
     keys = keys or ["station"]
     slim = df.select(*keys, "ts", "event_id", "ts_raw", "temp", "humidity", "wind", "description")
-    newest = top_k(slim, keys, _newest_first(), k, "age")
+    newest = _newest_k(slim, keys, k, "age")
     return newest.withColumn("clock", clock_text("ts_raw")).drop("ts_raw")
 
 
 def latest_reading(df: DataFrame) -> DataFrame:
-    """Newest temperature, wind and humidity of the whole table."""
+    """Newest temperature, wind and humidity of the whole table.
+
+    The newest time is a scalar subquery on one column; its filter leaves the wide pass a few rows.
+    """
     slim = df.select("ts", "event_id", "station", "temp", "wind", "humidity")
-    return slim.orderBy(*_newest_first()).limit(1)
+    return slim.where(F.col("ts") == newest(df)).orderBy(*_newest_first()).limit(1)
 
 
 def latest_per_station(df: DataFrame) -> DataFrame:
     slim = df.select("station", "ts", "event_id", "temp", "wind", "humidity")
-    return top_k(slim, ["station"], _newest_first(), 1).drop("position")
+    return _newest_k(slim, ["station"], 1, "position").drop("position")
 
 
 def panel_history(df: DataFrame, measure: str, ordered: bool = True) -> DataFrame:

@@ -70,19 +70,18 @@ def previous_row(df: DataFrame, keys: tuple[str, ...], second: str, columns: lis
     the last row of the newest earlier day that has any.
     """
     chunked = _in_chunks(df, keys, F.floor(F.col(second) / chunk))
-    edges = chunked.groupBy(*keys, "_chunk").agg(
-        F.max(F.struct(second, *[c for c in columns if c != second])).alias("_last")
-    )
+    edges = chunked.groupBy(*keys, "_chunk").agg(*[F.max_by(c, second).alias(f"_last_{c}") for c in columns])
+    by_chunk = W.partitionBy(*keys).orderBy("_chunk")
     carried = edges.select(
-        *keys, "_chunk", F.lag("_last").over(W.partitionBy(*keys).orderBy("_chunk")).alias("_edge")
+        *keys, "_chunk", *[F.lag(f"_last_{c}").over(by_chunk).alias(f"_edge_{c}") for c in columns]
     )
     w = W.partitionBy(*keys, "_chunk").orderBy(second)
     joined = chunked.join(carried, [*keys, "_chunk"])
     ranked = joined.withColumn("_first", F.row_number().over(w) == 1)
     previous = {
-        f"prev_{c}": F.when(F.col("_first"), F.col(f"_edge.{c}")).otherwise(F.lag(c).over(w)) for c in columns
+        f"prev_{c}": F.when(F.col("_first"), F.col(f"_edge_{c}")).otherwise(F.lag(c).over(w)) for c in columns
     }
-    return ranked.withColumns(previous).drop("_first", "_edge", "_chunk")
+    return ranked.withColumns(previous).drop("_first", "_chunk", *[f"_edge_{c}" for c in columns])
 
 
 def trailing_seconds(df: DataFrame, keys: tuple[str, ...], second: str, span: int, outputs: dict) -> DataFrame:

@@ -38,16 +38,15 @@ def split_counts(spark, d):
 
 def _knn(k: int):
     def query(spark, d):
-        rows = _rows(spark, d)
-        train = ft.training_cells(rows).select(*CALENDAR_FEATURES, "n", "s")
-        wanted = rows.where("is_test").select(*CALENDAR_FEATURES)
-        return knn.predict(train, wanted, CALENDAR_FEATURES, k).withColumn("knn", F.round("knn", 6))
+        both = ft.split_cells(_rows(spark, d))
+        found = knn.predict(both.where(~F.col("is_test")), both.where("is_test"), CALENDAR_FEATURES, k)
+        return found.withColumn("knn", F.round("knn", 6))
     return query
 
 
 def ridge_fit(spark, d):
     """Coefficients and intercept of the ridge model."""
-    model = regressors.ridge(ft.training_cells(_rows(spark, d)), CALENDAR_FEATURES).stages[-1]
+    model = regressors.ridge(ft.training_cells(ft.split_cells(_rows(spark, d))), CALENDAR_FEATURES).stages[-1]
     terms = list(zip(CALENDAR_FEATURES, (float(c) for c in model.coefficients))) + [("intercept", float(model.intercept))]
     return spark.createDataFrame(terms, "term string, coefficient double").select("term", F.round("coefficient", 6).alias("coefficient"))
 
@@ -86,9 +85,9 @@ def baseline_best(spark, d):
 def knn_metrics(spark, d):
     """Test scores of the nearest-neighbour model."""
     rows = _rows(spark, d)
-    train = ft.training_cells(rows).select(*CALENDAR_FEATURES, "n", "s")
-    model = temperature.TemperatureModels({}, train, "knn")
-    return _six(temperature.evaluate(model, rows))
+    both = ft.split_cells(rows)
+    model = temperature.TemperatureModels({}, both.where(~F.col("is_test")), "knn")
+    return _six(temperature.evaluate(model, rows, both))
 
 
 def rf_importance(spark, d):

@@ -96,7 +96,7 @@ def test_loader_falls_back_to_forest(spark, small, tmp_path, monkeypatch):
     """Metadata that names no best model, and no ridge or neighbour model on disk."""
     monkeypatch.setattr(regressors, "BOOST_ROUNDS", 2)
     rows = ft.labelled(readings(events(spark, small)))
-    train = ft.training_cells(rows)
+    train = ft.training_cells(ft.split_cells(rows))
     found = {
         "random_forest": regressors.random_forest(train, CALENDAR_FEATURES, trees=3, depth=3),
         "gradient_boosting": regressors.gradient_boosting(train, CALENDAR_FEATURES, rounds=2),
