@@ -34,6 +34,8 @@ def local_session(cores: str | int = "*", memory: str = "8g", name: str = "clima
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Call-site capture costs a dozen driver round trips per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in REQUIRED.items():
         builder = builder.config(key, value)
