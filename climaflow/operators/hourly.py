@@ -62,8 +62,12 @@ def lag_columns(keys: tuple[str, ...] = ("station",), hours=LAGS) -> dict:
 
 
 def rolling_columns(keys: tuple[str, ...] = ("station",), widths=ROLLING) -> dict:
+    """Means of the last rows, over whole millionths of a degree: exact sums, so a mean does not
+    depend on the order in which an engine adds its window."""
     w = W.partitionBy(*keys).orderBy("hr")
-    return {f"roll_{n}": F.avg("temp").over(w.rowsBetween(-(n - 1), 0)) for n in widths}
+    micro = F.rint(F.col("temp") * 1000000).cast("bigint")
+    frames = {n: w.rowsBetween(-(n - 1), 0) for n in widths}
+    return {f"roll_{n}": F.sum(micro).over(f) / F.count(micro).over(f) / 1000000.0 for n, f in frames.items()}
 
 
 def target_columns(keys: tuple[str, ...] = ("station",), horizons=HORIZONS) -> dict:

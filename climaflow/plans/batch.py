@@ -323,15 +323,13 @@ def backpressure(spark, d):
 # ---- hourly series ------------------------------------------------------------------------
 
 def hourly_interpolated(spark, d):
-    grid = hourly.interpolate_hours(hourly.hourly_means(_r(spark, d)))
-    return grid.withColumn("temp", F.round("temp", 9))
+    return hourly.interpolate_hours(hourly.hourly_means(_r(spark, d)))
 
 
 def _hourly_columns(columns):
     def query(spark, d):
         grid = hourly.interpolate_hours(hourly.hourly_means(_r(spark, d)))
-        wide = grid.withColumns(columns())
-        return wide.select("station", "hr", *[F.round(c, 9).alias(c) for c in columns()])
+        return grid.withColumns(columns()).drop("temp", "filled")
     return query
 
 

@@ -328,14 +328,15 @@ SELECT batch_no, CAST(latency_ms AS BIGINT) AS latency_ms, {_mean('s', 'n', 1)}
     "backpressure": f"""WITH l AS (SELECT CAST(hour(ts) AS INTEGER) AS topic, count(*) FILTER (user_id % 23 = 0) AS lag FROM events GROUP BY 1)
 SELECT topic, CAST(lag AS BIGINT) AS lag, least({_mean('lag * 100', 'greatest(lag + 10, 1)', 1)}, 100.0::DOUBLE) AS backpressure_pct,
   lag * 100 > 80 * greatest(lag + 10, 1) AS alert FROM l""",
-    "hourly_interpolated": f"WITH {GRID} SELECT station, hr, round(temp, 9) AS temp, filled FROM grid",
+    "hourly_interpolated": f"WITH {GRID} SELECT station, hr, temp, filled FROM grid",
     "lag_features": f"""WITH {GRID} SELECT station, hr,
-  {', '.join(f'round(lag(temp, {n}) {_W}, 9) AS lag_{n}' for n in (1, 2, 24, 168))} FROM grid""",
-    "rolling_means": f"""WITH {GRID} SELECT station, hr, {', '.join(
-        f'round(avg(temp) OVER (PARTITION BY station ORDER BY hr ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW), 9) AS roll_{n}'
-        for n in (3, 24))} FROM grid""",
+  {', '.join(f'lag(temp, {n}) {_W} AS lag_{n}' for n in (1, 2, 24, 168))} FROM grid""",
+    "rolling_means": f"""WITH {GRID}, u AS (SELECT station, hr, CAST(round_even(temp * 1000000, 0) AS BIGINT) AS m FROM grid)
+SELECT station, hr, {', '.join(
+        f'CAST(sum(m) OVER w{n} AS DOUBLE) / count(m) OVER w{n} / 1000000.0::DOUBLE AS roll_{n}' for n in (3, 24))} FROM u
+WINDOW {', '.join(f'w{n} AS (PARTITION BY station ORDER BY hr ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)' for n in (3, 24))}""",
     "horizon_targets": f"""WITH {GRID} SELECT station, hr,
-  {', '.join(f'round(lead(temp, {n}) {_W}, 9) AS target_{n}' for n in (1, 24, 168))} FROM grid""",
+  {', '.join(f'lead(temp, {n}) {_W} AS target_{n}' for n in (1, 24, 168))} FROM grid""",
     "counter_rate": f"""WITH {_rates('event_id % 37', 3600)}
 SELECT station, sec, v, increase, window_increase, round(window_increase * 60.0::DOUBLE / 3600, 6) AS rate_per_min FROM rt""",
     "sustained_extreme": f"WITH {READINGS} {_islands('r', 'temp > 30 OR temp < -10', 300)}",
