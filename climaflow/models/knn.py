@@ -54,9 +54,12 @@ def _vote(near: DataFrame, features: list[str], k: int) -> DataFrame:
     ahead = W.partitionBy(*features).orderBy("d").rowsBetween(W.unboundedPreceding, -1)
     placed = by_distance.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
     used = placed.where(F.col("before") < k).withColumn("take", F.least(F.col("n"), k - F.col("before")))
+    # Only the last distance can be taken in part. Whole ones add up as whole numbers, so the result
+    # does not depend on the order of the sum.
+    whole = F.coalesce(F.sum(F.when(F.col("take") == F.col("n"), F.col("s"))), F.lit(0)).cast("double")
+    part = F.coalesce(F.sum(F.when(F.col("take") < F.col("n"), F.col("take") * F.col("s") / F.col("n"))), F.lit(0.0))
     return used.groupBy(*features).agg(
-        F.sum("take").alias("found"),
-        (F.sum(F.col("take") * F.col("s") / F.col("n")) / F.sum("take") / 100.0).alias("knn"),
+        F.sum("take").alias("found"), ((whole + part) / F.sum("take") / 100.0).alias("knn")
     )
 
 

@@ -39,8 +39,7 @@ def split_counts(spark, d):
 def _knn(k: int):
     def query(spark, d):
         both = ft.split_cells(_rows(spark, d))
-        found = knn.predict(both.where(~F.col("is_test")), both.where("is_test"), CALENDAR_FEATURES, k)
-        return found.withColumn("knn", F.round("knn", 6))
+        return knn.predict(both.where(~F.col("is_test")), both.where("is_test"), CALENDAR_FEATURES, k)
     return query
 
 

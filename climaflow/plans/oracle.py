@@ -210,7 +210,8 @@ qc AS (SELECT DISTINCT {f} FROM l WHERE is_test),
 pr AS (SELECT {', '.join('q.' + c for c in _FEATURES)}, round({gap}, 9) AS d, sum(t.n) AS n, sum(t.s) AS s FROM qc q, tc t, sc GROUP BY ALL),
 bf AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY {f} ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM pr),
 tk AS (SELECT *, least(n, {k} - before) AS take FROM bf WHERE before < {k}),
-knn AS (SELECT {f}, sum(take::DOUBLE * s / n) / sum(take) / 100.0::DOUBLE AS p FROM tk GROUP BY ALL)"""
+knn AS (SELECT {f}, (CAST(coalesce(sum(s) FILTER (take = n), 0) AS DOUBLE) + coalesce(sum(CAST(take AS DOUBLE) * CAST(s AS DOUBLE) / CAST(n AS DOUBLE)) FILTER (take < n), 0.0::DOUBLE))
+          / CAST(sum(take) AS DOUBLE) / 100.0::DOUBLE AS p FROM tk GROUP BY ALL)"""
 
 
 BASELINES = READINGS + """,
@@ -370,8 +371,8 @@ FROM f GROUP BY ALL""",
   pressure, description, wind, visibility, hour_of_day, day_of_week FROM f""",
     "split_counts": f"""WITH {LABELLED}
 SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, count(*) AS rows, CAST(sum(c) AS BIGINT) AS temp_sum FROM l GROUP BY 1""",
-    "knn_predict": f"WITH {_knn(5)} SELECT hour_of_day, day_of_week, month, iso_week, round(p, 6) AS knn FROM knn",
-    "knn_predict_200": f"WITH {_knn(200)} SELECT hour_of_day, day_of_week, month, iso_week, round(p, 6) AS knn FROM knn",
+    "knn_predict": f"WITH {_knn(5)} SELECT hour_of_day, day_of_week, month, iso_week, p AS knn FROM knn",
+    "knn_predict_200": f"WITH {_knn(200)} SELECT hour_of_day, day_of_week, month, iso_week, p AS knn FROM knn",
     "knn_metrics": f"""WITH {_knn(5)},
 e AS (SELECT c / 100.0::DOUBLE AS y, p FROM l JOIN knn USING (hour_of_day, day_of_week, month, iso_week) WHERE is_test)
 SELECT 'knn' AS model, count(*) AS rows, round(avg(abs(y - p)), 6) AS mae, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
