@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut
 from ..functions.calendar import CALENDAR_FEATURES, MODEL_ZONE, with_calendar
 from ..functions.fixedpoint import exact_mean_of_hundredths, hundredths
 
@@ -41,7 +42,7 @@ def split_cells(rows: DataFrame) -> DataFrame:
     """Cells of both splits from one scan, in a repeatable layout and cut off from their source."""
     grouped = cells(rows, [*CALENDAR_FEATURES, "is_test"])
     fixed = grouped.repartition(CELL_PARTITIONS, *CALENDAR_FEATURES).sortWithinPartitions("is_test", *CALENDAR_FEATURES)
-    return fixed.checkpoint()
+    return cut(fixed)
 
 
 def training_cells(both: DataFrame) -> DataFrame:

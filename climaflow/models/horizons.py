@@ -8,6 +8,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.hourly import HORIZONS, LAGS, ROLLING, forecast_frame
+from ..session import cut
 from . import knn, regressors, scores
 from .temperature import TREE_MODELS, fit_pipelines
 
@@ -22,9 +23,9 @@ def prepared(df: DataFrame) -> DataFrame:
     """Complete feature rows with whole-degree cell coordinates, written once for all fits."""
     frame = forecast_frame(df).dropna(subset=FEATURES)
     cells = {f"cell_{f}": F.floor(F.col(f) + 0.5).cast("int") for f in KNN_FEATURES}
-    return frame.withColumns(cells).select(
+    return cut(frame.withColumns(cells).select(
         "station", "hr", *FEATURES, *cells, *[f"target_{h}" for h in HORIZONS]
-    ).checkpoint()
+    ))
 
 
 def _compare_one(frame: DataFrame, horizon: int) -> DataFrame:
@@ -32,16 +33,18 @@ def _compare_one(frame: DataFrame, horizon: int) -> DataFrame:
         "label": F.col(f"target_{horizon}"), "weight": F.lit(1.0),
     })
     bounds = rows.agg(F.min(F.unix_seconds(F.col("hr").cast("timestamp"))), F.max(F.unix_seconds(F.col("hr").cast("timestamp")))).first()
-    cut = bounds[0] + TRAIN_SHARE * (bounds[1] - bounds[0])
-    past = F.unix_seconds(F.col("hr").cast("timestamp")) <= cut
-    train, test = rows.where(past), rows.where(~past)
+    border = bounds[0] + TRAIN_SHARE * (bounds[1] - bounds[0])
+    second = F.unix_seconds(F.col("hr").cast("timestamp"))
+    # A training label must lie before the border as well: at long horizons it would otherwise be test data.
+    past, ahead = second + horizon * 3600 <= border, second > border
+    train, test = rows.where(past), rows.where(ahead)
     predicted = test
     for model in fit_pipelines(train, FEATURES).values():
         predicted = regressors.apply(model, predicted)
     cell_names = [f"cell_{f}" for f in KNN_FEATURES]
-    known = train.groupBy(*cell_names).agg(
+    known = cut(train.groupBy(*cell_names).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("label") * 100.0).alias("s")
-    ).checkpoint()
+    ))
     near = knn.predict(known, test, cell_names)
     predicted = predicted.join(near, cell_names)
     scored = scores.score_wide(predicted, "label", [*TREE_MODELS, "knn"])

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..session import cut
+
 K = 5
 DISTANCE_DIGITS = 9
 
@@ -130,7 +132,7 @@ def predict(train: DataFrame, queries: DataFrame, features: list[str], k: int =
     done: list[DataFrame] = []
     while True:
         enough = F.coalesce(F.col("found") >= k, F.lit(False))
-        outcome = todo.join(votes, features, "left").withColumn("settled", enough | finished).checkpoint()
+        outcome = cut(todo.join(votes, features, "left").withColumn("settled", enough | finished))
         done.append(outcome.where("settled").select(*features, "knn"))
         todo = outcome.where("not settled").select(*features, (F.col("level") + step).alias("level"), "last")
         levels = sorted(r["level"] for r in todo.select("level").distinct().collect())

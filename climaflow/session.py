@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on. Everything else is the cluster's own choice.
 REQUIRED = {
@@ -44,20 +44,33 @@ def local_session(cores: str | int = "*", memory: str = "8g", name: str = "clima
     return spark
 
 
+# Folders made for sessions that name none, by application.
+_made: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, a laptop) a temporary one is made and set.
+    Only where the session names none (tests, a laptop) a temporary one is made and kept for the application.
+    Checkpoints go below it as well.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    made = tempfile.mkdtemp(prefix="climaflow-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not named:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        if context.applicationId not in _made:
+            _made[context.applicationId] = tempfile.mkdtemp(prefix="climaflow-")
+        named = _made[context.applicationId]
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def cut(df: DataFrame, eager: bool = True) -> DataFrame:
+    """The rows written below the shared folder and read back: lineage ends there, and lost executors cost nothing."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager)
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
