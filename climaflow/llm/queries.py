@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from .quality_rules import op3_quality_rules
 from .sharding import op5_interleaved_shards
 from .url_rules import OP10_SQL, op10_url_rules
 
 QUERIES = {
+    "op3_quality_rules": op3_quality_rules,
     "op5_interleaved_shards": op5_interleaved_shards,
     "op10_url_rules": op10_url_rules,
 }
