@@ -30,7 +30,7 @@ def join_small(rows: DataFrame, small: DataFrame, keys: list[str], n_small: int)
     drop = [f"_small_{k}" for k in keys]
     if n_small <= BROADCAST_ROWS:
         return rows.join(F.broadcast(small), on, "left").drop(*drop)
-    rows = rows.withColumn("_salt", (F.rand(17) * SALTS).cast("int"))
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
     small = small.withColumn("_small_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return rows.join(small, on & (F.col("_salt") == F.col("_small_salt")), "left").drop(*drop, "_salt", "_small_salt")
 
