@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import cut, run_dir
+from .common import join_small
 from .components import roots
 from .words import Chunk, chunks, mix, shingle_sets, white_space_words
 
@@ -125,9 +126,11 @@ def _measure(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = spark.read.parquet(path)
     rows = found.where("n is not null").drop("gram", "times")
     same = ["n", "sum_1", "sum_2"]
-    classes = rows.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"))
+    counted = rows.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"))
+    # Written out, so that the join with a class of a third of all rows is one that can be spread.
+    repeated = cut(counted.where("members > 1 and n > 0").select(*same, "rep"))
     frequent = found.where("gram is not null").groupBy("gram").agg(F.sum("times").alias("times"))
-    copies = rows.join(classes.where("members > 1 and n > 0").select(*same, "rep"), same, "left")
+    copies = join_small(rows, repeated, same, repeated.count())
     # Without words a row stays alone.
     rows = cut(copies.withColumn("rep", F.coalesce("rep", "doc_id")))
     return rows, frequent.orderBy(F.desc("times"), "gram").limit(FREQUENT)
