@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ..session import run_dir
 
 # A joined side is broadcast up to this many rows of at most some hundred bytes.
 BROADCAST_ROWS = 100_000
@@ -12,8 +14,16 @@ BROADCAST_ROWS = 100_000
 SALTS = 16
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written below the shared folder and read back: lineage ends there, and lost executors cost nothing.
+
+    A table and no checkpoint, as that would carry along the constraints that the optimizer has found, which grow with
+    every step of an iteration.
+    """
+    spark = df.sparkSession
+    path = f"{run_dir(spark, 'cut')}/rows.parquet"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def join_small(rows: DataFrame, small: DataFrame, keys: list[str], n_small: int) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import cut
+from .common import cut
 
 
 def _both_ways(links: DataFrame) -> DataFrame:

@@ -36,8 +36,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import cut, run_dir
-from .common import join_small
+from ..session import run_dir
+from .common import cut, join_small
 from .components import roots
 from .words import Chunk, chunks, mix, shingle_sets, white_space_words
 

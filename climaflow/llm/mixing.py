@@ -21,8 +21,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import cut
-from .common import join_small, unit_hash
+from .common import cut, join_small, unit_hash
 
 DIMENSIONS = ("source", "lang", "topic")
 SEED = 4117

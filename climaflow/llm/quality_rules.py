@@ -21,8 +21,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from ..session import cut
-from .common import join_small
+from .common import cut, join_small
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -46,26 +45,32 @@ def words_of(text: Column) -> Column:
     return F.when(F.length(trimmed) > 0, F.split(trimmed, r"[\x20\x09-\x0D]+")).otherwise(F.array().cast("array<string>"))
 
 
-def repeat_words(words: str) -> Column:
+def _named(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also inside the functions of arrays."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def repeat_words(words: Column) -> Column:
     """Words that lie in a 3-word window found twice or more.
 
     Windows are hashed and sorted with their places, so equal ones are neighbours. Texts without a repeated window,
     which a set of the hashes shows, skip the sort.
     """
-    at = f"sequence(0, size({words}) - 3)"
-    hashes = f"transform({at}, i -> xxhash64({words}[i], {words}[i + 1], {words}[i + 2]))"
-    placed = F.expr(f"array_sort(transform({hashes}, (h, i) -> struct(h, i)))")
+    def covered(windows: Column) -> Column:
+        twin = lambda k, other: F.coalesce(F.get(windows, k)["h"] == F.get(windows, other)["h"], F.lit(False))
+        hits = F.filter(F.sequence(F.lit(0), F.size(windows) - 1), lambda k: twin(k, k - 1) | twin(k, k + 1))
+        return F.size(F.array_distinct(F.flatten(F.transform(
+            hits, lambda k: F.sequence(F.get(windows, k)["i"], F.get(windows, k)["i"] + 2)))))
+
+    def repeated(hashes: Column) -> Column:
+        placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), 0).otherwise(_named(placed, covered))
 
-    def repeated(sorted_windows: Column) -> Column:
-        twin = lambda k, other: F.coalesce(F.get(sorted_windows, k)["h"] == F.get(sorted_windows, other)["h"], F.lit(False))
-        hits = F.filter(F.sequence(F.lit(0), F.size(sorted_windows) - 1), lambda k: twin(k, k - 1) | twin(k, k + 1))
-        covered = F.transform(hits, lambda k: F.sequence(F.get(sorted_windows, k)["i"], F.get(sorted_windows, k)["i"] + 2))
-        return F.size(F.array_distinct(F.flatten(covered)))
+    def counted(w: Column) -> Column:
+        hashes = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+        return _named(hashes, repeated)
 
-    # A one-element transform names the sorted array, which would else be sorted at every use.
-    counted = F.get(F.transform(F.array(placed), repeated), F.lit(0))
-    none = F.expr(f"size({words}) < 4 or size(array_distinct({hashes})) = size({words}) - 2")
-    return F.when(none, F.lit(0)).otherwise(counted).cast("long")
+    return F.when(F.size(words) < 4, 0).otherwise(_named(words, counted)).cast("long")
 
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -81,7 +86,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_symbols": F.regexp_count("_text", F.lit(r"[#*$%&|<>]")).cast("long"),
         "n_lines": F.size("_lines").cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "n_repeat_words": repeat_words("_words"),
+        "n_repeat_words": repeat_words(F.col("_words")),
     }).drop("_text", "_words", "_lines")
 
 
@@ -262,7 +267,10 @@ class QualityRules:
         scored = self.robust.distance2(placed)
         near = F.coalesce(F.col("d2") <= self.limit, F.lit(True))
         estimate_columns = [c for c in self.estimates.columns if c not in _GROUP]
-        return scored.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & near).drop(
+        # One expression over both sides of the joins: a plain "and" would be split and its first part, with all the
+        # counting it needs, be computed once more below them.
+        kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(near)
+        return scored.withColumn("base_failed", base_failed()).withColumn("kept", kept).drop(
             *_GROUP, *estimate_columns)
 
 
@@ -274,8 +282,9 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame, **options) -> DataFrame:
     """The documents that pass, with their columns as they were."""
-    vectors = cut(measured(docs).where(~base_failed()).select("lang", "source", *FLOORS))
-    rules = QualityRules.fit(vectors, **options)
+    # Written out before the limits are applied, which would else be computed from the texts a second time.
+    rows = cut(measured(docs).select("lang", "source", "n_words", "n_repeat_words", *FLOORS))
+    rules = QualityRules.fit(rows.where(~base_failed()).select("lang", "source", *FLOORS), **options)
     packed = docs.select(F.struct("*").alias("_row"), "lang", "source", "text")
     judged = rules.judge(statistics(packed).withColumns(vector()))
     return judged.where("kept").select("_row.*")

@@ -8,6 +8,7 @@ from .html_text import op8_text_density
 from .jaccard_join import op6_ngram_jaccard
 from .lm_score import op7_log_frequency_lm
 from .mixing import op1_raked_mixture
+from .quality_model import op4_boosted_quality
 from .quality_rules import op3_quality_rules
 from .sharding import op5_interleaved_shards
 from .url_rules import OP10_SQL, op10_url_rules
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_raked_mixture": op1_raked_mixture,
     "op2_spaced_seed_overlaps": op2_spaced_seed_overlaps,
     "op3_quality_rules": op3_quality_rules,
+    "op4_boosted_quality": op4_boosted_quality,
     "op5_interleaved_shards": op5_interleaved_shards,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_log_frequency_lm": op7_log_frequency_lm,

@@ -17,8 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from ..session import cut
-from .common import root_parts
+from .common import cut, root_parts
 
 SHARDS = 40
 SEED = 20260214
