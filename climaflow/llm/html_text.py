@@ -22,7 +22,7 @@ import math
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -304,7 +304,7 @@ def main_text(page: str | None) -> str:
 def extract(pages: DataFrame, page: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """``keep`` columns, ``text`` and its length in characters ``n_chars`` for every row."""
     rows = pages.select(*keep, page)
-    schema = rows.select(*keep).schema.add("text", "string").add("n_chars", "bigint")
+    schema = rows.select(*keep).schema.add("text", T.StringType()).add("n_chars", T.LongType())
 
     def run(batches):
         for batch in batches:
