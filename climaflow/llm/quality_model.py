@@ -181,8 +181,8 @@ def grow(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, r
     """Trees boosted on the logistic loss; splits are searched in histograms of gradients."""
     share = float(np.mean(y)) if len(y) else 0.5
     inner, leaves = (1 << depth) - 1, 1 << depth
-    if not 0 < share < 1:
-        base = 0.0 if not len(y) else (12.0 if share else -12.0)
+    if not len(y) or not 0 < share < 1:
+        base = 0.0 if not len(y) else (40.0 if share else -40.0)
         return Trees(np.zeros((0, inner), np.int64), np.zeros((0, inner), np.float32), np.zeros((0, leaves)), base)
     limits = bin_limits(x, bins)
     binned = np.stack([np.searchsorted(limits[f], x[:, f], "left") for f in range(x.shape[1])])
