@@ -11,19 +11,20 @@ from pyspark.sql import Column, functions as F
 
 
 def hundredths(name: str) -> Column:
-    """A two-decimal reading as a whole number of hundredths."""
-    return F.rint(F.col(name) * 100).cast("bigint")
+    """A two-decimal reading as a whole number of hundredths; null where it is no number that fits."""
+    return F.rint(F.col(name) * 100).try_cast("bigint")
 
 
 def half_up_ratio(num: str, den: str, digits: int) -> Column:
     """``num / den`` rounded half away from zero to ``digits``; null when ``den`` is 0.
 
-    ``num`` and ``den`` are SQL expressions of whole numbers.
+    ``num`` and ``den`` are SQL expressions of whole numbers. Only the remainder is scaled, so sums over very many
+    rows do not overflow.
     """
     d = f"nullif(cast(({den}) as bigint), 0)"
     n = f"cast(({num}) as bigint)"
     unit = 10 ** digits
-    whole = f"((2 * {unit} * abs({n}) + {d}) div (2 * {d}))"
+    whole = f"({unit} * (abs({n}) div {d}) + (2 * {unit} * (abs({n}) % {d}) + {d}) div (2 * {d}))"
     return F.expr(f"cast(sign({n}) as bigint) * {whole} / {unit}D")
 
 

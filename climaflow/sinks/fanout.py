@@ -40,7 +40,7 @@ class FanOut:
                     write(kept, f"batch_id={batch_id}")
                     done.append((batch_id, name, True, None))
                 except Exception as error:  # one sink must not stop the others
-                    done.append((batch_id, name, False, f"{type(error).__name__}: {error}"[:500]))
+                    done.append((batch_id, name, False, f"{type(error).__name__}: {error}"))
         finally:
             kept.unpersist()
         rows = batch.sparkSession.createDataFrame(done, "batch bigint, sink string, ok boolean, error string")

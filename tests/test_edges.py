@@ -259,3 +259,11 @@ def test_describe_small(spark):
     got = {r["column_name"]: r for r in describe.describe(df, ["a", "b"]).collect()}
     assert (got["a"]["rows"], got["a"]["q25"], got["a"]["q50"], got["a"]["q75"]) == (4, 1.75, 3.0, 5.0)
     assert got["b"]["rows"] == 3 and got["b"]["std"] == 0.0
+
+
+def test_sums_over_very_many_rows_and_numbers_that_are_none(spark):
+    from climaflow.functions.fixedpoint import hundredths, mean_of_hundredths
+
+    rows = spark.createDataFrame([(101_325 * 100 * 10**10, 10**12, float("nan")), (7, 2, float("inf")), (-7, 2, 20.25)], "s bigint, n bigint, x double")
+    got = rows.select(mean_of_hundredths("s", "n", 3).alias("m"), hundredths("x").alias("h")).collect()
+    assert [(r.m, r.h) for r in got] == [(1013.25, None), (0.035, None), (-0.035, 2025)]
