@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.calendar import epoch_seconds
 from ..functions.fixedpoint import half_up_ratio
+from .counters import counter_rate
 
 # Alert limits.
 LATENCY_MAX_S = 5.0
@@ -122,6 +123,12 @@ def sustained_extreme(df: DataFrame, hold_s: int = EXTREME_HOLD_S) -> DataFrame:
     return sustained(df, extreme_temperature(F.col("temp")), hold_s)
 
 
+def sustained_errors(df: DataFrame, value: str, span_s: int = ERROR_SPAN_S, hold_s: int = ERROR_HOLD_S) -> DataFrame:
+    """Runs of seconds at which the error counter ``value`` has grown within the trailing span, held long enough."""
+    rates = counter_rate(df, value, span_s)
+    return sustained(rates.withColumn("ts", F.timestamp_seconds("sec")), F.col("rate_per_min") > 0, hold_s)
+
+
 def silent_gaps(df: DataFrame, limit_s: int = SILENCE_S, key: str = "station") -> DataFrame:
     """Times between neighbouring readings of a station that are longer than the limit.
 

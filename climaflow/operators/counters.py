@@ -2,42 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.calendar import epoch_seconds
 from .ordered import previous_row, trailing_seconds
 
 
+def _growth(now: str, before: str) -> Column:
+    """From one sample to the next; after a reset the value itself; 0 without a sample before."""
+    grown = F.when(F.col(now) < F.col(before), F.col(now)).otherwise(F.col(now) - F.col(before))
+    return F.when(F.col(before).isNull(), F.lit(0)).otherwise(grown).cast("bigint")
+
+
 def samples(df: DataFrame, value: str, keys: tuple[str, ...] = ("station",)) -> DataFrame:
-    """One sample per key and second: the newest value of that second.
+    """Per key and second: the first and the newest value, and the growth over all samples between them.
 
-    A second is the finest step the rates look at. Collapsing to it bounds a day of one
-    station to 86,400 rows, however many raw rows arrive. Time within the second and event_id
-    make one number to compare, which keeps this a hash aggregate; a struct would sort the input.
+    A second is the finest step the rates look at. Samples are ordered within their second only, so a busy station is
+    spread over as many groups as it has seconds; the rows that go on are at most 86,400 per key and day.
     """
-    micros = F.pmod(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(1_000_000))
-    tie = F.coalesce("event_id", F.lit(0)).cast("decimal(19,0)")
-    newest = micros.cast("decimal(6,0)") * F.lit(f"1{'0' * 19}").cast("decimal(20,0)") + tie
-    return (
-        df.where(F.col("ts").isNotNull() & F.col(value).isNotNull())
-        .groupBy(*keys, epoch_seconds("ts").alias("sec"))
-        .agg(F.max_by(value, newest).alias("v"))
+    order = W.partitionBy(*keys, "sec").orderBy("ts", "event_id", "v")
+    known = df.where(F.col("ts").isNotNull() & F.col(value).isNotNull())
+    rows = known.select(*keys, epoch_seconds("ts").alias("sec"), "ts", "event_id", F.col(value).alias("v"))
+    linked = rows.withColumns({"before": F.lag("v").over(order), "after": F.lead("v").over(order)})
+    return linked.groupBy(*keys, "sec").agg(
+        F.max(F.when(F.col("before").isNull(), F.col("v"))).alias("first_v"),
+        F.max(F.when(F.col("after").isNull(), F.col("v"))).alias("v"),
+        F.sum(_growth("v", "before")).alias("inside"),
     )
 
 
 def increases(sampled: DataFrame, keys: tuple[str, ...] = ("station",)) -> DataFrame:
-    """Growth since the previous sample; after a reset, the value itself; 0 for the first."""
+    """Growth of each second, from the newest sample before it on: every sample counts."""
     linked = previous_row(sampled, keys, "sec", ["v"])
-    grown = (
-        F.when(F.col("prev_v").isNull(), F.lit(0).cast("bigint"))
-        .when(F.col("v") < F.col("prev_v"), F.col("v"))
-        .otherwise(F.col("v") - F.col("prev_v"))
-    )
-    return linked.withColumn("increase", grown).drop("prev_v")
+    grown = F.col("inside") + _growth("first_v", "prev_v")
+    return linked.withColumn("increase", grown).drop("prev_v", "first_v", "inside")
 
 
 def counter_rate(df: DataFrame, value: str, span_s: int, keys: tuple[str, ...] = ("station",)) -> DataFrame:
-    """Increase within the trailing ``span_s`` seconds and its rate per minute at each sample."""
+    """Increase within the trailing ``span_s`` seconds and its rate per minute at each second with a sample."""
     grown = increases(samples(df, value, keys), keys)
     summed = trailing_seconds(grown, keys, "sec", span_s, {"window_increase": lambda w: F.sum("increase").over(w)})
     per_minute: Column = F.round(F.col("window_increase") * 60.0 / span_s, 6)

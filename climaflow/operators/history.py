@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.calendar import day_label, hour_label, month_label
 from ..functions.fixedpoint import half_up_ratio, hundredths, mean_of_hundredths
+from ..session import cut
+from .keyed import join_per_key
 
 PERIODS = ("day", "week", "month", "year")
 
@@ -35,8 +37,11 @@ def trailing_period(df: DataFrame, period: str, per: str | None = None) -> DataF
         return df.where(F.col("ts").isNotNull())
     if per is None:
         return df.where(_within(period, F.col("ts"), newest(df)))
-    anchors = df.groupBy(per).agg(F.max("ts").alias("_anchor"))
-    return df.join(anchors, per).where(_within(period, F.col("ts"), F.col("_anchor"))).drop("_anchor")
+    anchors = cut(df.groupBy(per).agg(F.max("ts").alias("_anchor")))
+    # The oldest anchor bounds the scan before each key's own one is looked up.
+    recent = df.where(_within(period, F.col("ts"), anchors.agg(F.min("_anchor")).scalar()))
+    own = join_per_key(recent, anchors, [per])
+    return own.where(_within(period, F.col("ts"), F.col("_anchor"))).drop("_anchor")
 
 
 def _bucket(period: str) -> Column:

@@ -28,11 +28,14 @@ def interpolate_hours(hourly: DataFrame, keys: tuple[str, ...] = ("station",)) -
     """Every hour from first to last, gaps filled linearly in time.
 
     Each known hour emits itself and the missing hours up to the next known one, so no grid is
-    joined. Hours before the first known value stay null; hours after the last one repeat it.
+    joined. Hours before the first known value stay null; hours after the last one repeat it. A
+    key without any known value has all its hours as nulls.
     """
     whole = W.partitionBy(*keys)
-    spans = hourly.withColumns({"lo": F.min("hr").over(whole), "hi": F.max("hr").over(whole)})
-    known = spans.where(F.col("temp").isNotNull())
+    spans = hourly.withColumns({
+        "lo": F.min("hr").over(whole), "hi": F.max("hr").over(whole), "n_known": F.count("temp").over(whole),
+    })
+    known = spans.where(F.col("temp").isNotNull() | ((F.col("n_known") == 0) & (F.col("hr") == F.col("lo"))))
     order = whole.orderBy("hr")
     linked = known.withColumns({
         "next_hr": F.lead("hr").over(order),
@@ -53,7 +56,8 @@ def interpolate_hours(hourly: DataFrame, keys: tuple[str, ...] = ("station",)) -
         .when(F.col("next_hr").isNull() | (F.col("at") == F.col("hr")), F.col("temp"))
         .otherwise(F.col("temp") + slope * (secs("at") - secs("hr")))
     )
-    return cells.select(*keys, F.col("at").alias("hr"), value.alias("temp"), (F.col("at") != F.col("hr")).alias("filled"))
+    filled = (F.col("at") != F.col("hr")) | F.col("temp").isNull()
+    return cells.select(*keys, F.col("at").alias("hr"), value.alias("temp"), filled.alias("filled"))
 
 
 def lag_columns(keys: tuple[str, ...] = ("station",), hours=LAGS) -> dict:

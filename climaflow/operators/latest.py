@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.calendar import clock_text, epoch_millis
+from ..session import cut
 from .history import newest
+from .keyed import join_per_key
 
 NEWEST = ("ts", "event_id")
 
@@ -38,9 +40,9 @@ def recent_days(df: DataFrame, keys: list[str], k: int) -> DataFrame:
     days = df.where(F.col("ts").isNotNull()).groupBy(*keys, F.to_date("ts").alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
     later = W.partitionBy(*keys).orderBy(F.col("_day").desc()).rowsBetween(W.unboundedPreceding, -1)
     needed = days.withColumn("_after", F.coalesce(F.sum("_n").over(later), F.lit(0))).where(F.col("_after") < k)
-    starts = needed.groupBy(*keys).agg(F.min("_day").cast("timestamp_ntz").alias("_start"))
+    starts = cut(needed.groupBy(*keys).agg(F.min("_day").cast("timestamp_ntz").alias("_start")))
     oldest = starts.agg(F.min("_start").alias("s")).scalar()
-    return df.where(F.col("ts") >= oldest).join(starts, keys).where(F.col("ts") >= F.col("_start")).drop("_start")
+    return join_per_key(df.where(F.col("ts") >= oldest), starts, keys).where(F.col("ts") >= F.col("_start")).drop("_start")
 
 
 def _newest_k(df: DataFrame, keys: list[str], k: int, position: str) -> DataFrame:

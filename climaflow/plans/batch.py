@@ -350,9 +350,23 @@ def sustained_extreme(spark, d):
 
 def sustained_errors(spark, d):
     """Error rate above zero over five minutes, held for ten (the given events are sparse)."""
-    rates = counters.counter_rate(_errors_counter(_r(spark, d)), "errors_total", 300)
-    timed = rates.withColumn("ts", F.timestamp_seconds("sec"))
-    return naive_timestamps(alerts.sustained(timed, F.col("rate_per_min") > 0, 600))
+    return naive_timestamps(alerts.sustained_errors(_errors_counter(_r(spark, d)), "errors_total", 300, 600))
+
+
+def _dense(r: DataFrame) -> DataFrame:
+    """The counters with a minute of the given time as one second, so that short spans hold samples."""
+    quick = F.timestamp_seconds(F.floor(cal.epoch_seconds("ts") / 60)).cast("timestamp_ntz")
+    return _errors_counter(r).withColumn("ts", quick)
+
+
+def counter_rate_1m(spark, d):
+    """Rate per minute over the last minute of the dense counter that restarts."""
+    return counters.counter_rate(_dense(_r(spark, d)), "restarting", 60)
+
+
+def sustained_errors_2m(spark, d):
+    """The error rule with its own numbers: a rate above zero over two minutes, held for one."""
+    return naive_timestamps(alerts.sustained_errors(_dense(_r(spark, d)), "errors_total"))
 
 
 def silent_gaps(spark, d):
@@ -411,5 +425,7 @@ QUERIES = {
     "counter_rate": counter_rate,
     "sustained_extreme": sustained_extreme,
     "sustained_errors": sustained_errors,
+    "counter_rate_1m": counter_rate_1m,
+    "sustained_errors_2m": sustained_errors_2m,
     "silent_gaps": silent_gaps,
 }

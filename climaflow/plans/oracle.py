@@ -135,15 +135,23 @@ grid AS (SELECT station, hr, t IS NULL AS filled,
 _W = "OVER (PARTITION BY station ORDER BY hr)"
 
 
-def _samples(value: str) -> str:
+def _samples(value: str, clock: str) -> str:
+    """Every sample against the one before it, then summed by second."""
     return READINGS + f""",
-s AS (SELECT station, CAST(floor(epoch(ts)) AS BIGINT) AS sec, arg_max({value}, (ts, event_id)) AS v FROM r GROUP BY ALL),
-i AS (SELECT station, sec, v, lag(v) OVER (PARTITION BY station ORDER BY sec) AS pv FROM s),
-inc AS (SELECT station, sec, v, CASE WHEN pv IS NULL THEN 0 WHEN v < pv THEN v ELSE v - pv END AS increase FROM i)"""
+d AS (SELECT station, event_id, {clock} AS ts FROM r),
+s AS (SELECT station, CAST(floor(epoch(ts)) AS BIGINT) AS sec, {value} AS x, lag({value}) OVER w AS px, row_number() OVER w AS nr
+      FROM d WINDOW w AS (PARTITION BY station ORDER BY ts, event_id)),
+inc AS (SELECT station, sec, arg_max(x, nr) AS v,
+          CAST(sum(CASE WHEN px IS NULL THEN 0 WHEN x < px THEN x ELSE x - px END) AS BIGINT) AS increase
+        FROM s GROUP BY station, sec)"""
 
 
-def _rates(value: str, span: int) -> str:
-    return _samples(value) + f""",
+# A minute of the given time as one second.
+_DENSE = "CAST(to_timestamp(floor(epoch(ts) / 60)) AT TIME ZONE 'UTC' AS TIMESTAMP)"
+
+
+def _rates(value: str, span: int, clock: str = "ts") -> str:
+    return _samples(value, clock) + f""",
 rt AS (SELECT station, sec, v, increase,
          CAST(sum(increase) OVER (PARTITION BY station ORDER BY sec RANGE BETWEEN {span - 1} PRECEDING AND CURRENT ROW) AS BIGINT) AS window_increase
        FROM inc)"""
@@ -344,6 +352,11 @@ SELECT station, sec, v, increase, window_increase, round(window_increase * 60.0:
     "sustained_errors": f"""WITH {_rates('event_id // 40', 300)},
 rated AS (SELECT station, CAST(to_timestamp(sec) AT TIME ZONE 'UTC' AS TIMESTAMP) AS ts, window_increase FROM rt)
 {_islands('rated', 'window_increase > 0', 600)}""",
+    "counter_rate_1m": f"""WITH {_rates('event_id % 37', 60, _DENSE)}
+SELECT station, sec, v, increase, window_increase, round(window_increase * 60.0::DOUBLE / 60, 6) AS rate_per_min FROM rt""",
+    "sustained_errors_2m": f"""WITH {_rates('event_id // 40', 120, _DENSE)},
+rated AS (SELECT station, CAST(to_timestamp(sec) AT TIME ZONE 'UTC' AS TIMESTAMP) AS ts, window_increase FROM rt)
+{_islands('rated', 'window_increase > 0', 60)}""",
     "silent_gaps": """WITH g AS (SELECT event_type AS station, ts AS silent_from,
   lead(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS silent_to FROM events)
 SELECT station, silent_from, silent_to, (epoch_us(silent_to) - epoch_us(silent_from)) / 1000000.0::DOUBLE AS gap_s
@@ -354,6 +367,11 @@ FROM g WHERE epoch_us(silent_to) - epoch_us(silent_from) > 60000000""",
     "stream_late_drop": WINDOW_5M.replace("FROM r GROUP BY ALL", """FROM r,
   (SELECT min(epoch_us(ts)) AS t0, max(epoch_us(ts)) AS t1 FROM events)
   WHERE least(floor((epoch_us(ts) - t0) * 4 / (t1 - t0)), 3) IN (0, 3) GROUP BY ALL"""),
+    "stream_trial_rows": """WITH t(trial, trigger, watermark, window_width, minutes) AS (VALUES
+  (1, '10 seconds', '1 minute', '5 minutes', 5), (2, '30 seconds', '2 minutes', '5 minutes', 5),
+  (3, '60 seconds', '5 minutes', '10 minutes', 10))
+SELECT CAST(trial AS INTEGER) AS trial, trigger, watermark, window_width,
+  (SELECT count(DISTINCT epoch_us(ts) // (60000000 * minutes)) FROM events) AS rows FROM t""",
     "stream_snapshot_heatmap": f"""WITH {READINGS}
 SELECT station, hour_of_day, {_cents_mean('sum(c)', 'count(*)')} AS avg_temp, count(*) AS events FROM r GROUP BY ALL""",
     "stream_sustained": f"WITH {READINGS} {_islands('r', 'temp > 30 OR temp < -10', 300)}",

@@ -73,6 +73,11 @@ def stream_param_sweep(spark, d):
     return windows.compare_trials(spark, _stream(spark, _events_path(d)), root)
 
 
+def stream_trial_rows(spark, d):
+    """Settings and result rows of the trials; a table of one file is one batch, which writes each window once."""
+    return stream_param_sweep(spark, d).select("trial", "trigger", "watermark", "window_width", "rows")
+
+
 def _snapshot_state(spark, d):
     root = run_dir(spark, "snapshot")
     state = LiveState(f"{root}/state")
@@ -156,6 +161,7 @@ QUERIES = {
     "stream_restart": stream_restart,
     "stream_late_drop": stream_late_drop,
     "stream_param_sweep": stream_param_sweep,
+    "stream_trial_rows": stream_trial_rows,
     "stream_snapshot": stream_snapshot,
     "stream_snapshot_heatmap": stream_snapshot_heatmap,
     "stream_sustained": stream_sustained,

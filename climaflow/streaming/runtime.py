@@ -99,19 +99,6 @@ def last_batch_id(query: StreamingQuery) -> int:
     return query.lastProgress["batchId"]
 
 
-def batch_metrics(query: StreamingQuery, trial: int = 0) -> list[tuple]:
-    """Rows, seconds and rows per second of the query's recent batches, from its own progress.
-
-    Progress is kept by the engine for a bounded number of batches, so this is small.
-    """
-    found = []
-    for p in query.recentProgress:
-        seconds = round(p["durationMs"].get("triggerExecution", 0) / 1000.0, 3)
-        rows = p["numInputRows"]
-        found.append((trial, p["batchId"], rows, seconds, round(rows / max(seconds, 0.001), 2)))
-    return found
-
-
 def metrics_frame(spark: SparkSession, metrics: list[tuple]) -> DataFrame:
     return spark.createDataFrame(metrics, METRIC_SCHEMA)
 

@@ -67,9 +67,9 @@ class LiveState:
             F.col("hour_of_day").alias("h"), F.col("avg_temp").alias("temp"),
             F.coalesce("events", F.lit(0)).alias("count"),
         )
-        maps = dense.groupBy("station").agg(
-            F.sum("events").alias("total"), F.sort_array(F.collect_list(cell)).alias("heatmap"),
-        )
+        # Rows without an hour are in no cell of the grid but count in the total.
+        totals = cells.groupBy("station").agg(F.sum("events").alias("total"))
+        maps = dense.groupBy("station").agg(F.sort_array(F.collect_list(cell)).alias("heatmap")).join(totals, "station")
         tail = self.slots.now(spark, "tail", batch_id).withColumn("clock", clock_text("ts_raw"))
         entry = F.struct("ts", "event_id", "clock", "temp", "humidity", "wind", "pressure", "description")
         rows = tail.groupBy("station").agg(F.sort_array(F.collect_list(entry)).alias("rows"))

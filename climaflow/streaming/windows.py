@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.latest import latest_per_key
 from ..operators.windows import TRIAL_MEASURES, WindowSpec, windowed_aggregate
-from .runtime import batch_folders, batch_metrics, each_batch, metrics_frame, newest_batch, run_available
+from .runtime import METRIC_SCHEMA, Metered, batch_folders, each_batch, newest_batch, run_available
 
 
 def complete_result(spark: SparkSession, readings: DataFrame, spec: WindowSpec, root: str) -> DataFrame:
@@ -61,20 +61,25 @@ TRIALS = (
 )
 
 
-def run_trial(spark: SparkSession, readings: DataFrame, trial: Trial, root: str) -> list[tuple]:
-    """One trial over the available input; its batch metrics."""
+def run_trial(spark: SparkSession, readings: DataFrame, trial: Trial, root: str) -> DataFrame:
+    """One trial over the available input; result rows, seconds and rows per second of every batch."""
     spec = WindowSpec(trial.window, trial.watermark, ("hour_of_day",), TRIAL_MEASURES)
-    return batch_metrics(run_updates(spark, readings, spec, f"{root}/trial-{trial.number}"), trial.number)
+    here = f"{root}/trial-{trial.number}"
+    metered = Metered(batch_folders(f"{here}/out"), f"{here}/metrics", trial.number)
+    run_available(each_batch(windowed_aggregate(readings, spec), metered, f"{here}/checkpoint", "update"), spark)
+    return spark.read.schema(METRIC_SCHEMA).parquet(f"{here}/metrics").drop("batch_id")
 
 
 def compare_trials(spark: SparkSession, readings: DataFrame, root: str, trials=TRIALS) -> DataFrame:
-    """Batches, rows, mean latency and throughput of each trial."""
-    metrics = [m for t in trials for m in run_trial(spark, readings, t, root)]
+    """Batches, result rows, mean latency and throughput of each trial."""
+    metrics = spark.createDataFrame([], METRIC_SCHEMA)
+    for t in trials:
+        metrics = metrics.unionByName(run_trial(spark, readings, t, root))
     settings = spark.createDataFrame(
         [(t.number, t.trigger, t.watermark, t.window) for t in trials],
         "trial int, trigger string, watermark string, window_width string",
     )
-    by_trial = metrics_frame(spark, metrics).groupBy("trial").agg(
+    by_trial = metrics.groupBy("trial").agg(
         F.count(F.lit(1)).alias("batches"),
         F.sum("rows").alias("rows"),
         F.round(F.avg("latency_s"), 3).alias("mean_latency_s"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from climaflow.functions import bands, calendar as cal
 from climaflow.functions.fixedpoint import half_up_ratio
-from climaflow.operators import alerts, counters, describe, history, hourly, latest, ordered, pipeline_metrics
+from climaflow.operators import alerts, counters, describe, history, hourly, keyed, latest, ordered, pipeline_metrics
 from climaflow.operators.windows import WindowSpec, windowed_aggregate
 from climaflow.sources import kafka, payload, wire
 
@@ -152,6 +152,29 @@ def test_counter_reset(spark):
     assert [r["increase"] for r in out] == [0, 2, 1]
 
 
+def test_counter_counts_every_sample_of_a_second(spark):
+    data = [(i, "a", at(f"2024-01-01T00:00:{s}"), v) for i, (s, v) in enumerate(
+        [("00.1", 10), ("01.1", 12), ("01.2", 1), ("01.2", 13), ("09", 2), ("09.5", None)])]
+    df = spark.createDataFrame(data, "event_id long, station string, ts timestamp_ntz, v long")
+    out = counters.increases(counters.samples(df, "v")).orderBy("sec").collect()
+    assert [(r["v"], r["increase"]) for r in out] == [(10, 0), (13, 15), (2, 2)]
+
+
+def test_station_of_nulls_keeps_its_hours(spark):
+    data = [("a", at("2024-01-01T00:00:00"), None), ("a", at("2024-01-01T02:00:00"), None), ("b", at("2024-01-01T00:00:00"), 1.0)]
+    df = spark.createDataFrame(data, "station string, hr timestamp_ntz, temp double")
+    got = rows(hourly.interpolate_hours(df).select("station", F.hour("hr").alias("h"), "temp", "filled"), "station", "h")
+    assert got == [("a", 0, None, True), ("a", 1, None, True), ("a", 2, None, True), ("b", 0, 1.0, False)]
+
+
+def test_newest_rows_beyond_the_broadcast_limit(spark):
+    data = [(i, f"s{i % 3}", at(f"2024-01-0{1 + i % 7}T00:00:00")) for i in range(30)]
+    df = spark.createDataFrame(data, "event_id long, station string, ts timestamp_ntz")
+    anchors = df.groupBy("station").agg(F.max("ts").alias("m"))
+    assert rows(keyed.join_per_key(df, anchors, ["station"], 2), "event_id") == rows(keyed.join_per_key(df, anchors, ["station"]), "event_id")
+    assert history.trailing_period(df.limit(0), "week", "station").count() == 0
+
+
 def test_counter_rate_looks_back_over_midnight(spark):
     data = [(1, "a", at("2024-01-01T23:59:30"), 5), (2, "a", at("2024-01-01T23:59:59"), 7), (3, "a", at("2024-01-02T00:00:20"), 10)]
     df = spark.createDataFrame(data, "event_id long, station string, ts timestamp_ntz, v long")

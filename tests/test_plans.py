@@ -34,6 +34,19 @@ def test_period_filter_reaches_the_scan(spark, small):
     assert re.search(r"DataFilters: \[isnotnull\(ts#\d+\), \(ts#\d+ >= Subquery", text)
 
 
+@pytest.mark.parametrize("name", ["history_week_per_station", "last_60_series", "last_40_series", "event_log_10", "latest_per_station"])
+def test_raw_rows_are_not_shuffled_by_station(spark, small, name):
+    """As on a large table, where no side is small enough to broadcast unasked."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        text = plan(batch.QUERIES[name](spark, small))
+    finally:
+        spark.conf.set(key, before)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+
+
 def test_last_k_is_limited_before_the_shuffle(spark, small):
     text = plan(batch.QUERIES["last_60_series"](spark, small))
     assert text.count("WindowGroupLimit") == 4

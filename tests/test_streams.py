@@ -102,6 +102,28 @@ def test_sustained_and_silence_over_batches(spark, parts, small, tmp_path):
     assert got.where("silent_to is null").count() <= 5
 
 
+def test_trials_count_every_batch(spark, small, tmp_path):
+    """More batches than the engine keeps reports of."""
+    e = events(spark, small)
+    e.repartitionByRange(8, "ts").sortWithinPartitions("ts").write.parquet(f"{tmp_path}/in")
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        got = windows.compare_trials(spark, readings(event_stream(spark, f"{tmp_path}/in")), str(tmp_path), windows.TRIALS[:1]).first()
+    finally:
+        spark.conf.set(key, before)
+    written = windows.update_revisions(spark, f"{tmp_path}/trial-1")
+    assert got["batches"] >= 8 and got["rows"] == written.count() > 0
+
+
+def test_snapshot_total_counts_rows_without_an_hour(spark, small, tmp_path):
+    state = LiveState(str(tmp_path))
+    batch = full_readings(events(spark, small)).withColumn("ts", F.col("ts").cast("timestamp"))
+    state(batch.withColumn("hour_of_day", F.when(F.col("event_id") % 10 != 0, F.col("hour_of_day"))), 0)
+    assert state.snapshot(spark, 0).agg(F.sum("total")).first()[0] == batch.count()
+
+
 def test_live_state_over_batches(spark, parts, small, tmp_path):
     state = LiveState(f"{tmp_path}/state")
     stream = full_readings(event_stream(spark, f"{parts}/p*"))
