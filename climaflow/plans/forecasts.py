@@ -21,11 +21,13 @@ _LOADED: dict[str, temperature.TemperatureModels] = {}
 
 
 def _models(spark: SparkSession, d: str) -> temperature.TemperatureModels:
-    """Models of this table: trained and saved once per application, then kept loaded."""
-    name = hashlib.sha1(d.encode()).hexdigest()[:12]
+    """Models of this table: trained and saved once per application and content, then kept loaded."""
+    rows = readings(events(spark, d))
+    content = rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("event_id", "ts", "temp").cast("decimal(38,0)"))).first()
+    name = hashlib.sha1(f"{d} {content[0]} {content[1]}".encode()).hexdigest()[:12]
     path = f"{shared_dir(spark)}/models-{spark.sparkContext.applicationId}-{name}"
     if path not in _LOADED:
-        models, reason = temperature.fit_or_load(readings(events(spark, d)), path)
+        models, reason = temperature.fit_or_load(rows, path)
         if models is None:
             raise ValueError(reason)
         _LOADED[path] = models

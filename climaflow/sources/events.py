@@ -12,12 +12,15 @@ DESCRIPTIONS = [
     "muy nuboso", "lluvia ligera", "lluvia moderada", "llovizna",
 ]
 
+# Files that a micro-batch takes at most: with files of a gigabyte, a terabyte at a time.
+FILES_PER_TRIGGER = 1000
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pin(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
-def event_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+def event_stream(spark: SparkSession, path: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """The events table, or a folder of its parts, as a file stream with instant timestamps."""
     pin(spark)
     schema = spark.read.parquet(path).schema

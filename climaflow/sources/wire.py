@@ -24,17 +24,30 @@ def instant(raw: str) -> Column:
     return F.try_to_timestamp(F.col(raw))
 
 
+def _finite(name: str) -> Column:
+    return F.when(F.abs(F.col(name)) < float("inf"), F.col(name))
+
+
+def _doubles(df: DataFrame) -> list[str]:
+    names = {engine for _, engine, _ in WIRE_FIELDS}
+    return [c for c, kind in df.dtypes if kind == "double" and c in names]
+
+
 def decode(df: DataFrame, fields: list[str] | None = None, *keep: str) -> DataFrame:
-    """Parse ``value`` into engine columns plus ``ts``; unlisted fields are never materialised."""
+    """Parse ``value`` into engine columns plus ``ts``; unlisted fields are never materialised.
+
+    NaN and infinite numbers become null.
+    """
     parsed = df.select(*keep, F.from_json(F.col("value").cast("string"), wire_schema(fields)).alias("d"))
-    return to_engine_names(parsed.select(*keep, "d.*")).withColumn("ts", instant("ts_raw"))
+    flat = to_engine_names(parsed.select(*keep, "d.*"))
+    return flat.withColumns({"ts": instant("ts_raw"), **{c: _finite(c) for c in _doubles(flat) if c not in keep}})
 
 
 def decode_checked(df: DataFrame, *keep: str) -> DataFrame:
     """As ``decode``, with ``reason`` set on rows that lost something.
 
     ``corrupt`` covers unreadable JSON and wrong-typed fields, ``timestamp`` a missing or
-    unreadable time. Good rows have a null reason.
+    unreadable time, ``number`` a NaN or infinite number, which becomes null. Good rows have a null reason.
     """
     schema = wire_schema().add(CORRUPT, "string")
     parsed = df.select(
@@ -43,8 +56,12 @@ def decode_checked(df: DataFrame, *keep: str) -> DataFrame:
         F.from_json(F.col("value").cast("string"), schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("d"),
     )
     flat = to_engine_names(parsed.select(*keep, "raw", "d.*")).withColumn("ts", instant("ts_raw"))
-    reason = F.when(F.col(CORRUPT).isNotNull(), "corrupt").when(F.col("ts").isNull(), "timestamp")
-    return flat.withColumn("reason", reason).drop(CORRUPT)
+    numbers = [c for c in _doubles(flat) if c not in keep]
+    lost = F.lit(False)
+    for c in numbers:
+        lost = lost | (F.col(c).isNotNull() & _finite(c).isNull())
+    reason = F.when(F.col(CORRUPT).isNotNull(), "corrupt").when(F.col("ts").isNull(), "timestamp").when(lost, "number")
+    return flat.withColumns({"reason": reason, **{c: _finite(c) for c in numbers}}).drop(CORRUPT)
 
 
 def quarantine_split(df: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame]:

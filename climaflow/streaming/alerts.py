@@ -1,102 +1,152 @@
 """Sustained-condition and silence alerts on streams.
 
-Each micro-batch runs the batch operators over its readings plus a few carried rows per
-station: the open run, or the newest reading. Busy stations are combined map-side like in batch,
-and no row passes through Python. A station's readings older than its carried state are late
-and left out.
+Each micro-batch runs the batch operators over its readings plus the carried ones. Per station those are the readings
+of the lateness span before its newest one, and what older ones still matter: the ends of the open run, or the newest
+of them. A reading that is late by no more than the span therefore counts as in batch: it can split a run or end a
+silence that was reported before. What it can no longer change is written as final; the rest is provisional and
+replaced by the next batch. Busy stations are combined map-side like in batch, and no row passes through Python.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.calendar import epoch_seconds
 from ..operators.alerts import EXTREME_HOLD_S, SILENCE_S, extreme_temperature, silent_gaps, sustained
-from ..operators.latest import latest_per_key
+from ..operators.keyed import join_per_key
 from .slots import Slots
 
+# How much older than its station's newest reading a reading may come, in seconds.
+LATENESS_S = 120
 
-class SustainedAlerts:
-    """Batch callback: runs long enough to alert, updated while they last.
 
-    Output per batch: ``station, started, ended, held_s``; a run that goes on is written again
-    with its new end. ``alerts`` keeps the newest version of each.
+class _Alerts:
+    """State, output and acceptance of readings that both kinds of alerts share.
+
+    Output per batch is one folder. A row without a station marks the batch, so that one without alerts still replaces
+    the provisional alerts of the batch before.
     """
 
-    def __init__(self, root: str, hold_s: int = EXTREME_HOLD_S, flagged: Column | None = None):
-        self.slots, self.out, self.hold_s = Slots(f"{root}/state"), f"{root}/alerts", hold_s
-        self.flagged = flagged
+    def __init__(self, root: str, lateness_s: int):
+        self.slots, self.out, self.lateness_s = Slots(f"{root}/state"), f"{root}/alerts", lateness_s
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, rows = batch.sparkSession, self._readings(batch)
+        before = self.slots.before(spark, "newest", batch_id)
+        if before is not None:
+            horizon = before.select("station", self._horizon().alias("_horizon"))
+            known = join_per_key(rows, horizon, ["station"], how="left")
+            in_time = F.col("_horizon").isNull() | (F.col("ts") > F.col("_horizon"))
+            rows = known.where(in_time).drop("_horizon").unionByName(self.slots.before(spark, "rows", batch_id))
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            seen = rows.select("station", F.col("ts").alias("seen"))
+            if before is not None:
+                seen = seen.unionByName(before)
+            self.slots.save(seen.groupBy("station").agg(F.max("seen").alias("seen")), "newest", batch_id)
+            newest = self.slots.now(spark, "newest", batch_id)
+            self._fold(rows, newest, newest.select("station", self._horizon().alias("_horizon")), batch_id)
+        finally:
+            rows.unpersist()
+
+    def _readings(self, batch: DataFrame) -> DataFrame:
+        raise NotImplementedError
+
+    def _fold(self, rows: DataFrame, newest: DataFrame, horizon: DataFrame, batch_id: int) -> None:
+        raise NotImplementedError
+
+    def _horizon(self) -> Column:
+        return F.timestamp_micros(F.unix_micros("seen") - self.lateness_s * 1_000_000)
+
+    def _write(self, found: DataFrame, batch_id: int) -> None:
+        mark = found.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in found.schema])
+        found.unionByName(mark).write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
+
+    def alerts(self, spark: SparkSession) -> DataFrame:
+        """Final alerts of all batches and provisional ones of the last."""
+        written = spark.read.parquet(self.out)
+        last = written.select(F.max("batch_id")).scalar()
+        current = F.col("final") | (F.col("batch_id") == last)
+        return written.where(F.col("station").isNotNull() & current).drop("batch_id", "final")
+
+
+class SustainedAlerts(_Alerts):
+    """Batch callback: runs long enough to alert, updated while they last.
+
+    ``alerts`` has ``station, started, ended, held_s``; a run is final when an unflagged reading after it is out of
+    the lateness span.
+    """
+
+    def __init__(self, root: str, hold_s: int = EXTREME_HOLD_S, flagged: Column | None = None, lateness_s: int = LATENESS_S):
+        super().__init__(root, lateness_s)
+        self.hold_s, self.flagged = hold_s, flagged
+
+    def _readings(self, batch: DataFrame) -> DataFrame:
         flag = extreme_temperature(F.col("temp")) if self.flagged is None else self.flagged
-        rows = batch.select("station", "ts", flag.alias("flag")).where(
-            F.col("station").isNotNull() & F.col("ts").isNotNull() & F.col("flag").isNotNull()
-        )
-        carried = self.slots.before(spark, "open", batch_id)
-        if carried is not None:
-            newest = carried.select("station", F.col("seen").alias("_seen"))
-            rows = (
-                rows.join(newest, "station", "left")
-                .where(F.col("_seen").isNull() | (F.col("ts") > F.col("_seen"))).drop("_seen")
-            )
-            ends = carried.where(F.col("started").isNotNull()).select(
-                "station", F.explode(F.array("started", "ended")).alias("ts"), F.lit(True).alias("flag")
-            )
-            seen = carried.select("station", F.col("seen").alias("ts"))
-            rows = rows.unionByName(ends)
-        runs = sustained(rows, F.col("flag"), self.hold_s)
-        runs.write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
-
-        marks = rows.groupBy("station").agg(F.max("ts").alias("seen"), F.max(F.when(~F.col("flag"), F.col("ts"))).alias("calm"))
-        if carried is not None:
-            marks = marks.unionByName(seen.select("station", F.col("ts").alias("seen"), F.lit(None).cast("timestamp").alias("calm")))
-            marks = marks.groupBy("station").agg(F.max("seen").alias("seen"), F.max("calm").alias("calm"))
-        still = (
-            rows.where("flag").join(marks, "station")
-            .where(F.col("calm").isNull() | (F.col("ts") > F.col("calm")))
-            .groupBy("station").agg(F.min("ts").alias("started"), F.max("ts").alias("ended"))
-        )
-        self.slots.save(marks.select("station", "seen").join(still, "station", "left"), "open", batch_id)
-
-    def alerts(self, spark) -> DataFrame:
-        return latest_per_key(spark.read.parquet(self.out), ["station", "started"], "batch_id").drop("batch_id")
-
-
-class SilenceAlerts:
+        rows = batch.select("station", "ts", flag.alias("flag"))
+        return rows.where(F.col("station").isNotNull() & F.col("ts").isNotNull() & F.col("flag").isNotNull())
+
+    def _fold(self, rows: DataFrame, newest: DataFrame, horizon: DataFrame, batch_id: int) -> None:
+        settled = F.col("ts") <= F.col("_horizon")
+        placed = join_per_key(rows, horizon, ["station"])
+        calm = placed.groupBy("station").agg(F.max(F.when(settled & ~F.col("flag"), F.col("ts"))).alias("_calm"))
+        self.slots.save(horizon.join(calm, "station", "left"), "calm", batch_id)
+        marks = self.slots.now(rows.sparkSession, "calm", batch_id)
+
+        placed = join_per_key(rows, marks, ["station"])
+        # Readings of one instant count as one.
+        recent = placed.where(~settled).groupBy("station", "ts").agg(F.bool_and("flag").alias("flag"))
+        after_calm = F.col("_calm").isNull() | (F.col("ts") > F.col("_calm"))
+        open_run = placed.where(settled & F.col("flag") & after_calm).groupBy("station").agg(
+            F.min("ts").alias("started"), F.max("ts").alias("ended"))
+        ends = open_run.select("station", F.explode(F.array("started", "ended")).alias("ts"), F.lit(True).alias("flag"))
+        self.slots.save(recent.unionByName(ends), "rows", batch_id)
+
+        runs = sustained(rows, F.col("flag"), self.hold_s).join(marks, "station")
+        final = F.coalesce(F.col("ended") < F.col("_calm"), F.lit(False))
+        self._write(runs.select("station", "started", "ended", "held_s", final.alias("final")), batch_id)
+
+
+class SilenceAlerts(_Alerts):
     """Batch callback: silences that ended, and stations silent at the stream's newest time.
 
-    Output per batch: ``station, silent_from, silent_to``; ``silent_to`` is null while the station
-    is still silent. ``alerts`` keeps the newest version of each.
+    ``alerts`` has ``station, silent_from, silent_to``; ``silent_to`` is null while the station is still silent. A
+    silence is final when its end is out of the lateness span. ``silent_at`` tells which stations are silent at any
+    other time, without a batch: when all data stops, the caller's clock raises the alert.
     """
 
-    def __init__(self, root: str, limit_s: int = SILENCE_S):
-        self.slots, self.out, self.limit_s = Slots(f"{root}/state"), f"{root}/alerts", limit_s
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.select("station", "ts").where(F.col("station").isNotNull() & F.col("ts").isNotNull())
-        carried = self.slots.before(spark, "newest", batch_id)
-        if carried is not None:
-            known = carried.withColumnRenamed("ts", "_seen")
-            rows = (
-                rows.join(known, "station", "left")
-                .where(F.col("_seen").isNull() | (F.col("ts") > F.col("_seen"))).drop("_seen")
-                .unionByName(carried)
-            )
-        self.slots.save(rows.groupBy("station").agg(F.max("ts").alias("ts")), "newest", batch_id)
-        newest = self.slots.now(spark, "newest", batch_id)
-        closed = silent_gaps(rows, self.limit_s).select("station", "silent_from", "silent_to")
-        still = open_silences(newest, self.limit_s)
-        closed.unionByName(still).write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
-
-    def alerts(self, spark) -> DataFrame:
-        return latest_per_key(spark.read.parquet(self.out), ["station", "silent_from"], "batch_id").drop("batch_id")
-
-
-def open_silences(newest: DataFrame, limit_s: int) -> DataFrame:
-    """Stations whose newest reading is longer ago than the limit, seen from the newest of all."""
-    now = newest.select(F.max("ts")).scalar()
-    ago = F.unix_micros(now) - F.unix_micros("ts")
+    def __init__(self, root: str, limit_s: int = SILENCE_S, lateness_s: int = LATENESS_S):
+        super().__init__(root, lateness_s)
+        self.limit_s = limit_s
+
+    def _readings(self, batch: DataFrame) -> DataFrame:
+        return batch.select("station", "ts").where(F.col("station").isNotNull() & F.col("ts").isNotNull())
+
+    def _fold(self, rows: DataFrame, newest: DataFrame, horizon: DataFrame, batch_id: int) -> None:
+        settled = F.col("ts") <= F.col("_horizon")
+        placed = join_per_key(rows, horizon, ["station"])
+        # No silence fits between the first and last reading of a bucket as long as the limit.
+        bucket = F.floor(epoch_seconds("ts") / self.limit_s)
+        bounds = placed.where(~settled).groupBy("station", bucket.alias("_bucket")).agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+        recent = bounds.select("station", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("ts"))
+        anchor = placed.where(settled).groupBy("station").agg(F.max("ts").alias("ts"))
+        self.slots.save(recent.unionByName(anchor), "rows", batch_id)
+
+        closed = silent_gaps(rows, self.limit_s).join(horizon, "station").select(
+            "station", "silent_from", "silent_to", (F.col("silent_to") <= F.col("_horizon")).alias("final"))
+        still = open_silences(newest, self.limit_s).withColumn("final", F.lit(False))
+        self._write(closed.unionByName(still), batch_id)
+
+    def silent_at(self, spark: SparkSession, batch_id: int, now: Column | None = None) -> DataFrame:
+        """Stations silent at ``now`` (an instant; by default the clock's), after the batch ``batch_id``."""
+        return open_silences(self.slots.now(spark, "newest", batch_id), self.limit_s, F.current_timestamp() if now is None else now)
+
+
+def open_silences(newest: DataFrame, limit_s: int, now: Column | None = None) -> DataFrame:
+    """Stations whose newest reading (``seen``) is longer ago than the limit, seen from ``now`` or the newest of all."""
+    now = newest.select(F.max("seen")).scalar() if now is None else now
+    ago = F.unix_micros(now) - F.unix_micros("seen")
     return newest.where(ago > limit_s * 1_000_000).select(
-        "station", F.col("ts").alias("silent_from"), F.lit(None).cast("timestamp").alias("silent_to")
+        "station", F.col("seen").alias("silent_from"), F.lit(None).cast("timestamp").alias("silent_to")
     )

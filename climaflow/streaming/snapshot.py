@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.calendar import clock_text
 from ..functions.fixedpoint import half_up_ratio, hundredths, mean_of_hundredths
+from ..operators.keyed import join_null_safe
 from ..operators.latest import top_k
 from .slots import Slots
 
@@ -62,14 +63,14 @@ class LiveState:
         grid = cells.select("station").distinct().withColumn(
             "hour_of_day", F.explode(F.sequence(F.lit(0), F.lit(23)))
         )
-        dense = grid.join(cells, ["station", "hour_of_day"], "left")
+        dense = join_null_safe(grid, cells, ["station", "hour_of_day"], "left")
         cell = F.struct(
             F.col("hour_of_day").alias("h"), F.col("avg_temp").alias("temp"),
             F.coalesce("events", F.lit(0)).alias("count"),
         )
         # Rows without an hour are in no cell of the grid but count in the total.
         totals = cells.groupBy("station").agg(F.sum("events").alias("total"))
-        maps = dense.groupBy("station").agg(F.sort_array(F.collect_list(cell)).alias("heatmap")).join(totals, "station")
+        maps = join_null_safe(dense.groupBy("station").agg(F.sort_array(F.collect_list(cell)).alias("heatmap")), totals, ["station"])
         tail = self.slots.now(spark, "tail", batch_id).withColumn("clock", clock_text("ts_raw"))
         entry = F.struct("ts", "event_id", "clock", "temp", "humidity", "wind", "pressure", "description")
         rows = tail.groupBy("station").agg(F.sort_array(F.collect_list(entry)).alias("rows"))
@@ -82,7 +83,7 @@ class LiveState:
             F.sum("latency_ms").alias("ms"), F.count(F.lit(1)).alias("n")
         ).select(half_up_ratio("ms", "n", 1).alias("mean_latency_ms"))
         return (
-            maps.join(rows, "station")
+            join_null_safe(maps, rows, ["station"])
             .withColumn("mean_latency_ms", lat.scalar())
             .select(
                 "station",

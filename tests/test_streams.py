@@ -1,5 +1,6 @@
 """Streams in several micro-batches against the batch operators; late rows, replay, sinks."""
 
+import random
 import uuid
 
 import pytest
@@ -27,7 +28,7 @@ def parts(spark, small, tmp_path_factory):
 
 
 def stream_of(spark, parts):
-    return readings(event_stream(spark, f"{parts}/p*"))
+    return readings(event_stream(spark, f"{parts}/p*", files_per_trigger=1))
 
 
 def values(df):
@@ -57,7 +58,7 @@ def test_late_rows_are_dropped(spark, parts, tmp_path):
     fs = f"{tmp_path}/in"
     for name in ("p3", "p1"):
         spark.read.parquet(f"{parts}/{name}").write.parquet(f"{fs}/{name}")
-        windows.run_updates(spark, readings(event_stream(spark, f"{fs}/*")), WindowSpec(), str(tmp_path))
+        windows.run_updates(spark, readings(event_stream(spark, f"{fs}/*", files_per_trigger=1)), WindowSpec(), str(tmp_path))
     kept = windows.update_result(spark, WindowSpec(), str(tmp_path)).agg(F.sum("events")).first()[0]
     assert kept == spark.read.parquet(f"{parts}/p3").count()
 
@@ -102,6 +103,75 @@ def test_sustained_and_silence_over_batches(spark, parts, small, tmp_path):
     assert got.where("silent_to is null").count() <= 5
 
 
+def fed(spark, callback, batches):
+    """Runs a batch callback over given readings, one list per micro-batch."""
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, "station string, ts string, temp double")
+        callback(df.withColumn("ts", F.col("ts").cast("timestamp")), i)
+
+
+def at(clock):
+    return f"2024-01-01 {clock}"
+
+
+def test_tied_calm_reading_of_a_later_batch_ends_a_run(spark, tmp_path):
+    batches = [[("a", at("00:00:00"), 35.0), ("a", at("00:04:00"), 35.0)],
+               [("a", at("00:04:00"), 20.0), ("a", at("00:06:00"), 35.0)]]
+    found = SustainedAlerts(str(tmp_path), 300)
+    fed(spark, found, batches)
+    assert found.alerts(spark).count() == 0
+
+
+def test_late_reading_splits_a_silence(spark, tmp_path):
+    batches = [[("a", at("00:00:00"), 1.0), ("a", at("00:01:30"), 1.0)], [("a", at("00:00:45"), 1.0)]]
+    found = SilenceAlerts(str(tmp_path), 60)
+    fed(spark, found, batches[:1])
+    assert found.alerts(spark).count() == 1
+    fed(spark, found, batches)
+    assert found.alerts(spark).count() == 0
+    later = F.lit(at("00:03:00")).cast("timestamp")
+    silent = found.silent_at(spark, 1, later).collect()
+    assert [(r["station"], str(r["silent_from"]), r["silent_to"]) for r in silent] == [("a", at("00:01:30"), None)]
+
+
+def test_stream_alerts_equal_batch_over_unordered_readings(spark, tmp_path):
+    rng = random.Random(5)
+    rows = []
+    for station in "abc":
+        t = 0
+        for _ in range(300):
+            t += rng.choice([0, 5, 20, 40, 70, 130])
+            hot = rng.random() < 0.9
+            rows.append((t + rng.uniform(0, 100), station, t, 35.0 if hot else 20.0))
+    rows.sort()  # by arrival, which is up to 100 s late
+    clock = lambda t: at(f"{t // 3600:02d}:{t // 60 % 60:02d}:{t % 60:02d}")
+    data = [(s, clock(t), temp) for _, s, t, temp in rows]
+    batches = [data[i:i + 150] for i in range(0, len(data), 150)]
+    whole = spark.createDataFrame(data, "station string, ts string, temp double").withColumn("ts", F.col("ts").cast("timestamp"))
+    runs, gaps = SustainedAlerts(f"{tmp_path}/r", 120), SilenceAlerts(f"{tmp_path}/s", 60)
+    fed(spark, runs, batches)
+    fed(spark, gaps, batches)
+    assert values(runs.alerts(spark)) == values(alerts.sustained_extreme(whole, 120)) != []
+    want = alerts.silent_gaps(whole, 60).select("station", "silent_from", "silent_to")
+    assert values(gaps.alerts(spark).where("silent_to is not null")) == values(want) != []
+
+
+def test_snapshot_has_readings_without_a_station(spark, small, tmp_path):
+    rows = full_readings(events(spark, small)).withColumn("station", F.lit(None).cast("string"))
+    state = LiveState(str(tmp_path))
+    state(rows.withColumn("ts", F.col("ts").cast("timestamp")), 0)
+    assert [r["total"] for r in state.snapshot(spark, 0).collect()] == [rows.count()]
+
+
+def test_not_a_number_is_null_and_has_a_reason(spark):
+    df = spark.createDataFrame([(1, '{"timestamp": "2024-01-01T00:00:00+00:00", "temperatura": NaN, "velocidad_viento": 2.5}')],
+                               "event_id int, value string")
+    row = wire.decode(df).first()
+    assert row["temp"] is None and row["wind"] == 2.5
+    good, bad = wire.quarantine_split(df, "event_id")
+    assert good.count() == 0 and [r["reason"] for r in bad.collect()] == ["number"]
+
+
 def test_trials_count_every_batch(spark, small, tmp_path):
     """More batches than the engine keeps reports of."""
     e = events(spark, small)
@@ -110,7 +180,7 @@ def test_trials_count_every_batch(spark, small, tmp_path):
     before = spark.conf.get(key)
     spark.conf.set(key, "3")
     try:
-        got = windows.compare_trials(spark, readings(event_stream(spark, f"{tmp_path}/in")), str(tmp_path), windows.TRIALS[:1]).first()
+        got = windows.compare_trials(spark, readings(event_stream(spark, f"{tmp_path}/in", files_per_trigger=1)), str(tmp_path), windows.TRIALS[:1]).first()
     finally:
         spark.conf.set(key, before)
     written = windows.update_revisions(spark, f"{tmp_path}/trial-1")
@@ -126,7 +196,7 @@ def test_snapshot_total_counts_rows_without_an_hour(spark, small, tmp_path):
 
 def test_live_state_over_batches(spark, parts, small, tmp_path):
     state = LiveState(f"{tmp_path}/state")
-    stream = full_readings(event_stream(spark, f"{parts}/p*"))
+    stream = full_readings(event_stream(spark, f"{parts}/p*", files_per_trigger=1))
     query = runtime.run_available(runtime.each_batch(stream, state, f"{tmp_path}/c", "append"), spark)
     last = runtime.last_batch_id(query)
     snap = {r["station"]: r for r in state.snapshot(spark, last).collect()}
