@@ -31,15 +31,25 @@ def newest(df: DataFrame) -> Column:
     return df.select(F.max("ts").alias("anchor")).scalar()
 
 
-def trailing_period(df: DataFrame, period: str, per: str | None = None) -> DataFrame:
-    """Rows of the period that ends at the newest row, of the table or of each ``per`` key."""
+def _dated(df: DataFrame, period: str, anchor: Column, day: str | None) -> DataFrame:
+    """Rows of the period that ends at ``anchor``; ``day`` names a column with the date of ``ts`` to prune by."""
+    if day is not None:
+        df = df.where(F.col(day) >= F.to_date(anchor) - F.expr(f"INTERVAL {SLIDING_DAYS.get(period, 0)} DAYS"))
+    return df.where(_within(period, F.col("ts"), anchor))
+
+
+def trailing_period(df: DataFrame, period: str, per: str | None = None, day: str | None = None) -> DataFrame:
+    """Rows of the period that ends at the newest row, of the table or of each ``per`` key.
+
+    ``day`` names a column that holds the date of ``ts``, as tables partitioned by date have; it prunes partitions.
+    """
     if period == "year":
         return df.where(F.col("ts").isNotNull())
     if per is None:
-        return df.where(_within(period, F.col("ts"), newest(df)))
+        return _dated(df, period, newest(df), day)
     anchors = cut(df.groupBy(per).agg(F.max("ts").alias("_anchor")))
     # The oldest anchor bounds the scan before each key's own one is looked up.
-    recent = df.where(_within(period, F.col("ts"), anchors.agg(F.min("_anchor")).scalar()))
+    recent = _dated(df, period, anchors.agg(F.min("_anchor")).scalar(), day)
     own = join_per_key(recent, anchors, [per])
     return own.where(_within(period, F.col("ts"), F.col("_anchor"))).drop("_anchor")
 
@@ -59,14 +69,14 @@ def _label(period: str) -> Column:
     return day_label(bucket) if period in SLIDING_DAYS else month_label(bucket)
 
 
-def history(df: DataFrame, period: str, per: str | None = None) -> DataFrame:
+def history(df: DataFrame, period: str, per: str | None = None, day: str | None = None) -> DataFrame:
     """Mean temperature and pressure by hour (day), date (week, month) or month (year).
 
     ``bucket`` sorts, ``label`` shows.
     """
     keys = [per] if per else []
     grouped = (
-        trailing_period(df, period, per)
+        trailing_period(df, period, per, day)
         .groupBy(*keys, _bucket(period).alias("bucket"))
         .agg(
             F.sum(hundredths("temp")).alias("_t"), F.count("temp").alias("_tn"),

@@ -10,6 +10,8 @@ from .history import newest
 from .keyed import join_per_key
 
 NEWEST = ("ts", "event_id")
+# Ranges of days that a scan is pruned by, and days that are looked through for them.
+MAX_RUNS, MAX_DAYS = 64, 10_000
 
 
 def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, position: str = "position") -> DataFrame:
@@ -30,37 +32,66 @@ def _newest_first() -> list[Column]:
     return [F.col(c).desc() for c in NEWEST]
 
 
-def recent_days(df: DataFrame, keys: list[str], k: int) -> DataFrame:
+def _day_runs(days: list[int]) -> list[tuple[int, int]]:
+    """First day of each run of neighbouring days and the day after it; days are counted from 1970."""
+    runs: list[tuple[int, int]] = []
+    for day in days:
+        if runs and runs[-1][1] == day:
+            runs[-1] = (runs[-1][0], day + 1)
+        else:
+            runs.append((day, day + 1))
+    return runs
+
+
+def _in_runs(column: Column, runs: list[tuple[int, int | None]], kind) -> Column:
+    found = F.lit(False)
+    for first, after in runs:
+        inside = column >= F.date_from_unix_date(F.lit(first)).cast(kind)
+        if after is not None:
+            inside = inside & (column < F.date_from_unix_date(F.lit(after)).cast(kind))
+        found = found | inside
+    return found
+
+
+def recent_days(df: DataFrame, keys: list[str], k: int, day: str | None = None) -> DataFrame:
     """Rows from the day on that surely holds each key's newest ``k``; the rest cannot be among them.
 
-    A first pass reads only key and time and counts rows per key and day, which the calendar
-    bounds. The oldest day any key needs becomes a scalar filter that prunes date partitions and
-    row groups of the wide second pass, so a long history is not sorted to find its end.
+    A first pass reads only key and time and counts rows per key and day, which the calendar bounds. The days that some
+    key needs become ranges of time that prune the wide second pass, so that a long history is not sorted to find its
+    end, and a key that stopped long ago adds its own last days and not all since. Where they form more than ``MAX_RUNS``
+    ranges, the oldest day alone bounds the pass. ``day`` names a column that holds the date of ``ts``, as tables
+    partitioned by date have; its partitions are then pruned as well.
     """
-    days = df.where(F.col("ts").isNotNull()).groupBy(*keys, F.to_date("ts").alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    own_day = F.to_date("ts") if day is None else F.col(day)
+    days = df.where(F.col("ts").isNotNull()).groupBy(*keys, own_day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
     later = W.partitionBy(*keys).orderBy(F.col("_day").desc()).rowsBetween(W.unboundedPreceding, -1)
     needed = days.withColumn("_after", F.coalesce(F.sum("_n").over(later), F.lit(0))).where(F.col("_after") < k)
-    starts = cut(needed.groupBy(*keys).agg(F.min("_day").cast("timestamp_ntz").alias("_start")))
-    oldest = starts.agg(F.min("_start").alias("s")).scalar()
-    return join_per_key(df.where(F.col("ts") >= oldest), starts, keys).where(F.col("ts") >= F.col("_start")).drop("_start")
+    needed = cut(needed.select(*keys, "_day"))
+    starts = needed.groupBy(*keys).agg(F.min("_day").cast("timestamp_ntz").alias("_start"))
+    first_days = needed.select(F.unix_date("_day").alias("d")).distinct().orderBy("d").limit(MAX_DAYS + 1)
+    some = [r["d"] for r in first_days.collect()]
+    runs = _day_runs(some)
+    if len(some) > MAX_DAYS or len(runs) > MAX_RUNS:
+        runs = [(some[0], None)]
+    wide = df.where(_in_runs(F.col("ts"), runs, df.schema["ts"].dataType))
+    if day is not None:
+        wide = wide.where(_in_runs(F.col(day), runs, "date"))
+    return join_per_key(wide, starts, keys).where(F.col("ts") >= F.col("_start")).drop("_start")
 
 
-def _newest_k(df: DataFrame, keys: list[str], k: int, position: str) -> DataFrame:
-    return top_k(recent_days(df, keys, k), keys, _newest_first(), k, position)
+def _newest_k(df: DataFrame, columns: list[str], keys: list[str], k: int, position: str, day: str | None) -> DataFrame:
+    return top_k(recent_days(df, keys, k, day).select(*keys, *columns), keys, _newest_first(), k, position)
 
 
-def last_series(df: DataFrame, k: int = 60, keys: list[str] | None = None) -> DataFrame:
+def last_series(df: DataFrame, k: int = 60, keys: list[str] | None = None, day: str | None = None) -> DataFrame:
     """The last ``k`` points of the four live series per station; ``age`` 1 is the newest."""
-    keys = keys or ["station"]
-    slim = df.select(*keys, "ts", "event_id", "temp", "humidity", "wind", "pressure")
-    return _newest_k(slim, keys, k, "age")
+    return _newest_k(df, ["ts", "event_id", "temp", "humidity", "wind", "pressure"], keys or ["station"], k, "age", day)
 
 
-def event_log(df: DataFrame, k: int = 10, keys: list[str] | None = None) -> DataFrame:
+def event_log(df: DataFrame, k: int = 10, keys: list[str] | None = None, day: str | None = None) -> DataFrame:
     """Newest ``k`` events per station with their clock text and sky description."""
-    keys = keys or ["station"]
-    slim = df.select(*keys, "ts", "event_id", "ts_raw", "temp", "humidity", "wind", "description")
-    newest = _newest_k(slim, keys, k, "age")
+    columns = ["ts", "event_id", "ts_raw", "temp", "humidity", "wind", "description"]
+    newest = _newest_k(df, columns, keys or ["station"], k, "age", day)
     return newest.withColumn("clock", clock_text("ts_raw")).drop("ts_raw")
 
 
@@ -73,9 +104,8 @@ def latest_reading(df: DataFrame) -> DataFrame:
     return slim.where(F.col("ts") == newest(df)).orderBy(*_newest_first()).limit(1)
 
 
-def latest_per_station(df: DataFrame) -> DataFrame:
-    slim = df.select("station", "ts", "event_id", "temp", "wind", "humidity")
-    return _newest_k(slim, ["station"], 1, "position").drop("position")
+def latest_per_station(df: DataFrame, day: str | None = None) -> DataFrame:
+    return _newest_k(df, ["ts", "event_id", "temp", "wind", "humidity"], ["station"], 1, "position", day).drop("position")
 
 
 def panel_history(df: DataFrame, measure: str, ordered: bool = True) -> DataFrame:

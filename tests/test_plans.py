@@ -3,8 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from climaflow.operators import history, latest
 from climaflow.plans import batch
+from climaflow.sinks import tables
+from climaflow.sources.events import events, full_readings
 
 
 def plan(df):
@@ -50,3 +54,30 @@ def test_raw_rows_are_not_shuffled_by_station(spark, small, name):
 def test_last_k_is_limited_before_the_shuffle(spark, small):
     text = plan(batch.QUERIES["last_60_series"](spark, small))
     assert text.count("WindowGroupLimit") == 4
+
+
+def test_date_partitions_are_pruned(spark, small, tmp_path):
+    """Also where one station has stopped long ago: only its own last day is added to the newest ones."""
+    rows = full_readings(events(spark, small)).where("ts is not null")
+    old = rows.where("event_id = 1").withColumns({
+        "station": F.lit("gone"), "ts": F.lit("2001-02-03 04:05:06").cast("timestamp_ntz")})
+    tables.append_table(rows.unionByName(old), f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    assert table.schema["date"].dataType.simpleString() == "date"
+
+    newest = latest.latest_per_station(table, day="date")
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan(newest))
+    assert any("2001-02-03" in f or "11356" in f for f in filters), filters
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(newest) == key(latest.latest_per_station(table.drop("date")))
+    needed = latest.recent_days(table, ["station"], 1, "date")
+    assert needed.select("date").distinct().count() <= table.select("station").distinct().count()
+
+    week = history.history(table, "week", day="date")
+    assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ >= ", plan(week))
+    assert key(week) == key(history.history(table.drop("date"), "week"))
+
+
+def test_newest_rows_of_an_empty_table(spark, small):
+    none = full_readings(events(spark, small)).limit(0)
+    assert latest.last_series(none).count() == 0 and latest.event_log(none).count() == 0
