@@ -9,12 +9,16 @@ which turn the levels of a word, of the word before it and of the pair into a sm
 
 with c the middle of a level. A text is its words and one end; the end also stands before the first word.
 
-Size of what is broadcast. The filter has ``FILTER_BYTES`` at most. Pairs seen once are left to the smoothing, and
-where the filter would be larger still, pairs below a higher count are left out too; the smallest such count is read
-off the counts of counts. Exact word counts (for the base score) are broadcast for the ``TABLE_WORDS`` most frequent
-words at most. Rarer words, if there are any beyond that, are joined by a shuffle of their occurrences.
+Size of the filter. It has room for all entries of all words and pairs, so it grows with the texts, and nothing is left
+out at any size. It is made in parts by hash range, whose number follows from the bytes of the texts; each part counts
+its n-grams and takes as many segments as they need. Up to ``FILTER_BYTES`` the filter is broadcast. Beyond that it
+stays a table: the distinct words and pairs of a chunk of texts are sent to the parts that hold them, and the levels come
+back to the chunk. Both ways ask the same bits and give the same scores.
 
-Counting combines map-side and shuffles (n-gram hash, count); hashes have 64 bits.
+Exact word counts (for the base score) are broadcast for the ``TABLE_WORDS`` most frequent words at most. Rarer words, if
+there are any beyond that, are joined by a shuffle of their occurrences.
+
+Counting combines map-side and shuffles (n-gram hash, count) once; hashes have 64 bits.
 
 Defined results: null and empty texts consist of the end alone; ids that are null fall into the remainder of the empty
 text; repeated rows weigh as often as they occur and all get a score; without training texts counts are zero; very long
@@ -35,19 +39,22 @@ from .words import Chunk, chunks, mix, runs, white_space_words
 
 # Rows whose id leaves this remainder are not learnt from.
 PARTS, HELD_OUT = 7, 2
+# A filter of at most so many bytes is broadcast, a larger one is joined.
 FILTER_BYTES = 64 << 20
 TABLE_WORDS = 4_000_000
 BITS_PER_ENTRY, PROBES = 12, 6
 MASS = 400.0
 
-# One segment of the filter is built by one task from all n-grams whose hash falls into it.
 SEGMENT_BITS = 19
+# Bytes of text per part of the filter, which one task counts and builds.
+PART_BYTES = 4 << 20
 MIN_PAIR_COUNT = 2
 # n-grams that a task collects before it hands on their counts.
 BUFFER = 4_000_000
 
 END = np.uint64(0x5851F42D4C957F2D)
-COUNT_SCHEMA = "size tinyint, gram bigint, n bigint"
+COUNT_SCHEMA = "part int, size tinyint, gram bigint, n bigint"
+PART_SCHEMA = "part int, segments int, bits binary, words binary, counts binary"
 
 
 # Tokens ----------------------------------------------------------------------------------------------------------
@@ -74,21 +81,23 @@ def pair_hash(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 
 # Counts ----------------------------------------------------------------------------------------------------------
 
-def _counted(batches):
+def _counted(batches, parts: int):
     """Counts of the words (size 1) and pairs (size 2) of a partition, combined as far as the buffer reaches."""
     held: dict[int, list[np.ndarray]] = {1: [], 2: []}
     size = 0
 
     def flush():
-        for k, parts in held.items():
-            if parts:
-                grams, n = np.unique(np.concatenate(parts), return_counts=True)
-                parts.clear()
+        for k, found in held.items():
+            if found:
+                grams, n = np.unique(np.concatenate(found), return_counts=True)
+                found.clear()
+                part = part_of(_sized(grams, k), parts)[0]
                 for at in range(0, len(grams), 200_000):
                     g = grams[at:at + 200_000]
                     yield pa.record_batch(
-                        [pa.array(np.full(len(g), k, np.int8)), pa.array(g.view(np.int64)), pa.array(n[at:at + 200_000].astype(np.int64))],
-                        names=["size", "gram", "n"])
+                        [pa.array(part[at:at + 200_000].astype(np.int32)), pa.array(np.full(len(g), k, np.int8)),
+                         pa.array(g.view(np.int64)), pa.array(n[at:at + 200_000].astype(np.int64))],
+                        names=["part", "size", "gram", "n"])
 
     for batch in batches:
         for c in chunks(batch.column(0), white_space_words()):
@@ -102,10 +111,14 @@ def _counted(batches):
     yield from flush()
 
 
-def count_grams(train: DataFrame) -> DataFrame:
-    """``size``, ``gram`` (hash), ``n`` of all words and pairs in ``text``."""
-    partial = train.select("text").mapInArrow(_counted, COUNT_SCHEMA)
-    return partial.groupBy("size", "gram").agg(F.sum("n").alias("n"))
+def _summed(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams and the sums of their counts."""
+    if not len(grams):
+        return grams, n
+    order = np.argsort(grams)
+    grams, n = grams[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+    return grams[first], np.add.reduceat(n, first)
 
 
 # The filter ------------------------------------------------------------------------------------------------------
@@ -132,102 +145,118 @@ def _sized(grams: np.ndarray, size: np.ndarray | int) -> np.ndarray:
     return mix(grams + np.asarray(size, np.uint64))
 
 
+def _probed(segments: np.ndarray, segment: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The level of each key (0: absent), by probing one level after another until one is missing."""
+    found = np.zeros(len(keys), np.int64)
+    alive = np.arange(len(keys))
+    at = 0
+    while len(alive):
+        at += 1
+        for probe in range(PROBES):
+            bit = _bits(keys[alive], at, probe)
+            there = segments[segment[alive], (bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1
+            alive = alive[there.astype(bool)]
+        found[alive] = at
+        if at == 64:
+            break
+    return found
+
+
 @dataclass
 class LogFrequencyFilter:
     """Segments of bits; a gram's segment is given by its hash, its bits by hash, level and probe."""
 
     segments: np.ndarray  # uint8, segments x bytes
     least_pair: int
-
-    def _segment(self, grams: np.ndarray) -> np.ndarray:
-        return segment_of(grams, len(self.segments))
+    # Segments of each part; one part if not given.
+    sizes: np.ndarray | None = None
 
     def level(self, grams: np.ndarray, size: int) -> np.ndarray:
-        """The level of each gram (0: absent), by probing one level after another until one is missing."""
+        """The level of each gram, 0 for one that is absent."""
         keys = _sized(grams, size)
-        segment = self._segment(keys)
-        found = np.zeros(len(keys), np.int64)
-        alive = np.arange(len(keys))
-        at = 0
-        while len(alive):
-            at += 1
-            for probe in range(PROBES):
-                bit = _bits(keys[alive], at, probe)
-                there = self.segments[segment[alive], (bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1
-                alive = alive[there.astype(bool)]
-            found[alive] = at
-            if at == 64:
-                break
-        return found
-
-
-def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
-    """The high half of a hash, scaled to the number of segments."""
-    return ((keys >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
-
-
-def _entries(grams: DataFrame, least_pair: int) -> DataFrame:
-    """Grams that the filter holds, with their level."""
-    least = F.when(F.col("size") == 1, 1).otherwise(least_pair)
-    kept = grams.where(F.col("n") >= least)
-    return kept.withColumn("level", (1 + F.floor(F.log2(F.col("n") / least) + 1e-12)).cast("int"))
-
-
-def least_pair_count(grams: DataFrame, max_entries: int) -> tuple[int, int]:
-    """The smallest pair count from which on all levels fit, and how many entries that makes.
-
-    Read off the counts of counts in powers of two, of which there are few.
-    """
-    power = F.floor(F.log2(F.col("n").cast("double")) + 1e-12).cast("int")
-    rows = grams.groupBy("size", power.alias("power")).agg(F.count(F.lit(1)).alias("grams")).collect()
-    words = sum(r["grams"] * (r["power"] + 1) for r in rows if r["size"] == 1)
-    pairs = {r["power"]: r["grams"] for r in rows if r["size"] == 2}
-    for first in range(1, 64):
-        entries = words + sum(n * (p - first + 1) for p, n in pairs.items() if p >= first)
-        if entries <= max_entries or not any(p > first for p in pairs):
-            return 1 << first, entries
-    return 1 << 63, words
-
-
-def build_filter(grams: DataFrame, max_bytes: int = FILTER_BYTES) -> LogFrequencyFilter:
-    """The filter of counted grams; each segment is built by one task and holds as many grams as it has room for."""
-    least, entries = least_pair_count(grams, max_bytes * 8 // BITS_PER_ENTRY)
-    least = max(least, MIN_PAIR_COUNT)
-    per_segment = 1 << SEGMENT_BITS
-    segments = max(1, min(-(-entries * BITS_PER_ENTRY // per_segment), max_bytes * 8 // per_segment))
-
-    def keyed(batches):
-        for batch in batches:
-            keys = _sized(batch.column(1).to_numpy().view(np.uint64), batch.column(0).to_numpy().astype(np.uint64))
-            yield pa.record_batch(
-                [pa.array(segment_of(keys, segments).astype(np.int32)), pa.array(keys.view(np.int64)), batch.column(2)],
-                names=["segment", "key", "level"])
+        sizes = np.array([len(self.segments)]) if self.sizes is None else self.sizes
+        part, rest = part_of(keys, len(sizes))
+        first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        return _probed(self.segments, first[part] + segment_of(rest, sizes[part]), keys)
+
+
+def part_of(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The high half of a hash, scaled to the number of parts, and the fraction that this leaves, in 32 bits."""
+    scaled = (keys >> np.uint64(32)) * np.uint64(parts)
+    return (scaled >> np.uint64(32)).astype(np.int64), scaled & np.uint64(0xFFFFFFFF)
+
+
+def segment_of(rest: np.ndarray, segments: np.ndarray | int) -> np.ndarray:
+    """The segment within a part."""
+    return (rest * np.asarray(segments).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+
+
+def part_filter(sizes: np.ndarray, grams: np.ndarray, n: np.ndarray, parts: int, least_pair: int = MIN_PAIR_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One part of the filter out of counts of its grams: its segments, its words and their counts."""
+    words, of_words = _summed(grams[sizes == 1], n[sizes == 1])
+    pairs, of_pairs = _summed(grams[sizes == 2], n[sizes == 2])
+    pairs, of_pairs = pairs[of_pairs >= least_pair], of_pairs[of_pairs >= least_pair]
+    keys = np.concatenate([_sized(words, 1), _sized(pairs, 2)])
+    level = np.concatenate([levels(of_words, 1), levels(of_pairs, least_pair)])
+    segments = max(1, -(-int(level.sum()) * BITS_PER_ENTRY // (1 << SEGMENT_BITS)))
+    bits = np.zeros((segments, 1 << SEGMENT_BITS), bool)
+    segment = segment_of(part_of(keys, parts)[1], segments)
+    for at in range(1, int(level.max(initial=0)) + 1):
+        high = level >= at
+        for probe in range(PROBES):
+            bits[segment[high], _bits(keys[high], at, probe).astype(np.int64)] = True
+    return np.packbits(bits, axis=1, bitorder="little"), words, of_words
+
+
+def filter_parts(train: DataFrame, part_bytes: int = PART_BYTES) -> tuple[DataFrame, int]:
+    """All parts of the filter, written, and their number: segments, bits, words and exact counts of words."""
+    size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-size // part_bytes))
+
+    def counted(batches):
+        yield from _counted(batches, parts)
 
     def built(table: pa.Table) -> pa.Table:
-        keys, level = table.column("key").to_numpy().view(np.uint64), table.column("level").to_numpy()
-        bits = np.zeros(per_segment, bool)
-        for at in range(1, int(level.max()) + 1):
-            of_level = keys[level >= at]
-            for probe in range(PROBES):
-                bits[_bits(of_level, at, probe).astype(np.int64)] = True
-        return pa.table({"segment": table.column("segment")[:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]},
-                        schema=pa.schema([("segment", pa.int32()), ("bits", pa.binary())]))
-
-    rows = _entries(grams, least).select("size", "gram", "level").mapInArrow(keyed, "segment int, key bigint, level int")
-    parts = rows.groupBy("segment").applyInArrow(built, "segment int, bits binary").collect()
-    table = np.zeros((segments, per_segment // 8), np.uint8)
-    for r in parts:
-        table[r["segment"]] = np.frombuffer(r["bits"], np.uint8)
-    return LogFrequencyFilter(table, least)
+        sizes, grams, n = (table.column(c).to_numpy() for c in ("size", "gram", "n"))
+        bits, words, counts = part_filter(sizes, grams.view(np.uint64), n, parts)
+        return pa.table({
+            "part": table.column("part")[:1], "segments": pa.array([len(bits)], pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary()),
+            "words": pa.array([words.tobytes()], pa.binary()), "counts": pa.array([counts.astype(np.int64).tobytes()], pa.binary())})
+
+    path = f"{run_dir(train.sparkSession, 'grams')}/parts.parquet"
+    train.select("text").mapInArrow(counted, COUNT_SCHEMA).groupBy("part").applyInArrow(built, PART_SCHEMA).write.parquet(path)
+    return train.sparkSession.read.parquet(path), parts
+
+
+def _listed(batches):
+    """Words and counts of the parts, one row each."""
+    for batch in batches:
+        for words, counts in zip(batch.column(0), batch.column(1)):
+            grams, n = np.frombuffer(words.as_py(), np.int64), np.frombuffer(counts.as_py(), np.int64)
+            yield pa.record_batch([pa.array(grams), pa.array(n)], names=["gram", "n"])
+
+
+def whole_filter(table: DataFrame, parts: int) -> LogFrequencyFilter:
+    """The filter of all parts."""
+    rows = sorted(table.select("part", "segments", "bits").collect(), key=lambda r: r["part"])
+    width = (1 << SEGMENT_BITS) // 8
+    sizes = np.ones(parts, np.int64)
+    for r in rows:
+        sizes[r["part"]] = r["segments"]
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    segments = np.zeros((first[-1], width), np.uint8)
+    for r in rows:
+        segments[first[r["part"]]:first[r["part"] + 1]] = np.frombuffer(r["bits"], np.uint8).reshape(-1, width)
+    return LogFrequencyFilter(segments, MIN_PAIR_COUNT, sizes)
 
 
 # The model -------------------------------------------------------------------------------------------------------
 
 @dataclass
 class Model:
-    """What workers need: the filter, exact counts of frequent words, and the totals."""
+    """What workers need: the filter (None if it is joined), exact counts of frequent words, and the totals."""
 
-    grams: LogFrequencyFilter
+    grams: LogFrequencyFilter | None
     words: np.ndarray
     counts: np.ndarray
     tokens: int
@@ -240,29 +269,24 @@ class Model:
         at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
         return np.where(self.words[at] == tokens, self.counts[at], 0)
 
-    def log_probability(self, tokens: np.ndarray, pairs: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """log10 probability of each token after the one before it."""
-        kinds, kind = np.unique(tokens, return_inverse=True)
-        once = middle(self.grams.level(kinds, 1), 1)
+    def log_probability(self, kind: np.ndarray, starts: np.ndarray, of_kinds: np.ndarray, of_pairs: np.ndarray, end: int) -> np.ndarray:
+        """log10 probability of each token after the one before it, out of the levels of the kinds of words and of the
+        pair at each token; ``end`` is the kind of the end."""
+        once = middle(of_kinds, 1)
         single = (once + 1.0) / (self.tokens + self.distinct + 1.0)
-        end = middle(self.grams.level(np.array([END], np.uint64), 1), 1)[0]
-        before = np.empty(len(tokens))
+        before = np.empty(len(kind))
         before[1:] = once[kind[:-1]]
-        before[starts[:-1]] = end
-        both = middle(self.grams.level(pairs, 2), self.grams.least_pair)
+        before[starts[:-1]] = once[end]
+        both = middle(of_pairs, MIN_PAIR_COUNT)
         return np.log10((both + MASS * single[kind]) / (np.maximum(before, both) + MASS))
 
 
-def fit(docs: DataFrame, max_bytes: int = FILTER_BYTES, table_words: int = TABLE_WORDS) -> tuple[Model, DataFrame, int]:
-    """The model of the rows that are learnt from, the counts of all words as a table, and the count from which on
-    words are in the broadcast table."""
-    spark = docs.sparkSession
+def fit(docs: DataFrame, max_bytes: int = FILTER_BYTES, table_words: int = TABLE_WORDS, part_bytes: int = PART_BYTES) -> tuple[Model, DataFrame, int, DataFrame, int]:
+    """The model of the rows that are learnt from, the counts of words beyond the broadcast table and how many these are,
+    the parts of the filter and their number."""
     train = docs.where(remainder_of_id("doc_id", PARTS) != HELD_OUT)
-    path = f"{run_dir(spark, 'grams')}/counts.parquet"
-    # Pairs seen once are in neither the filter nor a total.
-    count_grams(train).where(f"size = 1 or n >= {MIN_PAIR_COUNT}").write.parquet(path)
-    grams = spark.read.parquet(path)
-    words = grams.where("size = 1")
+    table, parts = filter_parts(train, part_bytes)
+    words = table.select("words", "counts").mapInArrow(_listed, "gram bigint, n bigint")
     power = F.floor(F.log2(F.col("n").cast("double")) + 1e-12).cast("int")
     sizes = words.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("tokens")).collect()
     distinct, tokens = sum(r["words"] for r in sizes), sum(r["tokens"] for r in sizes)
@@ -272,55 +296,137 @@ def fit(docs: DataFrame, max_bytes: int = FILTER_BYTES, table_words: int = TABLE
         if room < 0:
             break
         least = 1 << r["power"]
-    listed = words.where(F.col("n") >= least).select("gram", "n").toArrow()
+    listed = words.where(F.col("n") >= least).toArrow()
     keys = listed.column("gram").to_numpy().view(np.uint64)
     order = np.argsort(keys)
     counts = listed.column("n").to_numpy()[order]
-    model = Model(build_filter(grams, max_bytes), keys[order], counts, tokens, distinct)
-    rest = words.where(F.col("n") < least)
-    return model, rest, distinct - len(keys)
+    segments = table.agg(F.sum("segments")).first()[0] or 1
+    grams = whole_filter(table, parts) if segments << SEGMENT_BITS <= 8 * max_bytes else None
+    model = Model(grams, keys[order], counts, tokens, distinct)
+    return model, words.where(F.col("n") < least), distinct - len(keys), table, parts
 
 
 SCORE_SCHEMA = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
-def score(docs: DataFrame, max_bytes: int = FILTER_BYTES, table_words: int = TABLE_WORDS) -> DataFrame:
-    """Scores of every row of ``docs`` (doc_id, text) under the model of the rows that are learnt from."""
-    spark = docs.sparkSession
-    model, rest, n_rest = fit(docs, max_bytes, table_words)
-    shared = spark.sparkContext.broadcast(model)
-    total = model.tokens
-
+def _scored(m: Model, ids, held_out, starts, kinds, kind, of_kinds, of_pairs, others: bool) -> pa.RecordBatch:
+    """Scores of some texts by the levels of their words and pairs; with ``others`` the words beyond the table too."""
+    counts = m.exact(kinds)[kind]
+    n = np.diff(starts)
+    base = np.add.reduceat(np.log10(counts + 1.0), starts[:-1]) - n * np.log10(m.tokens + m.distinct + 1.0)
+    known = np.add.reduceat((counts > 0).astype(np.int64), starts[:-1])
+    end = int(np.searchsorted(kinds, END))
+    model_score = np.add.reduceat(m.log_probability(kind, starts, of_kinds, of_pairs, end), starts[:-1])
+    columns = [ids, held_out, n, known, np.full(len(n), m.tokens), base, model_score]
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    if others:
+        other = counts == 0
+        lists = np.concatenate([[0], np.cumsum(np.add.reduceat(other.astype(np.int64), starts[:-1]))])
+        columns.append(pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), pa.array(kinds[kind[other]].view(np.int64))))
+        names.append("others")
+    return pa.record_batch([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names=names)
+
+
+def _by_broadcast(rows: DataFrame, shared, others: bool, schema: str) -> DataFrame:
     def scored(batches):
         m = shared.value
-        scale = np.log10(m.tokens + m.distinct + 1.0)
         for batch in batches:
             for c in chunks(batch.column(2), white_space_words()):
                 tokens, pairs, starts = token_stream(c)
                 kinds, kind = np.unique(tokens, return_inverse=True)
-                counts = m.exact(kinds)[kind]
-                n = np.diff(starts)
-                base = np.add.reduceat(np.log10(counts + 1.0), starts[:-1]) - n * scale
-                known = np.add.reduceat((counts > 0).astype(np.int64), starts[:-1])
-                model_score = np.add.reduceat(m.log_probability(tokens, pairs, starts), starts[:-1])
-                rows = slice(c.first, c.last)
-                columns = [batch.column(0)[rows], batch.column(1)[rows], n, known, np.full(len(n), m.tokens), base, model_score]
-                names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-                if n_rest:
-                    other = counts == 0
-                    lists = np.concatenate([[0], np.cumsum(np.add.reduceat(other.astype(np.int64), starts[:-1]))])
-                    columns.append(pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), pa.array(tokens[other].view(np.int64))))
-                    names.append("others")
-                yield pa.record_batch([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names=names)
+                at = slice(c.first, c.last)
+                yield _scored(m, batch.column(0)[at], batch.column(1)[at], starts, kinds, kind, m.grams.level(kinds, 1), m.grams.level(pairs, 2), others)
+
+    return rows.mapInArrow(scored, schema)
+
+
+CHUNK_SCHEMA = "ids array<bigint>, held_out array<boolean>, starts binary, kinds binary, kind binary"
+
+
+def _packed(batches):
+    """One row per chunk of texts: ids, the kinds of words and the kind of every token."""
+    for batch in batches:
+        for c in chunks(batch.column(2), white_space_words()):
+            tokens, _, starts = token_stream(c)
+            kinds, kind = np.unique(tokens, return_inverse=True)
+            at, ends = slice(c.first, c.last), pa.array([0, c.last - c.first], pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.concat_arrays([batch.column(k)[at]])) for k in (0, 1)]
+            kind = kind.astype(np.uint16 if len(kinds) <= 1 << 16 else np.uint32)
+            data = [pa.array([x.tobytes()], pa.binary()) for x in (starts.astype(np.int64), kinds, kind)]
+            yield pa.record_batch([*lists, *data], names=["ids", "held_out", "starts", "kinds", "kind"])
+
+
+def _unpacked(starts: bytes, kinds: bytes, kind: bytes) -> tuple[np.ndarray, ...]:
+    """Starts, kinds, the kind of every token, and the keys in the filter of the kinds and of the pairs."""
+    starts, kinds = np.frombuffer(starts, np.int64), np.frombuffer(kinds, np.uint64)
+    kind = np.frombuffer(kind, np.uint16 if len(kinds) <= 1 << 16 else np.uint32).astype(np.int64)
+    tokens = kinds[kind]
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[starts[:-1]] = END
+    return starts, kinds, kind, _sized(kinds, 1), _sized(pair_hash(before, tokens), 2)
+
+
+def _by_join(rows: DataFrame, shared, others: bool, schema: str, table: DataFrame, parts: int) -> DataFrame:
+    """The same scores where the filter is a table: chunks ask its parts for the levels of their distinct keys."""
+    path = f"{run_dir(rows.sparkSession, 'chunks')}/rows.parquet"
+    rows.mapInArrow(_packed, CHUNK_SCHEMA).withColumn("chunk", F.monotonically_increasing_id()).write.parquet(path)
+    packed = rows.sparkSession.read.parquet(path)
 
+    def asked(batches):
+        for batch in batches:
+            for chunk, *data in zip(*(c.to_pylist() for c in batch.columns)):
+                *_, of_kinds, of_pairs = _unpacked(*data)
+                keys = np.unique(np.concatenate([of_kinds, of_pairs]))
+                part = part_of(keys, parts)[0]
+                first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+                lists = [keys[a:b].tobytes() for a, b in zip(first, [*first[1:], len(keys)])]
+                yield pa.record_batch(
+                    [pa.array(np.full(len(first), chunk)), pa.array(part[first].astype(np.int32)), pa.array(lists, pa.binary())],
+                    names=["chunk", "part", "keys"])
+
+    def answered(asks: pa.Table, of_part: pa.Table) -> pa.Table:
+        width = (1 << SEGMENT_BITS) // 8
+        bits = b"".join(x.as_py() for x in of_part.column("bits")) or bytes(width)
+        segments = np.frombuffer(bits, np.uint8).reshape(-1, width)
+        found = []
+        for data in asks.column("keys"):
+            keys = np.frombuffer(data.as_py(), np.uint64)
+            found.append(_probed(segments, segment_of(part_of(keys, parts)[1], len(segments)), keys).astype(np.uint8).tobytes())
+        return pa.table({"chunk": asks.column("chunk"), "part": asks.column("part"), "levels": pa.array(found, pa.binary())})
+
+    def scored(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        starts, kinds, kind, of_kinds, of_pairs = _unpacked(*(chunk.column(c)[0].as_py() for c in ("starts", "kinds", "kind")))
+        keys = np.unique(np.concatenate([of_kinds, of_pairs]))
+        found = np.frombuffer(b"".join(x.as_py() for x in answers.sort_by("part").column("levels")), np.uint8).astype(np.int64)
+        ids, held_out = (chunk.column(c).combine_chunks().flatten() for c in ("ids", "held_out"))
+        batch = _scored(shared.value, ids, held_out, starts, kinds, kind, found[np.searchsorted(keys, of_kinds)], found[np.searchsorted(keys, of_pairs)], others)
+        return pa.Table.from_batches([batch])
+
+    asks = packed.select("chunk", "starts", "kinds", "kind").mapInArrow(asked, "chunk bigint, part int, keys binary")
+    answers = asks.groupBy("part").cogroup(table.select("part", "bits").groupBy("part")).applyInArrow(
+        answered, "chunk bigint, part int, levels binary")
+    return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(scored, schema)
+
+
+def score(docs: DataFrame, max_bytes: int = FILTER_BYTES, table_words: int = TABLE_WORDS, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Scores of every row of ``docs`` (doc_id, text) under the model of the rows that are learnt from."""
+    spark = docs.sparkSession
+    model, rest, n_rest, table, parts = fit(docs, max_bytes, table_words, part_bytes)
+    shared = spark.sparkContext.broadcast(model)
+    total = model.tokens
     rows = docs.select("doc_id", (remainder_of_id("doc_id", PARTS) == HELD_OUT).alias("held_out"), "text")
+    schema = SCORE_SCHEMA + (", others array<bigint>" if n_rest else "")
+    if model.grams is None:
+        first = _by_join(rows, shared, bool(n_rest), schema, table, parts)
+    else:
+        first = _by_broadcast(rows, shared, bool(n_rest), schema)
     if not n_rest:
-        return rows.mapInArrow(scored, SCORE_SCHEMA)
+        return first
 
     # Words beyond the table: their occurrences meet their counts by a join. Each is rarer than any word in the table.
     path = f"{run_dir(spark, 'scores')}/rows.parquet"
-    first = rows.mapInArrow(scored, SCORE_SCHEMA + ", others array<bigint>").withColumn("row", F.monotonically_increasing_id())
-    first.write.parquet(path)
+    first.withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
     first = spark.read.parquet(path)
     occurrences = first.select("row", F.explode("others").alias("gram")).groupBy("row", "gram").agg(F.count(F.lit(1)).alias("times"))
     more = occurrences.join(rest.select("gram", "n"), "gram").groupBy("row").agg(

@@ -279,6 +279,13 @@ def test_filter_levels_are_never_low_and_rarely_high():
     assert (found >= level).all() and (found > level).mean() < 0.05
 
 
+def test_filter_larger_than_a_broadcast_holds_all_and_scores_the_same(docs):
+    options = dict(part_bytes=20_000, table_words=3)
+    whole, joined = (sorted((str(r.doc_id), r.n_tokens, round(r.base_score, 6), round(r.score, 6)) for r in lm_score.score(docs, max_bytes=m, **options).collect())
+                     for m in (64 << 20, 0))
+    assert joined == whole
+
+
 # 4: classifier ---------------------------------------------------------------------------------------------------
 
 def test_trees_learn_and_flat_traversal_equals_single_steps():
