@@ -18,7 +18,8 @@ back to the chunk. Both ways ask the same bits and give the same scores.
 Exact word counts (for the base score) are broadcast for the ``TABLE_WORDS`` most frequent words at most. Rarer words, if
 there are any beyond that, are joined by a shuffle of their occurrences.
 
-Counting combines map-side and shuffles (n-gram hash, count) once; hashes have 64 bits.
+Counting combines map-side and shuffles (n-gram hash, count) once; hashes have 64 bits. Sorted hashes travel as their
+differences, byte by byte, so that what is alike in neighbours is compressed.
 
 Defined results: null and empty texts consist of the end alone; ids that are null fall into the remainder of the empty
 text; repeated rows weigh as often as they occur and all get a score; without training texts counts are zero; very long
@@ -48,12 +49,11 @@ MASS = 400.0
 SEGMENT_BITS = 19
 # Bytes of text per part of the filter, which one task counts and builds.
 PART_BYTES = 4 << 20
-MIN_PAIR_COUNT = 2
 # n-grams that a task collects before it hands on their counts.
 BUFFER = 4_000_000
 
 END = np.uint64(0x5851F42D4C957F2D)
-COUNT_SCHEMA = "part int, size tinyint, gram bigint, n bigint"
+COUNT_SCHEMA = "part int, size tinyint, grams binary, counts binary"
 PART_SCHEMA = "part int, segments int, bits binary, words binary, counts binary"
 
 
@@ -81,23 +81,53 @@ def pair_hash(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 
 # Counts ----------------------------------------------------------------------------------------------------------
 
+def _packed_bytes(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones, and so on."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+
+
+def _unpacked_bytes(data: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _packed_sorted(grams: np.ndarray) -> bytes:
+    return _packed_bytes(np.concatenate([grams[:1], grams[1:] - grams[:-1]]))
+
+
+def _unpacked_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked_bytes(data, np.uint64), dtype=np.uint64)
+
+
+def _starts_of(part: np.ndarray) -> np.ndarray:
+    """Where each part begins in a sorted list of them, and its end."""
+    return np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]])
+
+
 def _counted(batches, parts: int):
-    """Counts of the words (size 1) and pairs (size 2) of a partition, combined as far as the buffer reaches."""
+    """Counts of the words (size 1) and pairs (size 2, as keys) of a partition, combined as far as the buffer reaches;
+    one row per part of the filter."""
     held: dict[int, list[np.ndarray]] = {1: [], 2: []}
     size = 0
 
     def flush():
         for k, found in held.items():
             if found:
-                grams, n = np.unique(np.concatenate(found), return_counts=True)
+                grams = np.concatenate(found)
                 found.clear()
-                part = part_of(_sized(grams, k), parts)[0]
-                for at in range(0, len(grams), 200_000):
-                    g = grams[at:at + 200_000]
+                grams, n = np.unique(grams if k == 1 else _sized(grams, 2), return_counts=True)
+                part = part_of(grams if k == 2 else _sized(grams, 1), parts)[0]
+                if k == 1:
+                    order = np.argsort(part, kind="stable")
+                    grams, n, part = grams[order], n[order], part[order]
+                n, at = n.astype(np.int32), _starts_of(part)
+                for some in range(0, len(at) - 1, 256):
+                    cuts = list(zip(at[some:some + 256], at[some + 1:some + 257]))
                     yield pa.record_batch(
-                        [pa.array(part[at:at + 200_000].astype(np.int32)), pa.array(np.full(len(g), k, np.int8)),
-                         pa.array(g.view(np.int64)), pa.array(n[at:at + 200_000].astype(np.int64))],
-                        names=["part", "size", "gram", "n"])
+                        [pa.array([part[a] for a, _ in cuts], pa.int32()), pa.array([k] * len(cuts), pa.int8()),
+                         pa.array([_packed_sorted(grams[a:b]) for a, b in cuts], pa.binary()),
+                         pa.array([_packed_bytes(n[a:b]) for a, b in cuts], pa.binary())],
+                        names=["part", "size", "grams", "counts"])
 
     for batch in batches:
         for c in chunks(batch.column(0), white_space_words()):
@@ -191,12 +221,10 @@ def segment_of(rest: np.ndarray, segments: np.ndarray | int) -> np.ndarray:
     return (rest * np.asarray(segments).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
 
 
-def part_filter(sizes: np.ndarray, grams: np.ndarray, n: np.ndarray, parts: int, least_pair: int = MIN_PAIR_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One part of the filter out of counts of its grams: its segments, its words and their counts."""
-    words, of_words = _summed(grams[sizes == 1], n[sizes == 1])
-    pairs, of_pairs = _summed(grams[sizes == 2], n[sizes == 2])
+def part_filter(words: np.ndarray, of_words: np.ndarray, pairs: np.ndarray, of_pairs: np.ndarray, parts: int, least_pair: int = 1) -> np.ndarray:
+    """The segments of one part of the filter out of the counts of its words and of its pairs, these given as keys."""
     pairs, of_pairs = pairs[of_pairs >= least_pair], of_pairs[of_pairs >= least_pair]
-    keys = np.concatenate([_sized(words, 1), _sized(pairs, 2)])
+    keys = np.concatenate([_sized(words, 1), pairs])
     level = np.concatenate([levels(of_words, 1), levels(of_pairs, least_pair)])
     segments = max(1, -(-int(level.sum()) * BITS_PER_ENTRY // (1 << SEGMENT_BITS)))
     bits = np.zeros((segments, 1 << SEGMENT_BITS), bool)
@@ -205,7 +233,7 @@ def part_filter(sizes: np.ndarray, grams: np.ndarray, n: np.ndarray, parts: int,
         high = level >= at
         for probe in range(PROBES):
             bits[segment[high], _bits(keys[high], at, probe).astype(np.int64)] = True
-    return np.packbits(bits, axis=1, bitorder="little"), words, of_words
+    return np.packbits(bits, axis=1, bitorder="little")
 
 
 def filter_parts(train: DataFrame, part_bytes: int = PART_BYTES) -> tuple[DataFrame, int]:
@@ -217,11 +245,15 @@ def filter_parts(train: DataFrame, part_bytes: int = PART_BYTES) -> tuple[DataFr
         yield from _counted(batches, parts)
 
     def built(table: pa.Table) -> pa.Table:
-        sizes, grams, n = (table.column(c).to_numpy() for c in ("size", "gram", "n"))
-        bits, words, counts = part_filter(sizes, grams.view(np.uint64), n, parts)
+        found: dict[int, list] = {1: [], 2: []}
+        for k, grams, n in zip(table.column("size").to_pylist(), table.column("grams"), table.column("counts")):
+            found[k].append((_unpacked_sorted(grams.as_py()), _unpacked_bytes(n.as_py(), np.int32).astype(np.int64)))
+        whole = {k: [np.concatenate([np.zeros(0, kind), *(x[i] for x in v)]) for i, kind in enumerate((np.uint64, np.int64))] for k, v in found.items()}
+        (words, counts), (pairs, of_pairs) = _summed(*whole[1]), _summed(*whole[2])
+        bits = part_filter(words, counts, pairs, of_pairs, parts)
         return pa.table({
             "part": table.column("part")[:1], "segments": pa.array([len(bits)], pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary()),
-            "words": pa.array([words.tobytes()], pa.binary()), "counts": pa.array([counts.astype(np.int64).tobytes()], pa.binary())})
+            "words": pa.array([words.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
 
     path = f"{run_dir(train.sparkSession, 'grams')}/parts.parquet"
     train.select("text").mapInArrow(counted, COUNT_SCHEMA).groupBy("part").applyInArrow(built, PART_SCHEMA).write.parquet(path)
@@ -247,7 +279,7 @@ def whole_filter(table: DataFrame, parts: int) -> LogFrequencyFilter:
     segments = np.zeros((first[-1], width), np.uint8)
     for r in rows:
         segments[first[r["part"]]:first[r["part"] + 1]] = np.frombuffer(r["bits"], np.uint8).reshape(-1, width)
-    return LogFrequencyFilter(segments, MIN_PAIR_COUNT, sizes)
+    return LogFrequencyFilter(segments, 1, sizes)
 
 
 # The model -------------------------------------------------------------------------------------------------------
@@ -277,7 +309,7 @@ class Model:
         before = np.empty(len(kind))
         before[1:] = once[kind[:-1]]
         before[starts[:-1]] = once[end]
-        both = middle(of_pairs, MIN_PAIR_COUNT)
+        both = middle(of_pairs, 1)
         return np.log10((both + MASS * single[kind]) / (np.maximum(before, both) + MASS))
 
 
@@ -340,26 +372,41 @@ def _by_broadcast(rows: DataFrame, shared, others: bool, schema: str) -> DataFra
     return rows.mapInArrow(scored, schema)
 
 
+# Tokens of the texts that ask for levels together: the more, the fewer n-grams are asked for twice.
+CHUNK_TOKENS = 1_000_000
+_CODEC = "zstd"
 CHUNK_SCHEMA = "ids array<bigint>, held_out array<boolean>, starts binary, kinds binary, kind binary"
 
 
 def _packed(batches):
-    """One row per chunk of texts: ids, the kinds of words and the kind of every token."""
+    """One row per some texts: ids, the kinds of words and the kind of every token."""
     for batch in batches:
+        held, size = [], 0
         for c in chunks(batch.column(2), white_space_words()):
-            tokens, _, starts = token_stream(c)
-            kinds, kind = np.unique(tokens, return_inverse=True)
-            at, ends = slice(c.first, c.last), pa.array([0, c.last - c.first], pa.int32())
-            lists = [pa.ListArray.from_arrays(ends, pa.concat_arrays([batch.column(k)[at]])) for k in (0, 1)]
-            kind = kind.astype(np.uint16 if len(kinds) <= 1 << 16 else np.uint32)
-            data = [pa.array([x.tobytes()], pa.binary()) for x in (starts.astype(np.int64), kinds, kind)]
-            yield pa.record_batch([*lists, *data], names=["ids", "held_out", "starts", "kinds", "kind"])
+            held.append((c.first, c.last, *token_stream(c)[::2]))
+            size += len(held[-1][2])
+            if size >= CHUNK_TOKENS:
+                yield _packed_row(batch, held)
+                held, size = [], 0
+        if held:
+            yield _packed_row(batch, held)
+
+
+def _packed_row(batch: pa.RecordBatch, held: list) -> pa.RecordBatch:
+    at = slice(held[0][0], held[-1][1])
+    kinds, kind = np.unique(np.concatenate([h[2] for h in held]), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(h[3]) for h in held]))]).astype(np.int64)
+    ends = pa.array([0, at.stop - at.start], pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, pa.concat_arrays([batch.column(k)[at]])) for k in (0, 1)]
+    kind = pa.compress(_packed_bytes(kind.astype(np.uint32)), codec=_CODEC, asbytes=True)
+    data = [pa.array([x], pa.binary()) for x in (starts.tobytes(), _packed_sorted(kinds), kind)]
+    return pa.record_batch([*lists, *data], names=["ids", "held_out", "starts", "kinds", "kind"])
 
 
 def _unpacked(starts: bytes, kinds: bytes, kind: bytes) -> tuple[np.ndarray, ...]:
     """Starts, kinds, the kind of every token, and the keys in the filter of the kinds and of the pairs."""
-    starts, kinds = np.frombuffer(starts, np.int64), np.frombuffer(kinds, np.uint64)
-    kind = np.frombuffer(kind, np.uint16 if len(kinds) <= 1 << 16 else np.uint32).astype(np.int64)
+    starts, kinds = np.frombuffer(starts, np.int64), _unpacked_sorted(kinds)
+    kind = _unpacked_bytes(pa.decompress(kind, int(starts[-1]) * 4, codec=_CODEC, asbytes=True), np.uint32).astype(np.int64)
     tokens = kinds[kind]
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
@@ -379,8 +426,8 @@ def _by_join(rows: DataFrame, shared, others: bool, schema: str, table: DataFram
                 *_, of_kinds, of_pairs = _unpacked(*data)
                 keys = np.unique(np.concatenate([of_kinds, of_pairs]))
                 part = part_of(keys, parts)[0]
-                first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-                lists = [keys[a:b].tobytes() for a, b in zip(first, [*first[1:], len(keys)])]
+                at = _starts_of(part)
+                first, lists = at[:-1], [_packed_sorted(keys[a:b]) for a, b in zip(at[:-1], at[1:])]
                 yield pa.record_batch(
                     [pa.array(np.full(len(first), chunk)), pa.array(part[first].astype(np.int32)), pa.array(lists, pa.binary())],
                     names=["chunk", "part", "keys"])
@@ -391,7 +438,7 @@ def _by_join(rows: DataFrame, shared, others: bool, schema: str, table: DataFram
         segments = np.frombuffer(bits, np.uint8).reshape(-1, width)
         found = []
         for data in asks.column("keys"):
-            keys = np.frombuffer(data.as_py(), np.uint64)
+            keys = _unpacked_sorted(data.as_py())
             found.append(_probed(segments, segment_of(part_of(keys, parts)[1], len(segments)), keys).astype(np.uint8).tobytes())
         return pa.table({"chunk": asks.column("chunk"), "part": asks.column("part"), "levels": pa.array(found, pa.binary())})
 

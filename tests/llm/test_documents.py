@@ -286,6 +286,21 @@ def test_filter_larger_than_a_broadcast_holds_all_and_scores_the_same(docs):
     assert joined == whole
 
 
+def test_pairs_seen_once_count(spark):
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    learnt, asked = [i for i in range(400) if not held(i)][:200], [i for i in range(1000, 1100) if held(i)][:2]
+    texts = [prose(i, 12) for i in range(200)]
+    seen = texts[7].split()
+    apart = [w for k in range(6) for w in (seen[k], seen[11 - k])]
+    rows = [*zip(learnt, texts), (asked[0], " ".join(seen)), (asked[1], " ".join(apart))]
+    got = {r.doc_id: r for r in lm_score.score(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    pairs = collections.Counter(p for t in texts for p in zip(t.split(), t.split()[1:]))
+    assert sum(pairs[p] == 1 for p in zip(seen, seen[1:])) >= 8 and not any(pairs[p] for p in zip(apart, apart[1:]) if p not in zip(seen, seen[1:]))
+    # Same words, so the word probabilities are alike; only the pairs, each seen once, tell the two apart.
+    assert got[asked[0]].base_score == pytest.approx(got[asked[1]].base_score)
+    assert got[asked[0]].score > got[asked[1]].score + 1
+
+
 # 4: classifier ---------------------------------------------------------------------------------------------------
 
 def test_trees_learn_and_flat_traversal_equals_single_steps():
