@@ -2,8 +2,9 @@
 
 Fixed masks choose word positions and skip others. Every window of a benchmark item and of a document is hashed over
 the chosen positions only, so a window still matches when the skipped words were replaced. Equal hashes join a place of
-a document to a place of an item. Around each hit the two texts are laid side by side and the best stretch is
-verified word by word: replaced words cost, and the stretch counts when it holds enough equal words.
+a document to a place of an item. Around each hit the two texts are laid side by side and compared word by word: the hit
+counts when any stretch holds enough equal words at a high enough share. Reported is the stretch of highest score, with
+replaced words as a cost, or where that one is too short or too poor, the one with the most equal words that counts.
 
 Texts are compared as words of ASCII letters, digits and characters beyond ASCII, lower-cased; all else separates.
 
@@ -121,6 +122,23 @@ def accepted(n_matched: int, n_words: int, item_words: int) -> bool:
     return n_matched >= min(MIN_MATCHED, item_words) and n_matched >= MIN_IDENTITY * n_words
 
 
+def longest_accepted(equal: np.ndarray, item_words: int) -> tuple[int, int, int] | None:
+    """Start, length and equal words of the accepted stretch with the most equal words, of these the shortest and first;
+    it begins and ends with an equal word. None if there is none."""
+    at = np.flatnonzero(equal)
+    if len(at) < min(MIN_MATCHED, item_words):
+        return None
+    # A stretch from equal word a to b has b - a + 1 of them in at[b] - at[a] + 1 words. In tenths, without rounding, it
+    # is accepted where gain[a] is at most gain[b] and 10 - tenths; the first such a makes it longest for its b.
+    tenths = round(10 * MIN_IDENTITY)
+    gain = 10 * np.arange(len(at)) - tenths * at
+    a = np.searchsorted(-np.minimum.accumulate(gain), -(gain + 10 - tenths))
+    n = np.arange(len(at)) - a + 1
+    lengths = at - at[a] + 1
+    b = int(np.lexsort((lengths, -n))[0])
+    return (int(at[a[b]]), int(lengths[b]), int(n[b])) if n[b] >= min(MIN_MATCHED, item_words) else None
+
+
 def overlaps(words: np.ndarray, starts: np.ndarray, seeds: Seeds) -> Iterator[tuple[int, int, int, int, int, int]]:
     """(text, item, start in the text, start in the item, words, equal words): the best stretch of every text and item."""
     at, item, place = seeds.hits(words)
@@ -135,8 +153,12 @@ def overlaps(words: np.ndarray, starts: np.ndarray, seeds: Seeds) -> Iterator[tu
         low, high = max(doc_first, shift), min(doc_end, shift + len(other))
         if high - low < min(MIN_MATCHED, len(other)):
             continue
-        start, n, matched = best_stretch(words[low:high] == other[low - shift:high - shift])
-        if accepted(matched, n, len(other)):
+        equal = words[low:high] == other[low - shift:high - shift]
+        found = best_stretch(equal)
+        if not accepted(found[2], found[1], len(other)):
+            found = longest_accepted(equal, len(other))
+        if found:
+            start, n, matched = found
             row = (matched, -n, -(low + start), low + start - doc_first, low + start - shift, n)
             if row > best.get((t, i), (-1,)):
                 best[t, i] = row

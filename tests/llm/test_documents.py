@@ -216,6 +216,33 @@ def test_overlaps_with_replaced_words(spark, docs, empty):
     assert decontaminate.drop_contaminated(docs, bench).count() == docs.count()
 
 
+def test_any_accepted_stretch_counts():
+    rng = np.random.default_rng(8)
+    for size, replaced in [(15, 2), (15, 3), (15, 4), (20, 4), (20, 5), (30, 8)] * 50:
+        item = [f"item{k}" for k in range(size)]
+        equal = np.ones(size, bool)
+        equal[rng.choice(size, replaced, False)] = False
+        text = [w if e else f"other{k}" for k, (w, e) in enumerate(zip(item, equal))]
+        seeds = decontaminate.Seeds.of([1], [" ".join(item)])
+        chunk, = words.chunks(pa.array([" ".join(["before"] * 5 + text + ["after"] * 5)]), words.letter_words())
+        got = list(decontaminate.overlaps(chunk.words, chunk.starts, seeds))
+        # Where the masks find it; the whole item passes both limits.
+        assert bool(got) == bool(len(seeds.hits(chunk.words)[0]))
+        for _, _, doc_start, item_start, n, matched in got:
+            assert doc_start == item_start + 5 and matched == equal[item_start:item_start + n].sum()
+            assert matched >= 10 and 10 * matched >= 7 * n
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.booleans(), max_size=40))
+def test_longest_accepted_stretch_is_that_of_all_stretches(equal):
+    equal = np.array(equal, bool)
+    fits = [(-int(equal[a:b].sum()), b - a, a) for a in range(len(equal)) for b in range(a + 1, len(equal) + 1)
+            if equal[a:b].sum() >= 10 and 10 * equal[a:b].sum() >= 7 * (b - a) and equal[a] and equal[b - 1]]
+    want = min(fits, default=None)
+    assert decontaminate.longest_accepted(equal, 50) == (want and (want[2], want[1], -want[0]))
+
+
 # 1: mixing -------------------------------------------------------------------------------------------------------
 
 def test_raking_equals_plain_raking_and_meets_the_targets(spark):
