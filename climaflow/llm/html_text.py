@@ -7,7 +7,9 @@ node up to the body is the threshold: the core and every other subtree at or abo
 that stands beside them. Only block-level children count in a sum: a bold word is no part of a page by itself.
 
 Menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments of readers are known by
-their elements, roles and the words of their class and id; they are left out before densities are computed.
+their elements, roles and the words of their class and id; they are left out before densities are computed. A name of
+which only some words are listed is a weak mark: within an article it counts for classes only, and only where links hold
+most of the text; on a page without article and main, what it marks stays where nearly all unlinked text lies in it.
 
 Defined results: a null, empty or text-free page has an empty text; broken markup is read the way browsers do in the
 common cases (unclosed paragraphs, list items and cells end where the next one begins, stray end tags are ignored, an
@@ -46,7 +48,7 @@ PARAGRAPH_FENCES = frozenset("button table td th caption object marquee".split()
 
 LEFT_OUT = frozenset(
     "head script style noscript template nav footer aside form button select textarea input iframe object svg canvas "
-    "audio video dialog menu title datalist map math".split()
+    "audio video dialog menu title datalist map".split()
 )
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split())
 # Words of class and id names that mark parts around an article.
@@ -56,6 +58,8 @@ LEFT_OUT_WORDS = frozenset(
     "share sharing social comment comments disqus replies respond breadcrumb breadcrumbs menu menus nav navbar navigation "
     "footer header masthead toolbar pagination pager newsletter subscribe subscription signup login search copyright".split()
 )
+# A weakly marked part outside of articles stays with so many times the unlinked text of all that is not left out.
+MOST_OF_PAGE = 5
 CARRIES_ARTICLE = frozenset("html body main article".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</[^a-zA-Z][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
@@ -66,10 +70,10 @@ _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 class Node:
     """An element: its children and texts in page order, and the counts that densities need."""
 
-    __slots__ = ("tag", "parts", "out", "chars", "tags", "link_chars", "link_tags", "density", "total", "carries", "block")
+    __slots__ = ("tag", "parts", "out", "chars", "tags", "link_chars", "link_tags", "density", "total", "carries", "block", "mark")
 
-    def __init__(self, tag: str, out: bool):
-        self.tag, self.out, self.parts = tag, out, []
+    def __init__(self, tag: str, out: bool, mark: str = ""):
+        self.tag, self.out, self.parts, self.mark = tag, out, [], mark
         self.chars = self.link_chars = self.link_tags = 0
         self.tags = 1
         self.density = self.total = 0.0
@@ -77,24 +81,30 @@ class Node:
         self.block = tag in BLOCKS
 
 
-def _left_out(tag: str, attributes: str) -> bool:
-    """Whether an element is a part around the article, by its name, role, class or id."""
+def _left_out(tag: str, attributes: str) -> tuple[bool, str]:
+    """Whether an element is a part around the article, by its name, role, class or id; and the attribute that says so
+    where that is a weak mark, of which only some words are listed."""
     if tag in LEFT_OUT:
-        return True
+        return True, ""
     if not attributes or attributes.isspace() or tag in CARRIES_ARTICLE:
-        return False
-    names = ""
+        return False, ""
+    weak = ""
+    strong = False
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or ""
         if key == "role" and LEFT_OUT_ROLES & set(value.lower().split()):
-            return True
+            return True, ""
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, ""
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return True, ""
         if key in ("class", "id"):
-            names += " " + value
-    return bool(names) and any(w.lower() in LEFT_OUT_WORDS for w in _NAME_WORD.findall(names))
+            for name in value.split():
+                listed = [w.lower() in LEFT_OUT_WORDS for w in _NAME_WORD.findall(name)]
+                strong = strong or bool(listed) and all(listed)
+                if any(listed) and weak != "class":
+                    weak = key
+    return strong or bool(weak), "" if strong else weak
 
 
 def parse(page: str) -> Node:
@@ -141,7 +151,7 @@ def parse(page: str) -> Node:
             close({"p"}, PARAGRAPH_FENCES)
         if tag in CLOSES:
             close(*CLOSES[tag])
-        node = Node(tag, _left_out(tag, attributes))
+        node = Node(tag, *_left_out(tag, attributes))
         stack[-1].parts.append(node)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
             continue
@@ -191,6 +201,36 @@ def prune(root: Node) -> None:
             node.out = not (inside and id(node) in heading) and not node.carries
         elif node.out and node.tag not in LEFT_OUT and inside and node.tag in ("div", "hgroup", "h1", "h2") and id(node) in heading:
             node.out = False
+    if any(node.out and node.mark for node, _ in everything):
+        _take_back(everything)
+
+
+def _take_back(everything: list[tuple[Node, bool]]) -> None:
+    """Take back what is left out by a weak mark but reads as article text; ``everything`` has parents first."""
+    # Unlinked and linked characters of each node with the weakly marked parts below it, and unlinked ones without.
+    plain, linked, kept = {}, {}, {}
+    for node, _ in reversed(everything):
+        kids = [c for c in node.parts if isinstance(c, Node)]
+        own = sum(_visible(html.unescape(t)) for t in node.parts if isinstance(t, str))
+        a, b, c = (own + sum(d[id(k)] for k in kids) if d is not linked else sum(d[id(k)] for k in kids) for d in (plain, linked, kept))
+        if node.out and not node.mark:
+            a = b = 0
+        if node.tag == "a":
+            a, b, c = 0, a + b, 0
+        plain[id(node)], linked[id(node)], kept[id(node)] = a, b, 0 if node.out else c
+    rest = kept[id(everything[0][0])]
+    has_article = any(node.tag in ("article", "main") for node, _ in everything)
+    within: set[int] = set()
+    for node, inside in everything:
+        a, b = plain[id(node)], linked[id(node)]
+        if node.out and node.mark and node.tag != "header":
+            if inside or id(node) in within:
+                node.out = not (node.mark == "id" or a >= b)
+            elif not has_article and a > b and a >= MOST_OF_PAGE * rest:
+                node.out = False
+                within.add(id(node))
+        if id(node) in within:
+            within.update(id(c) for c in node.parts if isinstance(c, Node))
 
 
 def measure(root: Node) -> None:

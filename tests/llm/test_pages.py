@@ -68,6 +68,21 @@ CASES = {
     "nothing": ("<html><body><nav>x</nav></body></html>", ""), "empty": ("", ""), "null": (None, ""),
 }
 
+CASES |= {
+    "a listed word in a longer name is no part around an article": (
+        f"<body><article><h1>T</h1>{PARA}<section id='related-work'><h3 id=social-effects>Effects</h3>{PARA}</section>"
+        f"<div class='search-results-discussion'>{PARA}</div><p class=copyright-law>About the law.</p></article>",
+        f"T\n{TEXT}\nEffects\n{TEXT}\n{TEXT}\nAbout the law."),
+    "marks that say it wholly, or hold links, go": (
+        f"<body><article>{PARA}<div class=ad>{PARA}</div><div class='box social-share'>x</div><div id=comments>{PARA}</div>"
+        f"<div class='related-posts'><a href=1>One more story</a> <a href=2>Another one</a></div>{PARA}</article>", f"{TEXT}\n{TEXT}"),
+    "a marked body without an article": (
+        f"<body><div class='menu'><a href=a>Home</a></div><div class='post comment-enabled'>{PARA}<p id=notice-board>Of the board.</p>{PARA}</div><div id=comments>{PARA}</div></body>",
+        f"{TEXT}\nOf the board.\n{TEXT}"),
+    "a marked box beside the text": (f"<body><div>{PARA}{PARA}</div><div class='sidebar-box'>{PARA}{PARA}</div></body>", f"{TEXT}\n{TEXT}"),
+    "formulas": ("<article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p></article>", "So x=1 holds."),
+}
+
 
 @pytest.mark.parametrize("name", CASES)
 def test_main_text(name):
