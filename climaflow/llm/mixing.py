@@ -1,8 +1,9 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Documents fall into cells (source, language, topic) that weigh as many tokens as they hold. Raking scales the cells to
-the target share of each source, then of each language, then of each topic, again and again until no factor moves. The
-raked share of a cell over its tokens says how likely its documents should be kept; the probabilities are scaled to a
+the target share of each source, then of each language, then of each topic, again and again until no factor moves, or
+until the factors stop improving, as they do where empty cells put the targets out of reach: a warning then names the
+remaining deviation of each dimension. The raked share of a cell over its tokens says how likely its documents should be kept; the probabilities are scaled to a
 token budget, and a seeded hash of the id draws the sample.
 
 Cells are a grouped sum of the documents; raking and scaling are joins and sums over the cells, which are written out
@@ -17,6 +18,7 @@ it; an empty table gives no rows.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -25,7 +27,9 @@ from .common import cut, join_small, unit_hash
 
 DIMENSIONS = ("source", "lang", "topic")
 SEED = 4117
-SWEEPS, TOLERANCE = 40, 1e-8
+TOLERANCE = 1e-8
+# Factors have stopped improving when they move as much as so many sweeps ago, but for a hundredth.
+PATIENCE, IMPROVED = 10, 0.99
 
 
 @dataclass(frozen=True)
@@ -86,9 +90,22 @@ def _same(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
-def rake(cells: DataFrame, dims=DIMENSIONS, sweeps: int = SWEEPS, tolerance: float = TOLERANCE) -> DataFrame:
-    """``cells`` with ``weight`` fitted to the marginal shares ``t_<dimension>``, the last dimension exactly."""
-    for _ in range(sweeps):
+def deviations(cells: DataFrame, dims=DIMENSIONS) -> dict[str, float]:
+    """The largest relative deviation of raked from target shares in each dimension."""
+    out = {}
+    for d in dims:
+        sums = cells.groupBy(d).agg(F.sum("weight").alias("_now"), F.first(f"t_{d}").alias("_target"))
+        out[d] = sums.agg(F.max(F.abs(F.col("_now") / F.col("_target") - 1))).first()[0] or 0.0
+    return out
+
+
+def rake(cells: DataFrame, dims=DIMENSIONS, tolerance: float = TOLERANCE, patience: int = PATIENCE) -> DataFrame:
+    """``cells`` with ``weight`` fitted to the marginal shares ``t_<dimension>``, the last dimension exactly.
+
+    Warns with the remaining deviations where the factors stop improving before they stop moving.
+    """
+    moved: list[float] = []
+    while True:
         cells = cells.withColumn("moved", F.lit(0.0))
         for d in dims:
             sums = cells.groupBy(d).agg(F.sum("weight").alias("_now"))
@@ -98,7 +115,12 @@ def rake(cells: DataFrame, dims=DIMENSIONS, sweeps: int = SWEEPS, tolerance: flo
             }).drop("_now", "_f")
         # Each dimension doubles the plan, as it uses the cells twice; so every sweep is written out.
         cells = cut(cells)
-        if (cells.agg(F.max("moved")).first()[0] or 0.0) <= tolerance:
+        moved.append(cells.agg(F.max("moved")).first()[0] or 0.0)
+        if moved[-1] <= tolerance:
+            break
+        if len(moved) > patience and moved[-1] > IMPROVED * moved[-1 - patience]:
+            left = ", ".join(f"{d} {x:.3g}" for d, x in deviations(cells, dims).items())
+            warnings.warn(f"raking stopped after {len(moved)} sweeps without meeting its targets; relative deviations: {left}", RuntimeWarning, stacklevel=2)
             break
     return cells.drop("moved")
 

@@ -266,6 +266,20 @@ def test_raking_equals_plain_raking_and_meets_the_targets(spark):
                 assert math.isclose(r.probability, min(1, 0.2 * mass.sum() * w[i, j, k] / mass[i, j, k]), rel_tol=1e-6)
 
 
+def test_raking_goes_on_while_it_improves_and_says_what_is_missed(spark, recwarn):
+    schema, dims = "source string, lang string, n_tokens bigint", ("source", "lang")
+    targets = {"source": mixing.Target(), "lang": mixing.Target({"en": 4.0})}
+    # One empty cell, and shares that leave little room beside it: 40 sweeps leave a deviation.
+    slow = spark.createDataFrame([("s0", "en", 100), ("s1", "en", 100), ("s1", "de", 100)], schema)
+    raked = mixing.rake(mixing._cells(slow, {**targets, "lang": mixing.Target({"en": 1.4})}, dims), dims)
+    assert max(mixing.deviations(raked, dims).values()) < 1e-8 and not [w for w in recwarn if w.category is RuntimeWarning]
+    # Each source is in one language only: the shares of both dimensions cannot be met at once.
+    apart = spark.createDataFrame([("s0", "en", 100), ("s1", "de", 100)], schema)
+    with pytest.warns(RuntimeWarning, match="source 0.6, lang"):
+        raked = mixing.rake(mixing._cells(apart, targets, dims), dims)
+    assert mixing.deviations(raked, dims)["source"] == pytest.approx(0.6)
+
+
 def test_sample_keeps_columns_and_survives_edges(docs, empty):
     drawn = mixing.sample(docs, budget_share=1.0)
     assert drawn.columns == docs.columns and drawn.count() == docs.count()
