@@ -14,6 +14,7 @@ from .quality_rules import op3_quality_rules
 from .sharding import op5_interleaved_shards
 from .spelling import OP13_SQL, op13_spelling_variants
 from .url_rules import OP10_SQL, op10_url_rules
+from .whitening import op12_embedding_whitening
 
 QUERIES = {
     "op1_raked_mixture": op1_raked_mixture,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_columnar_chat": op9_columnar_chat,
     "op10_url_rules": op10_url_rules,
     "op11_bpe_automaton": op11_bpe_automaton,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE = {"op9_columnar_chat": OP9_SQL, "op10_url_rules": OP10_SQL, "op13_spelling_variants": OP13_SQL}
