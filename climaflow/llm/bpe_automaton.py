@@ -42,9 +42,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TOKENIZER = "byte_bpe_50k.json"
 # Words whose tokens a task keeps for later texts; beyond that it begins anew, and still looks into what it kept before.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 300_000
 # Arcs whose state a task keeps, likewise.
-KNOWN_ARCS = 1_000_000
+KNOWN_ARCS = 300_000
 # Characters of text that are encoded before a batch is passed on; a longer text is passed on alone.
 STEP_CHARS = 4 << 20
 
@@ -262,45 +262,56 @@ def _steps(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield first, len(sizes)
 
 
-def encode(docs: DataFrame, automaton: Automaton) -> DataFrame:
-    """doc_id and ``ids`` (array of int) of every row of ``docs`` (doc_id, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
+def _lists(encoder: Encoder, texts: pa.Array) -> pa.ListArray:
+    lists = [encoder.encode(t) if t else b"" for t in texts.to_pylist()]
+    edges = np.concatenate([[0], np.cumsum([len(x) // 4 for x in lists])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(edges), pa.array(np.frombuffer(b"".join(lists), np.int32)))
+
+
+def _texts(encoder: Encoder, lists: pa.ListArray) -> pa.Array:
+    edges = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    return pa.array(encoder.decode(lists.flatten().to_numpy(), edges), pa.string())
+
+
+def _in_tasks(rows: DataFrame, automaton: Automaton, sizes, result, schema: str) -> DataFrame:
+    """``result(encoder, part)`` of stretches of the rows, whose sizes come from their second column."""
+    shared = rows.sparkSession.sparkContext.broadcast(automaton)
     key = id(shared)
+    names = [field.split()[0] for field in schema.split(", ")]
 
     def run(batches):
         encoder = _encoder(key, shared.value)
         for batch in batches:
-            texts = batch.column(1)
-            size = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
-            for first, end in _steps(size, STEP_CHARS):
-                lists = [encoder.encode(t) if t else b"" for t in texts.slice(first, end - first).to_pylist()]
-                edges = np.concatenate([[0], np.cumsum([len(x) // 4 for x in lists])]).astype(np.int32)
-                column = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.frombuffer(b"".join(lists), np.int32)))
-                yield pa.record_batch([batch.column(0).slice(first, end - first), column], names=["doc_id", "ids"])
+            for first, end in _steps(pc.fill_null(sizes(batch.column(1)), 0).to_pylist(), STEP_CHARS):
+                part = batch.slice(first, end - first)
+                yield pa.record_batch([part.column(0), *result(encoder, part.column(1))], names=names)
+
+    return rows.mapInArrow(run, schema)
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids array<int>")
+def encode(docs: DataFrame, automaton: Automaton) -> DataFrame:
+    """doc_id and ``ids`` (array of int) of every row of ``docs`` (doc_id, text)."""
+    return _in_tasks(docs.select("doc_id", "text"), automaton, pc.utf8_length, lambda e, texts: [_lists(e, texts)],
+                     "doc_id bigint, ids array<int>")
 
 
 def decode(encoded: DataFrame, automaton: Automaton) -> DataFrame:
     """``encoded`` (doc_id, ids) with the ``text`` of the ids."""
-    shared = encoded.sparkSession.sparkContext.broadcast(automaton)
-    key = id(shared)
+    def result(encoder, lists):
+        if lists.null_count:
+            raise ValueError("a list of ids is null")
+        return [lists, _texts(encoder, lists)]
 
-    def run(batches):
-        encoder = _encoder(key, shared.value)
-        for batch in batches:
-            lists = batch.column(1)
-            if lists.null_count:
-                raise ValueError("a list of ids is null")
-            sizes = pc.list_value_length(lists).to_pylist()
-            for first, end in _steps(sizes, STEP_CHARS):
-                part = lists.slice(first, end - first)
-                edges = part.offsets.to_numpy() - part.offsets[0].as_py()
-                texts = encoder.decode(part.flatten().to_numpy(), edges)
-                yield pa.record_batch(
-                    [batch.column(0).slice(first, end - first), part, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+    return _in_tasks(encoded.select("doc_id", "ids"), automaton, pc.list_value_length, result, "doc_id bigint, ids array<int>, text string")
+
+
+def encode_and_decode(docs: DataFrame, automaton: Automaton) -> DataFrame:
+    """``decode`` of ``encode`` in one pass: a task needs one Python worker with its tables, not two."""
+    def result(encoder, texts):
+        lists = _lists(encoder, texts)
+        return [lists, _texts(encoder, lists)]
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>, text string")
+    return _in_tasks(docs.select("doc_id", "text"), automaton, pc.utf8_length, result, "doc_id bigint, ids array<int>, text string")
 
 
 def op11_bpe_automaton(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
@@ -309,7 +320,7 @@ def op11_bpe_automaton(spark: SparkSession, sf_dir: str, tokenizer: str | None =
 
         tokenizer = public_tokenizers.path(TOKENIZER)
     automaton = load(tokenizer)
-    rows = decode(encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), automaton), automaton)
+    rows = encode_and_decode(spark.read.parquet(f"{sf_dir}/documents.parquet"), automaton)
     return rows.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
