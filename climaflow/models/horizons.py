@@ -9,23 +9,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.hourly import HORIZONS, LAGS, ROLLING, forecast_frame
 from ..session import cut
-from . import knn, regressors, scores
+from . import metric_knn, regressors, scores
 from .temperature import TREE_MODELS, fit_pipelines
 
 FEATURES = ["hour_sin", "hour_cos", *[f"lag_{n}" for n in LAGS], *[f"roll_{n}" for n in ROLLING]]
-# Neighbours are looked up among whole-degree cells of these features, which keeps the table of
-# cells small whatever the number of station hours.
-KNN_FEATURES = ["lag_24", "roll_3", "roll_24"]
 TRAIN_SHARE = 0.8
 
 
 def prepared(df: DataFrame) -> DataFrame:
-    """Complete feature rows with whole-degree cell coordinates, written once for all fits."""
+    """Complete feature rows, written once for all fits."""
     frame = forecast_frame(df).dropna(subset=FEATURES)
-    cells = {f"cell_{f}": F.floor(F.col(f) + 0.5).cast("int") for f in KNN_FEATURES}
-    return cut(frame.withColumns(cells).select(
-        "station", "hr", *FEATURES, *cells, *[f"target_{h}" for h in HORIZONS]
-    ))
+    return cut(frame.select("station", "hr", *FEATURES, *[f"target_{h}" for h in HORIZONS]))
 
 
 def _compare_one(frame: DataFrame, horizon: int) -> DataFrame:
@@ -41,12 +35,7 @@ def _compare_one(frame: DataFrame, horizon: int) -> DataFrame:
     predicted = test
     for model in fit_pipelines(train, FEATURES).values():
         predicted = regressors.apply(model, predicted)
-    cell_names = [f"cell_{f}" for f in KNN_FEATURES]
-    known = cut(train.groupBy(*cell_names).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("label") * 100.0).alias("s")
-    ))
-    near = knn.predict(known, test, cell_names)
-    predicted = predicted.join(near, cell_names)
+    predicted = metric_knn.predict(train, predicted, FEATURES, "label")
     scored = scores.score_wide(predicted, "label", [*TREE_MODELS, "knn"])
     return scores.ranked(scored).select(F.lit(horizon).alias("horizon_h"), "*")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
 from multiprocessing.pool import ThreadPool
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import CALENDAR_FEATURES
+from ..sinks.manifest import KEPT, Manifest
 from . import knn, regressors, scores
 from .features import MIN_ROWS, labelled, split_cells, training_cells
 
@@ -79,16 +81,34 @@ class TemperatureModels:
         found = importances(self.pipelines["random_forest"], CALENDAR_FEATURES)
         return importance_frame(spark, found)
 
-    def save(self, spark: SparkSession, path: str) -> None:
-        for name, model in self.pipelines.items():
-            model.write().overwrite().save(f"{path}/{name}")
-        self.cells.write.mode("overwrite").parquet(f"{path}/knn")
-        spark.createDataFrame([self.meta], META_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
+    def save(self, spark: SparkSession, path: str) -> int:
+        """Write a new version below ``path`` and make it the current one when it is whole; its number.
+
+        Whoever loads meanwhile gets the version before. Older versions are deleted after a while.
+        """
+        manifest = Manifest(path)
+        last, before = manifest.read(spark)
+        version = last + 1
+        name = f"version-{version}-{uuid.uuid4().hex[:8]}"
+        for model, pipeline in self.pipelines.items():
+            pipeline.write().overwrite().save(f"{path}/{name}/{model}")
+        if self.cells is not None:
+            self.cells.write.mode("overwrite").parquet(f"{path}/{name}/knn")
+        spark.createDataFrame([self.meta], META_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/{name}/metadata")
+        old = {**(before or {}).get("old", {}), **({str(last): before["folder"]} if before else {})}
+        due = [v for v in old if int(v) <= version - KEPT]
+        manifest.commit(spark, version, {"folder": name, "old": {v: n for v, n in old.items() if v not in due}})
+        for v in due:
+            manifest.delete(spark, old[v])
+        return version
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> TemperatureModels | None:
-        """Saved models; none unless forest, boosting and metadata are all there. Without a
-        named best model, or without that model, the forest is best."""
+        """The current version saved at ``path``, or models that lie there without versions; none unless forest, boosting
+        and metadata are all there. Without a named best model, or without that model, the forest is best."""
+        _, current = Manifest(path).read(spark)
+        if current is not None:
+            path = f"{path}/{current['folder']}"
         if not all(_exists(spark, f"{path}/{p}") for p in ("random_forest", "gradient_boosting", "metadata")):
             return None
         meta = spark.read.schema(META_SCHEMA).json(f"{path}/metadata").first().asDict()

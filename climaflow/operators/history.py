@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.calendar import day_label, hour_label, month_label
-from ..functions.fixedpoint import half_up_ratio, hundredths, mean_of_hundredths
+from ..functions.fixedpoint import exact_sum, mean_of, usable
 from ..session import cut
 from .keyed import join_per_key
 
@@ -79,16 +79,16 @@ def history(df: DataFrame, period: str, per: str | None = None, day: str | None
         trailing_period(df, period, per, day)
         .groupBy(*keys, _bucket(period).alias("bucket"))
         .agg(
-            F.sum(hundredths("temp")).alias("_t"), F.count("temp").alias("_tn"),
-            F.sum(hundredths("pressure")).alias("_p"), F.count("pressure").alias("_pn"),
+            exact_sum("temp").alias("_t"), F.count(usable("temp")).alias("_tn"),
+            exact_sum("pressure").alias("_p"), F.count(usable("pressure")).alias("_pn"),
         )
     )
     return grouped.select(
         *keys,
         "bucket",
         _label(period).alias("label"),
-        mean_of_hundredths("_t", "_tn").alias("avg_temp"),
-        mean_of_hundredths("_p", "_pn").alias("avg_pressure"),
+        mean_of("_t", "_tn").alias("avg_temp"),
+        mean_of("_p", "_pn").alias("avg_pressure"),
     )
 
 
@@ -101,14 +101,14 @@ def heatmaps(df: DataFrame, periods: tuple[str, ...] = PERIODS) -> DataFrame:
     anchor = newest(df)
     flagged = df.select(
         F.hour("ts").alias("hour"),
-        hundredths("temp").alias("t"),
+        usable("temp").alias("t"),
         *[_within(p, F.col("ts"), anchor).alias(p) for p in periods],
     )
     sums = [
         agg.alias(f"{p}_{part}")
         for p in periods
         for part, agg in (
-            ("s", F.sum(F.when(F.col(p), F.col("t")))),
+            ("s", exact_sum("t", F.col(p))),
             ("k", F.count(F.when(F.col(p), F.col("t")))),
             ("n", F.count(F.when(F.col(p), 1))),
         )
@@ -118,20 +118,20 @@ def heatmaps(df: DataFrame, periods: tuple[str, ...] = PERIODS) -> DataFrame:
     dense = hours.join(by_hour, "hour", "left")
     rows = ", ".join(f"'{p}', {p}_s, {p}_k, coalesce({p}_n, 0L)" for p in periods)
     long = dense.select("hour", F.expr(f"stack({len(periods)}, {rows}) as (period, s, k, events)"))
-    return long.select("period", "hour", mean_of_hundredths("s", "k").alias("avg_temp"), "events")
+    return long.select("period", "hour", mean_of("s", "k").alias("avg_temp"), "events")
 
 
 def hour_heatmap(df: DataFrame) -> DataFrame:
     """Sparse running heat map: exact mean and count by sender hour. Works on streams too."""
     return df.groupBy("hour_of_day").agg(
-        F.sum(hundredths("temp")).alias("temp_sum"),
-        F.count("temp").alias("temp_n"),
+        exact_sum("temp").alias("temp_sum"),
+        F.count(usable("temp")).alias("temp_n"),
         F.count(F.lit(1)).alias("events"),
     )
 
 
 def heatmap_means(sums: DataFrame) -> DataFrame:
-    return sums.select("hour_of_day", mean_of_hundredths("temp_sum", "temp_n").alias("avg_temp"), "events")
+    return sums.select("hour_of_day", mean_of("temp_sum", "temp_n").alias("avg_temp"), "events")
 
 
 def table_summary(df: DataFrame) -> DataFrame:
@@ -140,16 +140,16 @@ def table_summary(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("events"),
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
-        F.sum(hundredths("temp")).alias("_t"),
-        F.count("temp").alias("_n"),
+        exact_sum("temp").alias("_t"),
+        F.count(usable("temp")).alias("_n"),
     )
-    return one.select("events", "first_ts", "last_ts", mean_of_hundredths("_t", "_n").alias("avg_temp"))
+    return one.select("events", "first_ts", "last_ts", mean_of("_t", "_n").alias("avg_temp"))
 
 
 def rounded_means(df: DataFrame, key: str = "station") -> DataFrame:
     """Mean temperature to 1, 2 and 3 decimals per key."""
-    sums = df.groupBy(key).agg(F.sum(hundredths("temp")).alias("s"), F.count("temp").alias("n"))
+    sums = df.groupBy(key).agg(exact_sum("temp").alias("s"), F.count(usable("temp")).alias("n"))
     return sums.select(
         key,
-        *[half_up_ratio("s", "n * 100", d).alias(f"avg_temp_{d}dp") for d in (1, 2, 3)],
+        *[mean_of("s", "n", d).alias(f"avg_temp_{d}dp") for d in (1, 2, 3)],
     )

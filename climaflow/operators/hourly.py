@@ -9,19 +9,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.calendar import cyclic_hour
-from ..functions.fixedpoint import exact_mean_of_hundredths, hundredths
+from ..functions.fixedpoint import exact_mean_of, exact_sum, usable
 
 LAGS = (1, 2, 24, 168)
 ROLLING = (3, 24)
 HORIZONS = (1, 24, 168)
+# Days whose missing hours are filled at a time.
+GAP_BLOCK_DAYS = 30
 
 
 def hourly_means(df: DataFrame, keys: tuple[str, ...] = ("station",)) -> DataFrame:
     """Mean temperature per station and hour; null where an hour has only nulls."""
     grouped = df.where(F.col("ts").isNotNull()).groupBy(
         *keys, F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hr")
-    ).agg(F.sum(hundredths("temp")).alias("s"), F.count("temp").alias("n"))
-    return grouped.select(*keys, "hr", exact_mean_of_hundredths("s", "nullif(n, 0)").alias("temp"))
+    ).agg(exact_sum("temp").alias("s"), F.count(usable("temp")).alias("n"))
+    return grouped.select(*keys, "hr", exact_mean_of("s", "n").alias("temp"))
 
 
 def interpolate_hours(hourly: DataFrame, keys: tuple[str, ...] = ("station",)) -> DataFrame:
@@ -45,7 +47,11 @@ def interpolate_hours(hourly: DataFrame, keys: tuple[str, ...] = ("station",)) -
     hour = F.expr("INTERVAL 1 HOUR")
     start = F.when(F.col("is_first"), F.col("lo")).otherwise(F.col("hr"))
     stop = F.coalesce(F.col("next_hr") - hour, F.col("hi"))
-    cells = linked.withColumn("at", F.explode(F.sequence(start, stop, hour)))
+    # A reading with a wrong year makes a gap of any length: it is filled block by block, never held as one array.
+    block = F.expr(f"INTERVAL {GAP_BLOCK_DAYS} DAY")
+    blocks = linked.withColumn("stop", stop).withColumn("block_from", F.explode(F.sequence(start, F.col("stop"), block)))
+    block_stop = F.least(F.col("stop"), F.col("block_from") + block - hour)
+    cells = blocks.withColumn("at", F.explode(F.sequence(F.col("block_from"), block_stop, hour)))
 
     def secs(c: str):
         return F.unix_seconds(F.col(c).cast("timestamp"))

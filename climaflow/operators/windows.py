@@ -6,35 +6,34 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.fixedpoint import exact_mean_of_hundredths, half_up_ratio, hundredths, mean_of_hundredths
-
+from ..functions.fixedpoint import exact_mean_of, exact_sum, half_up_ratio, mean_of, usable
 
 
 def _partials() -> dict[str, Column]:
     return {
-        "_temp_sum": F.sum(hundredths("temp")),
-        "_temp_n": F.count("temp"),
-        "_temp_hi": F.max(hundredths("temp")),
-        "_temp_lo": F.min(hundredths("temp")),
+        "_temp_sum": exact_sum("temp"),
+        "_temp_n": F.count(usable("temp")),
+        "_temp_hi": F.max(usable("temp")),
+        "_temp_lo": F.min(usable("temp")),
         "_hum_sum": F.sum(F.col("humidity").cast("bigint")),
         "_hum_n": F.count("humidity"),
-        "_wind_sum": F.sum(hundredths("wind")),
-        "_wind_n": F.count("wind"),
-        "_feels_sum": F.sum(hundredths("feels_like")),
-        "_feels_n": F.count("feels_like"),
+        "_wind_sum": exact_sum("wind"),
+        "_wind_n": F.count(usable("wind")),
+        "_feels_sum": exact_sum("feels_like"),
+        "_feels_n": F.count(usable("feels_like")),
         "_rows": F.count(F.lit(1)),
     }
 
 
 def _measures() -> dict[str, tuple[list[str], Column]]:
     return {
-        "avg_temp": (["_temp_sum", "_temp_n"], mean_of_hundredths("_temp_sum", "_temp_n")),
-        "max_temp": (["_temp_hi"], F.col("_temp_hi") / 100.0),
-        "min_temp": (["_temp_lo"], F.col("_temp_lo") / 100.0),
+        "avg_temp": (["_temp_sum", "_temp_n"], mean_of("_temp_sum", "_temp_n")),
+        "max_temp": (["_temp_hi"], F.col("_temp_hi")),
+        "min_temp": (["_temp_lo"], F.col("_temp_lo")),
         "avg_humidity": (["_hum_sum", "_hum_n"], half_up_ratio("_hum_sum", "_hum_n", 1)),
-        "avg_wind": (["_wind_sum", "_wind_n"], mean_of_hundredths("_wind_sum", "_wind_n")),
-        "avg_feels_like": (["_feels_sum", "_feels_n"], mean_of_hundredths("_feels_sum", "_feels_n")),
-        "mean_temp": (["_temp_sum", "_temp_n"], exact_mean_of_hundredths("_temp_sum", "nullif(_temp_n, 0)")),
+        "avg_wind": (["_wind_sum", "_wind_n"], mean_of("_wind_sum", "_wind_n")),
+        "avg_feels_like": (["_feels_sum", "_feels_n"], mean_of("_feels_sum", "_feels_n")),
+        "mean_temp": (["_temp_sum", "_temp_n"], exact_mean_of("_temp_sum", "_temp_n")),
         "events": (["_rows"], F.col("_rows")),
     }
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import bands, calendar as cal
 from ..operators import alerts, counters, describe as stats, history as hist, hourly, latest, pipeline_metrics as pm
-from ..operators.windows import SHORT_MEASURES, TRIAL_MEASURES, WindowSpec, newest_first, windowed_aggregate
+from ..operators.windows import FULL_MEASURES, SHORT_MEASURES, TRIAL_MEASURES, WindowSpec, newest_first, windowed_aggregate
 from ..schema import naive_timestamps
 from ..sources import files, payload, wire
 from ..sources.events import events, full_readings, readings
@@ -35,6 +35,41 @@ def window_agg_param_10m(spark, d):
     return windowed_aggregate(_r(spark, d), spec)
 
 
+# ---- readings of one to six decimals ------------------------------------------------------
+
+def _fine(spark: SparkSession, d: str) -> DataFrame:
+    """Readings whose values have one to six decimals, by event."""
+    e = events(spark, d)
+    units = F.array(*[F.lit(10.0 ** k) for k in range(1, 7)])
+    fine = F.rint(F.col("value") * 100) / F.element_at(units, (F.col("event_id") % 6 + 1).cast("int"))
+    return readings(e.withColumn("value", fine))
+
+
+def exact_window_means(spark, d):
+    return windowed_aggregate(_fine(spark, d), WindowSpec(measures=(*FULL_MEASURES, "mean_temp")))
+
+
+def exact_history_year(spark, d):
+    return hist.history(_fine(spark, d), "year")
+
+
+def exact_heatmap(spark, d):
+    return hist.heatmaps(_fine(spark, d))
+
+
+def exact_hourly(spark, d):
+    return hourly.hourly_means(_fine(spark, d))
+
+
+def exact_rounded_means(spark, d):
+    return hist.rounded_means(_fine(spark, d))
+
+
+def exact_describe(spark, d):
+    """Moments and quartiles of unrounded values; the result holds nothing of the table but one row per column."""
+    return stats.describe(_fine(spark, d), ["temp", "feels_like", "wind", "humidity"])
+
+
 # ---- JSON events and payloads -------------------------------------------------------------
 
 def json_roundtrip(spark, d):
@@ -398,6 +433,12 @@ QUERIES = {
     "not_null_scan": not_null_scan,
     "table_summary": table_summary,
     "describe_stats": describe_stats,
+    "exact_window_means": exact_window_means,
+    "exact_history_year": exact_history_year,
+    "exact_heatmap": exact_heatmap,
+    "exact_hourly": exact_hourly,
+    "exact_rounded_means": exact_rounded_means,
+    "exact_describe": exact_describe,
     "rounded_means": rounded_means,
     "history_day": _history("day"),
     "history_week": _history("week"),

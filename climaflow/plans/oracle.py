@@ -35,6 +35,22 @@ f AS (
 )"""
 
 
+# Readings with one to six decimals, in whole millionths.
+FINE = """
+r AS (
+  SELECT event_id, event_type AS station, ts,
+         CAST(round(value * 100) AS BIGINT) * CAST(10 ** (5 - event_id % 6) AS BIGINT) - 20000000 AS m,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS humidity,
+         CAST(950 + user_id AS INTEGER) AS pressure,
+         event_id % 2000 AS wc, (event_id % 2000) / 100.0::DOUBLE AS wind,
+         m / 1000000.0::DOUBLE AS temp,
+         m - (CAST(json_extract_string(props, '$.k') AS BIGINT) * 4 - ((event_id % 2000) * 8) // 100) * 10000 AS fm,
+         fm / 1000000.0::DOUBLE AS feels_like,
+         CAST(hour(ts) AS INTEGER) AS hour_of_day
+  FROM events
+)"""
+
+
 def _mean(total: str, n: str, digits: int = 2) -> str:
     """total/n half up to ``digits``; total and n are whole numbers."""
     unit = 10 ** digits
@@ -65,6 +81,10 @@ SELECT window_start, window_start + INTERVAL '{minutes} minutes' AS window_end,
 
 WINDOW_5M = _window_sql(5, "hour_of_day, station", _FULL_MEASURES)
 
+def _micro_mean(total: str, n: str, digits: int = 2) -> str:
+    return _mean(total, f"(({n}) * 1000000)", digits)
+
+
 _BUCKETS = {
     "day": ("CAST(hour(ts) AS INTEGER)", "bucket || 'h'", "CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM r)"),
     "week": ("CAST(ts AS DATE)", "day(bucket) || '/' || month(bucket)", "ts >= (SELECT max(ts) FROM r) - INTERVAL 7 DAY"),
@@ -132,6 +152,9 @@ grid AS (SELECT station, hr, t IS NULL AS filled,
                 ELSE pt + (nt - pt) / (epoch(nh) - epoch(ph)) * (epoch(hr) - epoch(ph)) END AS temp
          FROM k)"""
 
+# Whole milliseconds, eleven days behind the newest event.
+_SHUFFLED_WATERMARK = "(epoch_us(max(ts)) // 1000) * 1000 - 11 * 86400000000"
+
 _W = "OVER (PARTITION BY station ORDER BY hr)"
 
 
@@ -163,7 +186,7 @@ def _islands(source: str, flag: str, hold: int) -> str:
 inst AS (SELECT station, ts, bool_and({flag}) AS flag FROM {source} GROUP BY ALL),
 mark AS (SELECT station, ts, flag, sum(CASE WHEN flag THEN 0 ELSE 1 END) OVER (PARTITION BY station ORDER BY ts) AS g FROM inst)
 SELECT station, min(ts) AS started, max(ts) AS ended, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0::DOUBLE AS held_s
-FROM mark WHERE flag GROUP BY station, g HAVING epoch_us(max(ts)) - epoch_us(min(ts)) >= {hold} * 1000000"""
+FROM mark WHERE flag GROUP BY station, g HAVING epoch_us(max(ts)) - epoch_us(min(ts)) >= {hold * 1000000}"""
 
 
 _STAT = """SELECT '{c}' AS column_name, count({v}) AS rows, round(avg({v}::DOUBLE), 6) AS mean,
@@ -299,6 +322,25 @@ SELECT count(*) AS events, min(ts) AS first_ts, max(ts) AS last_ts, {_cents_mean
     "describe_stats": f"WITH {READINGS} " + " UNION ALL ".join(
         _STAT.format(c=c, v=c) for c in ("temp", "humidity", "pressure", "hour_of_day")
     ),
+    "exact_window_means": f"""WITH {FINE},
+g AS (SELECT time_bucket(INTERVAL '5 minutes', ts) AS window_start, hour_of_day, station, sum(m) AS ts_, count(*) AS n,
+        max(temp) AS hi, min(temp) AS lo, sum(humidity) AS hs, sum(wc) AS ws, sum(fm) AS fs FROM r GROUP BY ALL)
+SELECT window_start, window_start + INTERVAL '5 minutes' AS window_end, hour_of_day, station, {_micro_mean('ts_', 'n')} AS avg_temp,
+  hi AS max_temp, lo AS min_temp, {_mean('hs', 'n', 1)} AS avg_humidity, {_cents_mean('ws', 'n')} AS avg_wind,
+  {_micro_mean('fs', 'n')} AS avg_feels_like, n AS events, CAST(ts_ AS BIGINT) / 1000000.0::DOUBLE / n AS mean_temp FROM g""",
+    "exact_history_year": f"""WITH {FINE},
+g AS (SELECT {_BUCKETS['year'][0]} AS bucket, sum(m) AS s, sum(pressure) AS p, count(*) AS n FROM r GROUP BY 1)
+SELECT bucket, {_BUCKETS['year'][1]} AS label, {_micro_mean('s', 'n')} AS avg_temp, {_mean('p', 'n')} AS avg_pressure FROM g""",
+    "exact_heatmap": f"WITH {FINE} " + _HEATMAP.replace(_cents_mean('sum(c)', 'count(c)'), _micro_mean('sum(m)', 'count(m)'))
+        .replace("AS hour, c FROM", "AS hour, m FROM").replace("count(c) AS events", "count(m) AS events"),
+    "exact_hourly": f"""WITH {FINE}
+SELECT station, date_trunc('hour', ts) AS hr, CAST(sum(m) AS BIGINT) / 1000000.0::DOUBLE / count(*) AS temp FROM r GROUP BY ALL""",
+    "exact_rounded_means": f"""WITH {FINE}
+SELECT station, {_micro_mean('sum(m)', 'count(*)', 1)} AS avg_temp_1dp, {_micro_mean('sum(m)', 'count(*)', 2)} AS avg_temp_2dp,
+  {_micro_mean('sum(m)', 'count(*)', 3)} AS avg_temp_3dp FROM r GROUP BY station""",
+    "exact_describe": f"WITH {FINE} " + " UNION ALL ".join(
+        _STAT.format(c=c, v=c) for c in ("temp", "feels_like", "wind", "humidity")
+    ),
     "rounded_means": f"""WITH {READINGS}
 SELECT station, {_cents_mean('sum(c)', 'count(*)', 1)} AS avg_temp_1dp, {_cents_mean('sum(c)', 'count(*)', 2)} AS avg_temp_2dp,
   {_cents_mean('sum(c)', 'count(*)', 3)} AS avg_temp_3dp FROM r GROUP BY station""",
@@ -375,6 +417,16 @@ SELECT CAST(trial AS INTEGER) AS trial, trigger, watermark, window_width,
     "stream_snapshot_heatmap": f"""WITH {READINGS}
 SELECT station, hour_of_day, {_cents_mean('sum(c)', 'count(*)')} AS avg_temp, count(*) AS events FROM r GROUP BY ALL""",
     "stream_sustained": f"WITH {READINGS} {_islands('r', 'temp > 30 OR temp < -10', 300)}",
+    "stream_silence_timers": f"""WITH s AS (SELECT event_type AS station, ts FROM events
+  WHERE (epoch_us(ts) // 600000000 + 1) * 600000000 <= (SELECT {_SHUFFLED_WATERMARK} FROM events)),
+g AS (SELECT station, ts AS silent_from, lead(ts) OVER (PARTITION BY station ORDER BY ts) AS silent_to FROM s)
+SELECT station, silent_from, silent_to FROM g WHERE epoch_us(silent_to) - epoch_us(silent_from) > 600000000""",
+    "stream_sustained_timers": f"""WITH {READINGS},
+s AS (SELECT * FROM r WHERE (epoch_us(ts) // 10000000 + 1) * 10000000 <= (SELECT {_SHUFFLED_WATERMARK} FROM events)) """
+        + _islands("s", "temp < 35", 7200),
+    "stream_silence_clock": """SELECT event_type AS station, max(ts) AS silent_from FROM events GROUP BY 1
+UNION ALL SELECT '*', max(ts) FROM events""",
+    "stream_progress": "SELECT 0::BIGINT AS batch, count(*) AS rows FROM events",
     "stream_silence": """WITH g AS (SELECT event_type AS station, ts AS silent_from,
   lead(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS silent_to FROM events)
 SELECT station, silent_from, silent_to FROM g

@@ -12,7 +12,7 @@ from ..session import run_dir
 from ..sinks import fanout, tables
 from ..sources import files
 from ..sources.events import event_stream, events, full_readings, readings
-from ..streaming import alerts as live_alerts, runtime, windows
+from ..streaming import alerts as live_alerts, progress, runtime, timers, windows
 from ..streaming.snapshot import LiveState
 
 
@@ -46,8 +46,8 @@ def stream_window_complete(spark, d):
 def stream_update_latest(spark, d):
     """Update mode: the newest revision of every window, newest window first."""
     root = run_dir(spark, "update")
-    windows.run_updates(spark, _stream(spark, _events_path(d)), WindowSpec(), root)
-    return naive_timestamps(newest_first(windows.update_result(spark, WindowSpec(), root)))
+    windows.run_current(spark, _stream(spark, _events_path(d)), WindowSpec(), root)
+    return naive_timestamps(newest_first(windows.current_windows(WindowSpec(), root).read(spark)))
 
 
 def stream_restart(spark, d):
@@ -55,8 +55,8 @@ def stream_restart(spark, d):
     root = run_dir(spark, "restart")
     for part in range(2):
         _add_part(spark, d, root, part, 2, f"part{part}")
-        windows.run_updates(spark, _watch(spark, root), WindowSpec(), root)
-    return naive_timestamps(windows.update_result(spark, WindowSpec(), root))
+        windows.run_current(spark, _watch(spark, root), WindowSpec(), root)
+    return naive_timestamps(windows.current_windows(WindowSpec(), root).read(spark))
 
 
 def stream_late_drop(spark, d):
@@ -69,8 +69,9 @@ def stream_late_drop(spark, d):
 
 
 def stream_param_sweep(spark, d):
+    """The trials at their triggers, twenty times as fast."""
     root = run_dir(spark, "trials")
-    return windows.compare_trials(spark, _stream(spark, _events_path(d)), root)
+    return windows.compare_trials(spark, _stream(spark, _events_path(d)), root, speedup=20)
 
 
 def stream_trial_rows(spark, d):
@@ -114,6 +115,58 @@ def stream_silence(spark, d):
     return naive_timestamps(found.alerts(spark))
 
 
+# Pairs of neighbouring sixths of the table arrive in the wrong order, one file per batch.
+SHUFFLED, SHUFFLED_DELAY = (1, 0, 3, 2, 5, 4), "11 days"
+
+
+def _shuffled_stream(spark, d, root: str) -> DataFrame:
+    for place, part in enumerate(SHUFFLED):
+        _add_part(spark, d, root, part, len(SHUFFLED), f"part{place}")
+    return readings(event_stream(spark, f"{root}/in/*", files_per_trigger=1))
+
+
+def stream_silence_timers(spark, d):
+    """Ended silences of ten minutes by event-time timers, from files in the wrong order."""
+    root = run_dir(spark, "silence-timers")
+    found = timers.silence_table(f"{root}/found")
+    stream = timers.silences(_shuffled_stream(spark, d, root), 600, SHUFFLED_DELAY)
+    runtime.run_available(runtime.each_batch(stream, found, f"{root}/checkpoint", "append"), spark)
+    return naive_timestamps(found.read(spark).where(F.col("silent_to").isNotNull()))
+
+
+def stream_sustained_timers(spark, d):
+    """Two hours below 35 degrees by event-time timers, from files in the wrong order."""
+    root = run_dir(spark, "sustained-timers")
+    found = timers.run_table(f"{root}/found")
+    stream = timers.sustained_runs(_shuffled_stream(spark, d, root), F.col("temp") < 35, 7200, SHUFFLED_DELAY)
+    runtime.run_available(runtime.each_batch(stream, found, f"{root}/checkpoint", "append"), spark)
+    return naive_timestamps(found.read(spark).drop("final"))
+
+
+def stream_silence_clock(spark, d):
+    """Stations, and the whole source, that have stopped: reported by the clock while the query waits for more."""
+    root = run_dir(spark, "silence-clock")
+    found = timers.silence_table(f"{root}/found")
+    stream = timers.silence_by_clock(_stream(spark, _events_path(d)), 2)
+    query = runtime.start_every(runtime.each_batch(stream, found, f"{root}/checkpoint", "append"), spark, "1 second")
+    stations = events(spark, d).where(F.col("event_type").isNotNull() & F.col("ts").isNotNull()).select("event_type").distinct().count()
+    try:
+        timers.wait_for(lambda: found.through(spark) >= 0 and found.read(spark).where(F.col("silent_to").isNull()).count() > stations, query)
+    finally:
+        query.stop()
+    return naive_timestamps(found.read(spark).where(F.col("silent_to").isNull()).select("station", "silent_from"))
+
+
+def stream_progress(spark, d):
+    """Rows read by every batch that had any, as the engine reported them."""
+    root = run_dir(spark, "progress")
+    table = progress.ProgressTable(spark, f"{root}/table")
+    with progress.listening(spark, table):
+        query = windows.run_current(spark, _stream(spark, _events_path(d)), WindowSpec(), root)
+        table.wait_for_batch(query, runtime.last_batch_id(query))
+    return table.read(spark).where("rows > 0").select("batch", "rows")
+
+
 def sink_fanout(spark, d):
     """Readings to table, CSV and Parquet files; rows and sums read back from each."""
     root = run_dir(spark, "fanout")
@@ -166,6 +219,10 @@ QUERIES = {
     "stream_snapshot_heatmap": stream_snapshot_heatmap,
     "stream_sustained": stream_sustained,
     "stream_silence": stream_silence,
+    "stream_silence_timers": stream_silence_timers,
+    "stream_sustained_timers": stream_sustained_timers,
+    "stream_silence_clock": stream_silence_clock,
+    "stream_progress": stream_progress,
     "sink_fanout": sink_fanout,
     "parquet_compact": parquet_compact,
     "csv_roundtrip": csv_roundtrip,

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from decimal import Decimal
 
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from ..functions.fixedpoint import usable
 from ..session import pin
 
 # Descriptions used when a reading needs one, by event_id modulo 8.
@@ -35,21 +38,30 @@ def event_stream(spark: SparkSession, path: str, files_per_trigger: int = FILES_
 def readings(events_df: DataFrame) -> DataFrame:
     """Engine columns of each event: one station per event type.
 
-    Built from columns that the table already has, so that pruning reaches the scan.
+    Built from columns that the table already has, so that pruning reaches the scan. Decimals stay as they are: values
+    of two decimals are shifted as hundredths, all others as wide decimals.
     """
-    cents = F.rint(F.col("value") * 100).cast("bigint") - 2000
+    value = usable(F.col("value").cast("double"))
+    cents = F.rint(value * 100).cast("bigint")
+    short, fine = cents / 100.0 == value, value.cast("decimal(36,18)")
     humidity = F.get_json_object("props", "$.k").cast("int")
     wind_cents = F.col("event_id") % 2000
-    feels = cents - humidity * 4 + F.floor(wind_cents * 8 / 100).cast("bigint")
+    # Whole hundredths below the temperature.
+    below = 2000 + humidity * 4 - F.floor(wind_cents * 8 / 100).cast("bigint")
+
+    def lowered(by: Column) -> Column:
+        exact = fine - by.cast("decimal(20,0)") * F.lit(Decimal("0.01"))
+        return F.when(short, (cents - by) / 100.0).otherwise(exact.cast("double"))
+
     return events_df.select(
         "event_id",
         F.col("event_type").alias("station"),
         "ts",
-        (cents / 100.0).alias("temp"),
+        lowered(F.lit(2000)).alias("temp"),
         humidity.alias("humidity"),
         (F.lit(950) + F.col("user_id")).cast("int").alias("pressure"),
         (wind_cents / 100.0).alias("wind"),
-        (feels / 100.0).alias("feels_like"),
+        lowered(below).alias("feels_like"),
         F.hour("ts").alias("hour_of_day"),
         F.weekday("ts").alias("day_of_week"),
     )

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.calendar import epoch_seconds
 from ..operators.alerts import EXTREME_HOLD_S, SILENCE_S, extreme_temperature, silent_gaps, sustained
 from ..operators.keyed import join_per_key
+from ..sinks.merged import MergedTable
 from .slots import Slots
 
 # How much older than its station's newest reading a reading may come, in seconds.
@@ -24,12 +25,16 @@ LATENESS_S = 120
 class _Alerts:
     """State, output and acceptance of readings that both kinds of alerts share.
 
-    Output per batch is one folder. A row without a station marks the batch, so that one without alerts still replaces
-    the provisional alerts of the batch before.
+    Final alerts are kept in a merged table, whose folders do not grow with the batches; provisional ones are state, which
+    the next batch replaces.
     """
 
+    # The column that tells a station's alerts apart.
+    since: str
+
     def __init__(self, root: str, lateness_s: int):
-        self.slots, self.out, self.lateness_s = Slots(f"{root}/state"), f"{root}/alerts", lateness_s
+        self.slots, self.lateness_s = Slots(f"{root}/state"), lateness_s
+        self.final = MergedTable(f"{root}/alerts", ["station", self.since])
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, rows = batch.sparkSession, self._readings(batch)
@@ -60,15 +65,17 @@ class _Alerts:
         return F.timestamp_micros(F.unix_micros("seen") - self.lateness_s * 1_000_000)
 
     def _write(self, found: DataFrame, batch_id: int) -> None:
-        mark = found.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in found.schema])
-        found.unionByName(mark).write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
+        found = found.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.slots.save(found.where(~F.col("final")).drop("final"), "provisional", batch_id)
+            self.final.put(found.where("final").drop("final"), batch_id)
+        finally:
+            found.unpersist()
 
     def alerts(self, spark: SparkSession) -> DataFrame:
         """Final alerts of all batches and provisional ones of the last."""
-        written = spark.read.parquet(self.out)
-        last = written.select(F.max("batch_id")).scalar()
-        current = F.col("final") | (F.col("batch_id") == last)
-        return written.where(F.col("station").isNotNull() & current).drop("batch_id", "final")
+        last = self.final.through(spark)
+        return self.final.read(spark).unionByName(self.slots.now(spark, "provisional", last))
 
 
 class SustainedAlerts(_Alerts):
@@ -78,6 +85,8 @@ class SustainedAlerts(_Alerts):
     the lateness span.
     """
 
+    since = "started"
+
     def __init__(self, root: str, hold_s: int = EXTREME_HOLD_S, flagged: Column | None = None, lateness_s: int = LATENESS_S):
         super().__init__(root, lateness_s)
         self.hold_s, self.flagged = hold_s, flagged
@@ -113,9 +122,11 @@ class SilenceAlerts(_Alerts):
 
     ``alerts`` has ``station, silent_from, silent_to``; ``silent_to`` is null while the station is still silent. A
     silence is final when its end is out of the lateness span. ``silent_at`` tells which stations are silent at any
-    other time, without a batch: when all data stops, the caller's clock raises the alert.
+    other time, without a batch; ``timers.silence_by_clock`` reports them by itself.
     """
 
+    since = "silent_from"
+
     def __init__(self, root: str, limit_s: int = SILENCE_S, lateness_s: int = LATENESS_S):
         super().__init__(root, lateness_s)
         self.limit_s = limit_s

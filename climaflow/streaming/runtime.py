@@ -61,6 +61,24 @@ def start_every(writer: DataStreamWriter, spark: SparkSession, interval: str, pa
         return writer.trigger(processingTime=interval).start()
 
 
+def interval(trigger: str, speedup: float = 1.0) -> str:
+    """A trigger of whole seconds, such as ``10 seconds``, in milliseconds; ``speedup`` times as fast."""
+    number, unit = trigger.split()
+    if unit not in ("second", "seconds"):
+        raise ValueError(f"not a number of seconds: {trigger}")
+    return f"{max(1, round(int(number) * 1000 / speedup))} milliseconds"
+
+
+def run_until_read(writer: DataStreamWriter, spark: SparkSession, every: str, partitions: int | None = None) -> StreamingQuery:
+    """Batches at a processing-time trigger until all input that is there has been read. Raises what the query raised."""
+    query = start_every(writer, spark, every, partitions)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 def console_writer(df: DataFrame, checkpoint: str, rows: int = 50) -> DataStreamWriter:
     """Changed rows to the console, uncut."""
     return (

@@ -7,7 +7,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.calendar import clock_text
-from ..functions.fixedpoint import half_up_ratio, hundredths, mean_of_hundredths
+from ..functions.fixedpoint import exact_sum, half_up_ratio, mean_of, usable
 from ..operators.keyed import join_null_safe
 from ..operators.latest import top_k
 from .slots import Slots
@@ -29,7 +29,7 @@ class LiveState:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, began = batch.sparkSession, time.time()
         heat = batch.groupBy("station", "hour_of_day").agg(
-            F.sum(hundredths("temp")).alias("s"), F.count("temp").alias("k"), F.count(F.lit(1)).alias("n"),
+            exact_sum("temp").alias("s"), F.count(usable("temp")).alias("k"), F.count(F.lit(1)).alias("n"),
         )
         tail = top_k(batch.select(*TAIL_COLUMNS), ["station"], self._newest(), SERIES, "age").drop("age")
         recent = self.slots.before(spark, "latency", batch_id)
@@ -55,7 +55,7 @@ class LiveState:
 
     def heatmap(self, spark: SparkSession, batch_id: int) -> DataFrame:
         heat = self.slots.now(spark, "heat", batch_id)
-        return heat.select("station", "hour_of_day", mean_of_hundredths("s", "k").alias("avg_temp"), F.col("n").alias("events"))
+        return heat.select("station", "hour_of_day", mean_of("s", "k").alias("avg_temp"), F.col("n").alias("events"))
 
     def assemble(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """One row per station with its dense heat map, series, log and latest event."""

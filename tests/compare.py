@@ -68,7 +68,7 @@ def main():
 
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
-    spark, con = local_session(8), duck(sf_dir)
+    spark, con = local_session(int(os.environ.get("COMPARE_CORES", "8"))), duck(sf_dir)
     queries, sql = entry.queries(), entry.oracle_sql()
     failed = 0
     for name in args or queries:

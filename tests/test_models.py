@@ -131,3 +131,94 @@ def test_unknown_mode(spark):
 def test_forest_importances_are_sorted(spark):
     got = temperature.importance_frame(spark, {"a": 0.1236, "b": 0.5, "c": 0.3764}).collect()
     assert [(r["feature"], r["importance"]) for r in got] == [("b", 0.5), ("c", 0.376), ("a", 0.124)]
+
+
+def brute_neighbours(rows, labels, scale, query, k):
+    """Mean label of the k nearest rows; those at the k-th distance share the places left."""
+    d = [round(sum(((q - v) / s) ** 2 for q, v, s in zip(query, r, scale)), 9) for r in rows]
+    total, need = 0.0, k
+    for at in sorted(set(d)):
+        ys = [y for y, x in zip(labels, d) if x == at]
+        take = min(len(ys), need)
+        total, need = total + take * sum(ys) / len(ys), need - take
+        if not need:
+            break
+    return total / (k - need)
+
+
+@pytest.mark.parametrize("k,pivots", [(1, 1), (5, 7), (5, 256), (400, 9)])
+def test_neighbours_in_eight_real_dimensions_equal_brute_force(spark, k, pivots):
+    rng = random.Random(k + pivots)
+    names = [f"f{i}" for i in range(8)]
+    rows = [[rng.gauss(0, 1 + i) for i in range(7)] + [3.5] for _ in range(300)]
+    rows += [rows[0]] * 6 + [[v + 40 for v in r] for r in rows[:20]]
+    labels = [round(rng.uniform(-20, 40), 2) for _ in rows]
+    wanted = rows[::15] + [[rng.gauss(0, 9) for _ in range(8)] for _ in range(20)] + [[1e4] * 8]
+    train = spark.createDataFrame([(*r, y) for r, y in zip(rows, labels)] + [(*rows[0][:7], None, 5.0)], ", ".join(f"{n} double" for n in [*names, "y"]))
+    asked = spark.createDataFrame([(i, *r) for i, r in enumerate(wanted)] + [(None, *wanted[0]), (999, None, *wanted[0][1:])],
+                                  "id int, " + ", ".join(f"{n} double" for n in names))
+    from climaflow.models import metric_knn
+
+    scale = [s if (s := float(np.std([r[i] for r in rows]))) > 1e-9 else 1.0 for i in range(8)]
+    got = metric_knn.predict(train.repartition(3), asked.repartition(3), names, "y", k, pivots).collect()
+    assert len(got) == len(wanted) + 2 and got[0].asDict().keys() == {"id", *names, "knn"}
+    for r in got:
+        want = None if r["id"] == 999 else brute_neighbours(rows, labels, scale, wanted[r["id"] or 0], k)
+        assert r["knn"] == (None if want is None else pytest.approx(want, abs=1e-9))
+
+
+def test_neighbours_of_nothing(spark):
+    from climaflow.models import metric_knn
+
+    empty = spark.createDataFrame([], "a double, y double")
+    one = spark.createDataFrame([(1.0,)], "a double")
+    assert [r["knn"] for r in metric_knn.predict(empty, one, ["a"], "y").collect()] == [None]
+    assert metric_knn.predict(one.withColumn("y", F.lit(2.0)), one.where("false"), ["a"], "y").collect() == []
+
+
+def constant_models(spark, value):
+    """Models that say ``value`` everywhere, quickly fitted."""
+    cells = spark.createDataFrame([(h, 0, 1, 1, 1, int(value * 100)) for h in range(3)], "hour_of_day int, day_of_week int, month int, iso_week int, n bigint, s bigint")
+    train = cells.withColumns({"label": F.lit(float(value)), "weight": F.lit(1.0)})
+    found = {"random_forest": regressors.random_forest(train, CALENDAR_FEATURES, trees=1, depth=1),
+             "gradient_boosting": regressors.gradient_boosting(train, CALENDAR_FEATURES, rounds=1)}
+    meta = {"mejor_modelo_nombre": "KNN", "total_eventos": value, "importancias": {}, **{f"{k}_{m}": 1.0 for k in ("mae", "r2") for m in ("gb", "rf", "ridge", "knn")}}
+    return temperature.TemperatureModels(found, cells, "knn", meta)
+
+
+def test_a_version_is_seen_whole_while_another_is_saved(spark, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    says = lambda m: {round(r[0], 6) for r in m.predict(m.cells.select(*CALENDAR_FEATURES)).select(F.explode(F.array(*m.names))).collect()}
+    assert temperature.TemperatureModels.load(spark, path) is None
+    assert constant_models(spark, 1).save(spark, path) == 1
+    first = temperature.TemperatureModels.load(spark, path)
+    assert says(first) == {1.0} and first.best == "knn"
+    # The writer is ended after its models, before its metadata.
+    broken = constant_models(spark, 2)
+    monkeypatch.setitem(broken.meta, "total_eventos", "not a number")
+    with pytest.raises(Exception):
+        broken.save(spark, path)
+    again = temperature.TemperatureModels.load(spark, path)
+    assert says(again) == {1.0} and again.meta["total_eventos"] == 1
+    for value in (3, 4, 5, 6):
+        constant_models(spark, value).save(spark, path)
+        if value == 3:
+            assert says(first) == {1.0}  # begun before the new version
+    assert says(temperature.TemperatureModels.load(spark, path)) == {6.0}
+    assert len(list(tmp_path.glob("version-*"))) <= 4
+
+
+def test_models_are_trained_again_on_demand(spark, small, tmp_path, monkeypatch):
+    made = iter([constant_models(spark, 7), constant_models(spark, 8)])
+    monkeypatch.setattr(temperature, "train", lambda df: (next(made), None))
+    df = readings(events(spark, small))
+    assert temperature.fit_or_load(df, str(tmp_path))[0].meta["total_eventos"] == 7
+    assert temperature.fit_or_load(df, str(tmp_path))[0].meta["total_eventos"] == 7
+    assert temperature.fit_or_load(df, str(tmp_path), retrain=True)[0].meta["total_eventos"] == 8
+    assert temperature.TemperatureModels.load(spark, str(tmp_path)).meta["total_eventos"] == 8
+
+
+def test_horizon_features_are_all_used():
+    from climaflow.models import horizons
+
+    assert len(horizons.FEATURES) == 8 and not hasattr(horizons, "KNN_FEATURES")

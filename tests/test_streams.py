@@ -180,7 +180,7 @@ def test_trials_count_every_batch(spark, small, tmp_path):
     before = spark.conf.get(key)
     spark.conf.set(key, "3")
     try:
-        got = windows.compare_trials(spark, readings(event_stream(spark, f"{tmp_path}/in", files_per_trigger=1)), str(tmp_path), windows.TRIALS[:1]).first()
+        got = windows.compare_trials(spark, readings(event_stream(spark, f"{tmp_path}/in", files_per_trigger=1)), str(tmp_path), windows.TRIALS[:1], speedup=50).first()
     finally:
         spark.conf.set(key, before)
     written = windows.update_revisions(spark, f"{tmp_path}/trial-1")
@@ -231,10 +231,10 @@ def test_fanout_isolates_failures_and_replays(spark, small, tmp_path):
     callback = runtime.Metered(fanout.FanOut(sinks, f"{tmp_path}/outcomes"), f"{tmp_path}/metrics")
     for _ in range(2):
         callback(batch, 0)
-    outcome = {r["sink"]: (r["ok"], r["error"]) for r in spark.read.parquet(f"{tmp_path}/outcomes").collect()}
+    outcome = {r["sink"]: (r["ok"], r["error"]) for r in callback.inner.outcomes(spark).collect()}
     assert outcome["broken"] == (False, "OSError: disk is gone")
     assert all(outcome[s][0] for s in ("table", "csv", "parquet"))
-    assert fanout.failed_writes(spark.read.parquet(f"{tmp_path}/outcomes")).count() == 1
+    assert fanout.failed_writes(callback.inner.outcomes(spark)).count() == 1
     n = batch.count()
     assert files.read_readings(spark, f"{tmp_path}/table/*").count() == n
     assert files.read_stored_csv(spark, f"{tmp_path}/csv/*").count() == n
