@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import run_dir
+from .. import session
 
 # A joined side is broadcast up to this many rows of at most some hundred bytes.
 BROADCAST_ROWS = 100_000
@@ -14,16 +16,50 @@ BROADCAST_ROWS = 100_000
 SALTS = 16
 
 
+# Folders of written tables of the stage that is being made, if a pipeline asks for them.
+_collected: list[str] | None = None
+
+
+def run_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder for one run below the shared folder."""
+    path = session.run_dir(spark, label)
+    if _collected is not None:
+        _collected.append(path)
+    return path
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """The folders that are made meanwhile, to be deleted with ``delete`` when nothing reads them any more."""
+    global _collected
+    before, _collected = _collected, []
+    try:
+        yield _collected
+    finally:
+        _collected = before
+
+
+def delete(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def written(df: DataFrame, label: str = "cut") -> tuple[DataFrame, str]:
+    """The rows written below the shared folder and read back, and the folder."""
+    spark = df.sparkSession
+    path = run_dir(spark, label)
+    df.write.parquet(f"{path}/rows.parquet")
+    return spark.read.schema(df.schema).parquet(f"{path}/rows.parquet"), path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows written below the shared folder and read back: lineage ends there, and lost executors cost nothing.
 
     A table and no checkpoint, as that would carry along the constraints that the optimizer has found, which grow with
     every step of an iteration.
     """
-    spark = df.sparkSession
-    path = f"{run_dir(spark, 'cut')}/rows.parquet"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df)[0]
 
 
 def join_small(rows: DataFrame, small: DataFrame, keys: list[str], n_small: int) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut
+from .common import delete, written
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -32,10 +32,12 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 def roots(links: DataFrame) -> DataFrame:
     """``node`` and its component's smallest node ``root``, for every node of the links (a, b) but the roots."""
-    now = cut(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    now, path = written(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = None
     while True:
-        now = cut(_small_star(_large_star(now)))
+        before = path
+        now, path = written(_small_star(_large_star(now)))
+        delete(links.sparkSession, before)
         # Stars stay as they are: the sums of a hash over the links show that nothing has moved.
         fresh = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if fresh == state:

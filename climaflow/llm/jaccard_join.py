@@ -34,10 +34,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from ..session import run_dir
-from .common import cut, join_small
+from .common import cut, delete, join_small, run_dir
 from .components import roots
 from .words import Chunk, chunks, mix, shingle_sets, white_space_words
 
@@ -309,20 +308,27 @@ def _verified(docs: DataFrame, pairs: DataFrame, local_ids: int) -> DataFrame:
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     _of_ids(docs, ids, _set_rows, _SET, local_ids).write.parquet(f"{folder}/sets.parquet")
     sets = spark.read.parquet(f"{folder}/sets.parquet")
-    for side in ("b", "a"):
-        own = sets.select(F.col("doc").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "ranges", "grams")])
-        pairs = pairs.join(own, side)
+
+    def with_sets(pairs: DataFrame, *columns: str) -> DataFrame:
+        for side in ("b", "a"):
+            pairs = pairs.join(sets.select(F.col("doc").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+        return pairs
+
+    # The suffix filter needs sizes and ranges alone; hashes are fetched for the pairs that it lets pass.
     most = F.aggregate(F.zip_with("ranges_a", "ranges_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    both = pairs.withColumn("most", most)
+    bounded = cut(with_sets(pairs, "n", "ranges").select("a", "b", "n_a", "n_b", most.alias("most")))
     passed = _enough(F.col("most"), F.col("n_a"), F.col("n_b"))
-    both = both.withColumn("common", F.when(passed, F.size(F.array_intersect("grams_a", "grams_b"))))
+    met = with_sets(bounded.where(passed), "grams").withColumn("common", F.size(F.array_intersect("grams_a", "grams_b")))
+    both = met.drop("grams_a", "grams_b").unionByName(bounded.where(~passed).withColumn("common", F.lit(None).cast("int")))
     total = F.col("n_a") + F.col("n_b")
     apart = lambda common: 1 - common / (total - common)
-    return cut(both.select(
+    found = cut(both.select(
         "a", "b", apart(F.coalesce("common", "most")).alias("least_apart"),
         F.when(F.col("common").isNull(), 1.0).otherwise(apart(F.col("common"))).alias("most_apart"),
         F.coalesce(_enough(F.col("common"), F.col("n_a"), F.col("n_b")), F.lit(False)).alias("linked"),
     ))
+    delete(spark, folder)
+    return found
 
 
 def _first_pairs(lists: DataFrame) -> DataFrame:
@@ -356,7 +362,10 @@ def classes(docs: DataFrame, local_ids: int = LOCAL_IDS) -> DataFrame:
     rows, frequent = _measure(docs)
     lists = _lists(docs, rows, frequent, local_ids)
     verified = _verified(docs, _first_pairs(lists), local_ids)
-    links = verified.where("linked").select("a", "b")
+    # A document whose rows have several sets ties their classes together.
+    sets = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).where("b != last")
+    ties = cut(rows.join(sets, "doc_id").where("rep != b").select(F.col("rep").alias("a"), "b").distinct())
+    links = verified.where("linked").select("a", "b").unionByName(ties)
     nodes = roots(links)
     more = _verified(docs, _remaining_pairs(lists, verified, nodes), local_ids).where("linked").select("a", "b")
     if not more.isEmpty():
@@ -368,18 +377,22 @@ def classes(docs: DataFrame, local_ids: int = LOCAL_IDS) -> DataFrame:
 def keep_one(docs: DataFrame, local_ids: int = LOCAL_IDS) -> DataFrame:
     """The documents without those whose component has a smaller id; columns as they were, repeated rows once.
 
-    Rows without an id stay. Texts are shuffled only where more ids
-    go than ``BROADCAST_IDS``, or where rows are repeated.
+    Rows without an id stay, all of them. Of rows with the same id and text one stays, the first by their other columns
+    as text. Texts are shuffled only where more ids go, or are repeated, than ``BROADCAST_IDS``.
     """
     found = cut(classes(docs, local_ids))
-    ids = found.where("component_id != doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    left = docs.join(ids, F.col("doc_id") == F.col("_gone"), "left_anti")
-    known = found.where("doc_id is not null")
-    if known.count() > known.select("doc_id").distinct().count():
-        left = left.dropDuplicates(["doc_id", "text"])
-    return left
+    few = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    gone = few(found.where("component_id != doc_id").select(F.col("doc_id").alias("_gone")).distinct())
+    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    often = cut(found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_often")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_often"))
+    if often.isEmpty():
+        return left
+    often = few(often)
+    once = left.join(often, F.col("doc_id") == F.col("_often"), "left_anti")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    turn = W.partitionBy("doc_id", "text").orderBy(*[F.col(c).cast("string") for c in rest], "doc_id")
+    repeated = left.join(often, F.col("doc_id") == F.col("_often"), "left_semi").withColumn("_turn", F.row_number().over(turn))
+    return once.unionByName(repeated.where("_turn = 1").drop("_turn"))
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

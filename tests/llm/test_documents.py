@@ -189,6 +189,19 @@ def test_one_of_each_group_stays(docs, empty):
     assert jaccard_join.classes(empty).count() == 0
 
 
+def test_an_id_with_several_texts_ties_their_classes(spark):
+    a, b, c = prose(301), prose(302), prose(303)
+    rows = [(3, a), (7, a), (7, b), (9, b), (11, c), (12, c), (12, None), (None, b), (None, "x y z"), (20, None)]
+    got = jaccard_join.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in got if r.doc_id is not None} == {(3, 3), (7, 3), (9, 3), (11, 11), (12, 11), (20, 20)}
+
+
+def test_repeated_rows_go_and_rows_without_an_id_stay(spark):
+    rows = [(None, "same", "a"), (None, "same", "b"), (5, "x", "b"), (5, "x", "a"), (5, "x", None), (5, None, "n"), (5, None, "n"), (6, "y", "q")]
+    left = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3))
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([(None, "same", "a"), (None, "same", "b"), (5, "x", None), (5, None, "n"), (6, "y", "q")], key=str)
+
+
 def test_roots_of_stars_chains_and_nothing(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 120)] + [(5, 5)]
     got = {r.node: r.root for r in roots(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
