@@ -9,7 +9,7 @@ them by hash. Two sets of similarity 3/4 or more then share an n-gram in their p
    sorted, and streamed through a filter that drops those that only one document has.
 3. First pairs. In each n-gram's list every document is paired with the list's smallest id only, under the length
    filter and the positional filter (what both prefixes leave can still reach the needed overlap). Pairs are made
-   distinct and verified once: the suffix filter bounds the overlap by how many hashes fall into each sixteenth of the
+   distinct and verified once: the suffix filter bounds the overlap by how many hashes fall into each of 256 parts of the
    hash range, and pairs that pass are intersected. Groups of near copies collapse to components here, without
    all pairs of a group being formed.
 4. Remaining pairs. Lists that still hold documents of different components are joined with themselves, under the
@@ -50,8 +50,9 @@ PER_SALT = 2_000
 # Ids that are broadcast to choose texts.
 LOCAL_IDS = 4_000_000
 BROADCAST_IDS = 1_000_000
-# Hash ranges of the suffix filter.
-RANGES = 16
+# Hash ranges of the suffix filter, a power of 2. A range should hold a few hashes of a set: where it holds many, unlike
+# sets have about as many each, and the bound says nothing.
+RANGES = 256
 
 _BUFFER = 4_000_000
 
@@ -288,7 +289,7 @@ def _set_rows(ids, of, grams, sizes):
     texts, first = np.unique(of, return_index=True)
     ends = np.append(first[1:], len(of))
     place = np.repeat(np.arange(len(texts)), ends - first)
-    ranges = np.bincount(place * RANGES + (grams >> np.uint64(60)).astype(np.int64), minlength=RANGES * len(texts))
+    ranges = np.bincount(place * RANGES + (grams >> np.uint64(65 - RANGES.bit_length())).astype(np.int64), minlength=RANGES * len(texts))
     yield pa.record_batch([
         pa.array(ids[texts]), pa.array(sizes[texts].astype(np.int32)),
         pa.ListArray.from_arrays(pa.array((np.arange(len(texts) + 1) * RANGES).astype(np.int32)), pa.array(ranges.astype(np.int32))),
