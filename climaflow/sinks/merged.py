@@ -44,16 +44,19 @@ class MergedTable:
         """Number of the last batch in the table; -1 without any."""
         return self.state(spark)[1]["through"]
 
-    def put(self, rows: DataFrame, batch_id: int) -> None:
-        """Add a batch; usable as a batch callback."""
+    def put(self, rows: DataFrame, batch_id: int, skip_empty: bool = False) -> None:
+        """Add a batch; usable as a batch callback. With ``skip_empty`` one without rows adds no folder, for rows that are
+        cheap to look at."""
         spark = rows.sparkSession
         version, state = self.state(spark)
         if batch_id <= state["through"]:
             return
         version += 1
-        name = f"rows/batch-{batch_id}"
-        self._write(rows.withColumn(BATCH, F.lit(batch_id).cast("bigint")), name)
-        folders, gone, level = [*state["folders"], [name, 0]], [], 0
+        folders, gone, level = list(state["folders"]), [], 0
+        if not (skip_empty and rows.count() == 0):
+            name = f"rows/batch-{batch_id}"
+            self._write(rows.withColumn(BATCH, F.lit(batch_id).cast("bigint")), name)
+            folders.append([name, 0])
         while len(full := [n for n, at in folders if at == level]) >= self.fan:
             merged = f"rows/merged-{batch_id}-{level + 1}"
             self._write(spark.read.parquet(*[f"{self.root}/{n}" for n in full]), merged)
@@ -73,5 +76,5 @@ class MergedTable:
         return [f"{self.root}/{n}" for n, _ in self.state(spark)[1]["folders"]]
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """The current rows."""
+        """The current rows; there must have been a batch that was not skipped."""
         return self._current(spark.read.parquet(*self.folders(spark))).drop(BATCH)

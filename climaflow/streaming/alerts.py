@@ -68,14 +68,14 @@ class _Alerts:
         found = found.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self.slots.save(found.where(~F.col("final")).drop("final"), "provisional", batch_id)
-            self.final.put(found.where("final").drop("final"), batch_id)
+            self.final.put(found.where("final").drop("final"), batch_id, skip_empty=True)
         finally:
             found.unpersist()
 
     def alerts(self, spark: SparkSession) -> DataFrame:
         """Final alerts of all batches and provisional ones of the last."""
-        last = self.final.through(spark)
-        return self.final.read(spark).unionByName(self.slots.now(spark, "provisional", last))
+        provisional = self.slots.now(spark, "provisional", self.final.through(spark))
+        return self.final.read(spark).unionByName(provisional) if self.final.folders(spark) else provisional
 
 
 class SustainedAlerts(_Alerts):
