@@ -2,9 +2,11 @@
 
 A page is read into a tree of nodes. Every node has the characters and tags below it and those inside links. Its
 density is characters per tag, adjusted by how much of them are links. The densities of a node's children add up to
-its density sum; the subtree with the largest sum is the core of the article. The least density on the path from that
-node up to the body is the threshold: the core and every other subtree at or above it are taken whole, and a main heading
-that stands beside them. Only block-level children count in a sum: a bold word is no part of a page by itself.
+its density sum; the subtree with the largest sum is the core of the article, and the nearest article or main element around
+it is taken whole. The least density on the path from the core up to the body is the threshold: every other subtree at or
+above it is taken whole too, and a main heading that stands beside them. On that path, short of the body, texts and
+elements of running text are taken however short they are, unless links hold most of them. Only block-level children
+count in a sum: a bold word is no part of a page by itself.
 
 Menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments of readers are known by
 their elements, roles and the words of their class and id; they are left out before densities are computed. A name of
@@ -13,7 +15,8 @@ most of the text; on a page without article and main, what it marks stays where
 
 Defined results: a null, empty or text-free page has an empty text; broken markup is read the way browsers do in the
 common cases (unclosed paragraphs, list items and cells end where the next one begins, stray end tags are ignored, an
-unfinished tag at the end is dropped); a page is handled whole, whatever its length; repeated rows stay; an empty table
+unfinished tag at the end is dropped); a page is handled whole, whatever its length, in time that grows with it, also where
+its markup is broken or deeply nested; repeated rows stay; an empty table
 gives no rows.
 """
 
@@ -60,9 +63,13 @@ LEFT_OUT_WORDS = frozenset(
 )
 # A weakly marked part outside of articles stays with so many times the unlinked text of all that is not left out.
 MOST_OF_PAGE = 5
+# Elements of running text; around the core they are part of it unless links hold most of them.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 hgroup ul ol dl blockquote pre table figure address details".split())
 CARRIES_ARTICLE = frozenset("html body main article".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</[^a-zA-Z][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_QUOTE_OR_END = re.compile(r"[>\"']")
+_BOGUS = re.compile(r"<[!?]|</[^a-zA-Z]")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -107,60 +114,107 @@ def _left_out(tag: str, attributes: str) -> tuple[bool, str]:
     return strong or bool(weak), "" if strong else weak
 
 
+class _Open:
+    """The open elements, and where those of each tag stand, so that closing never walks over others."""
+
+    def __init__(self, root: Node):
+        self.stack = [root]
+        self.depths: dict[str, list[int]] = {}
+
+    def push(self, node: Node) -> None:
+        self.depths.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def last(self, tags) -> int:
+        return max((d[-1] for d in map(self.depths.get, tags) if d), default=0)
+
+    def close(self, tags, fences) -> None:
+        """Ends the innermost element of ``tags`` and all within it, unless a fence lies between."""
+        depth = self.last(tags)
+        if depth and depth >= self.last(fences):
+            for node in self.stack[depth:]:
+                self.depths[node.tag].pop()
+            del self.stack[depth:]
+
+
+def _tag_end(page: str, at: int, unclosed: set[int]) -> int:
+    """Where the tag whose name ends at ``at`` ends, -1 if nowhere: the first ``>`` outside quotes, or else the first at all.
+
+    ``unclosed`` remembers the quotes from which no end can be reached, so that no stretch is searched twice.
+    """
+    first = page.find(">", at)
+    seen = []
+    while first >= 0 and (m := _QUOTE_OR_END.search(page, at)):
+        i = m.start()
+        if page[i] == ">":
+            return i
+        if i in unclosed:
+            break
+        seen.append(i)
+        at = page.find(page[i], i + 1) + 1
+        if not at:
+            break
+    unclosed.update(seen)
+    return first
+
+
+def _last_text(text: str) -> str:
+    """Text after which no tag ends: what begins like a comment or declaration goes, and an unfinished tag at the very end."""
+    bogus = _BOGUS.search(text)
+    return text[:bogus.start()] if bogus else re.sub(r"<[a-zA-Z/!?][^<]*\Z", "", text)
+
+
 def parse(page: str) -> Node:
-    """The tree of a page. Texts are kept as they stand in the source, undecoded."""
+    """The tree of a page. Texts are kept as they stand in the source, undecoded. One pass forward, in linear time."""
     root = Node("html", False)
-    stack, at, end = [root], 0, len(page)
-
-    def close(kinds, fences) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in kinds:
-                del stack[depth:]
-                return
-            if stack[depth].tag in fences:
-                return
-
-    while at < end:
-        m = _TOKEN.search(page, at)
-        text_end = m.start() if m else end
-        if text_end > at:
-            text = page[at:text_end]
-            if not m:
-                # An unfinished tag at the very end is no text.
-                text = re.sub(r"<[a-zA-Z/!?][^<]*\Z", "", text)
-            if text:
-                stack[-1].parts.append(text)
-        if not m:
-            break
-        at = m.end()
-        name = m[2] or m[5]
-        if not name:
+    opened, unclosed = _Open(root), set()
+    at, text_from, end = 0, 0, len(page)
+
+    def text_to(stop: int) -> None:
+        if stop > text_from:
+            opened.stack[-1].parts.append(page[text_from:stop])
+
+    while (at := page.find("<", at)) >= 0:
+        start = at
+        found = _TAG.match(page, start)
+        if found:
+            stop = _tag_end(page, found.end(), unclosed)
+            if stop < 0:
+                break
+            at = stop + 1
+        elif page.startswith("<!--", start):
+            stop = page.find("-->", start + 4)
+            at = stop + 3 if stop >= 0 else end
+        elif _BOGUS.match(page, start):
+            at = page.find(">", start) + 1 or end
+        else:
+            at += 1
+            continue
+        text_to(start)
+        text_from = at
+        if not found:
             continue
-        tag, closing, attributes = name.lower(), m[1] or m[4], m[3] or m[6] or ""
+        closing, tag, attributes = found[1], found[2].lower(), page[found.end():at - 1]
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
-                if stack[depth].tag in ("table", "article", "main", "body") and tag not in BLOCKS:
-                    break
+            opened.close((tag,), () if tag in BLOCKS else ("table", "article", "main", "body"))
             continue
         if tag == "html":
             continue
         if tag in ENDS_PARAGRAPH:
-            close({"p"}, PARAGRAPH_FENCES)
+            opened.close(("p",), PARAGRAPH_FENCES)
         if tag in CLOSES:
-            close(*CLOSES[tag])
+            opened.close(*CLOSES[tag])
         node = Node(tag, *_left_out(tag, attributes))
-        stack[-1].parts.append(node)
+        opened.stack[-1].parts.append(node)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
             continue
         if tag in RAW:
-            stop = re.compile(rf"</{tag}(?=[\s/>])|\Z", re.I).search(page, at)
-            after = page.find(">", stop.start()) + 1 if stop.end() > stop.start() else 0
-            at = after or end
+            stop = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
+            at = text_from = stop and page.find(">", stop.start()) + 1 or end
             continue
-        stack.append(node)
+        opened.push(node)
+    if rest := _last_text(page[text_from:]):
+        opened.stack[-1].parts.append(rest)
     return root
 
 
@@ -269,36 +323,52 @@ def density(chars: int, tags: int, link_chars: int, link_tags: int, page_link_sh
     return chars / tags * math.log(max(ratio, 1.0)) / scale
 
 
-def content(root: Node) -> list[Node]:
-    """The nodes that are taken whole, in page order."""
-    order = _in_order(root)
-    parent = {id(c): node for node in order for c in _children(node)}
-    body = next((n for n in order if n.tag == "body"), root)
-    inner = _in_order(body)
-    best = max(inner, key=lambda n: n.total)  # the first, that is the outermost, of equals
+def core(body: Node, parent: dict[int, Node]) -> tuple[Node, float]:
+    """The subtree with the largest density sum, and the least density on its path to the body."""
+    best = max(_in_order(body), key=lambda n: n.total)  # the first, that is the outermost, of equals
     if not best.total:
         best = body
     threshold, node = best.density, best
     while node is not body:
         node = parent[id(node)]
         threshold = min(threshold, node.density)
-    path = {id(best)}
-    node = best
+    return best, threshold
+
+
+def content(root: Node) -> list[Node | str]:
+    """The nodes that are taken whole, and texts beside them, in page order."""
+    order = _in_order(root)
+    parent = {id(c): node for node in order for c in _children(node)}
+    body = next((n for n in order if n.tag == "body"), root)
+    best, threshold = core(body, parent)
+    path, node = [best], best
     while node is not body:
         node = parent[id(node)]
-        path.add(id(node))
-    taken, rest = [], [body]
+        path.append(node)
+    # An article is whole: the core grows to the nearest article or main that holds it.
+    best = next((n for n in path if n.tag in ("article", "main")), best)
+    on_path = {id(n) for n in path}
+    taken, rest = [], [(body, False)]
     while rest:
-        node = rest.pop()
-        beside = id(node) not in path and node.block
-        if node is best or beside and node.chars and (node.density >= threshold or node.tag == "h1"):
+        node, framed = rest.pop()
+        if isinstance(node, str):
+            taken.append(node)
+        elif node is best:
+            taken.append(node)
+        elif id(node) in on_path:
+            # Around the core, short of the body, running text belongs to it however short it is.
+            inside = node is not body
+            rest += [(c, inside) for c in reversed(node.parts) if (inside if isinstance(c, str) else not c.out)]
+        elif framed and (not node.block or node.tag in PROSE) and 2 * node.link_chars <= node.chars:
+            taken.append(node)
+        elif node.block and node.chars and (node.density >= threshold or node.tag == "h1"):
             taken.append(node)
         else:
-            rest += reversed(_children(node))
+            rest += [(c, False) for c in reversed(_children(node))]
     return taken
 
 
-def blocks(nodes: list[Node]) -> list[str]:
+def blocks(nodes: list[Node | str]) -> list[str]:
     """Texts of the blocks in page order: character references decoded, white space made one space, trimmed."""
     done: list[str] = []
     now: list[str] = []
@@ -310,7 +380,9 @@ def blocks(nodes: list[Node]) -> list[str]:
             done.append(text)
 
     for top in nodes:
-        flush()
+        # Pieces of running text side by side are one block.
+        if not isinstance(top, str) and top.block:
+            flush()
         rest: list = [top]
         while rest:
             part = rest.pop()

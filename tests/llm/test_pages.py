@@ -1,8 +1,11 @@
 """Operators over pages and conversations."""
 
 import hashlib
+import math
 import os
+import random
 import sys
+import time
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -82,6 +85,18 @@ CASES |= {
     "a marked box beside the text": (f"<body><div>{PARA}{PARA}</div><div class='sidebar-box'>{PARA}{PARA}</div></body>", f"{TEXT}\n{TEXT}"),
     "formulas": ("<article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p></article>", "So x=1 holds."),
 }
+CASES |= {
+    "an article is whole around its core": (f"<article><p>Lead.</p><div>{PARA * 5}</div><p>End line.</p></article>", "\n".join(["Lead.", *[TEXT] * 5, "End line."])),
+    "direct text": (f"<article>Direct text<div>{PARA}{PARA}</div></article>", f"Direct text\n{TEXT}\n{TEXT}"),
+    "a short section with its heading": (
+        f"<main><section><h2>A</h2><p>short</p></section><section><h2>B</h2>{PARA * 3}</section></main>", "\n".join(["A", "short", "B", *[TEXT] * 3])),
+    "running text around the core without an article": (
+        f"<body><div><p>Lead.</p>own <b>text</b> here<div>{PARA * 5}</div><p>End.</p><ul><li><a href=1>Link</a></ul></div></body>",
+        "\n".join(["Lead.", "own text here", *[TEXT] * 5, "End."])),
+    "quotes that never close": (f"<article><p title='x>{TEXT}</p></article>", TEXT),
+    "a greater sign in quotes": (f"<article><p title='x>y'>{TEXT}</p></article>", TEXT),
+    "what begins like a comment": ("<article><p>abc</p></article><!-- never closed <p>x</p>", "abc"),
+}
 
 
 @pytest.mark.parametrize("name", CASES)
@@ -96,12 +111,95 @@ def test_any_markup_is_read(page):
     html_text.main_text(page)
 
 
+BROKEN = ["<a ", "<a '", "<a '>' ", "<b></i>", "<div>", "<ul><b></li><li>", "<p><b>", "<dl><dt>x", "<!", "</ ", "<a b=' \">", "&amp", "<script>", "< "]
+
+
+@pytest.mark.parametrize("tail", ["", ">x\""])
+@pytest.mark.parametrize("form", BROKEN)
+def test_long_broken_pages_take_linear_time(form, tail):
+    # Half a megabyte each; a quadratic reader needs many minutes.
+    started = time.process_time()
+    html_text.main_text(form * (500_000 // len(form)) + tail)
+    assert time.process_time() - started < 15
+
+
+def random_page(rng, depth=0):
+    """A tree as (tag, parts), with texts of letters only."""
+    parts = []
+    for _ in range(rng.randint(0, 5)):
+        if depth == 5 or rng.random() < 0.4:
+            parts.append(" ".join("x" * rng.randint(1, 9) for _ in range(rng.randint(1, 12))) + " ")
+        else:
+            parts.append(random_page(rng, depth + 1))
+    return rng.choice(["div", "section", "b", "a", "div", "blockquote"]) if depth else "body", parts
+
+
+def markup(tree):
+    return tree if isinstance(tree, str) else f"<{tree[0]}>" + "".join(map(markup, tree[1])) + f"</{tree[0]}>"
+
+
+def plain_counts(tree, linked=False):
+    """Characters, tags, linked characters, links below, and whether a block is in it, counted from scratch per node."""
+    chars, tags, link_chars, links, block = 0, 1, 0, 0, tree[0] not in ("a", "b")
+    for part in tree[1]:
+        if isinstance(part, str):
+            n = len(part.replace(" ", ""))
+            chars, link_chars = chars + n, link_chars + n * linked
+        else:
+            c, t, lc, ln, bl = plain_counts(part, linked or part[0] == "a")
+            chars, tags, link_chars, links, block = chars + c, tags + t, link_chars + lc, links + ln + (part[0] == "a"), block or bl
+    return chars, tags, link_chars, links, block
+
+
+def plain_nodes(tree, linked=False):
+    yield tree, linked
+    for part in tree[1]:
+        if not isinstance(part, str):
+            yield from plain_nodes(part, linked or part[0] == "a")
+
+
+def plain_density(tree, linked, share):
+    chars, tags, link_chars, links, _ = plain_counts(tree, linked)
+    if not chars:
+        return 0.0
+    base = math.log(chars / max(chars - link_chars, 1) * link_chars + share * chars + math.e)
+    ratio = max(chars / max(link_chars, 1) * (tags / max(links, 1)), 1.0)
+    return chars / tags * math.log(ratio) / (math.log(base) if base > 1 + 1e-9 else 1.0)
+
+
+def test_densities_and_sums_equal_plain_ones():
+    rng = random.Random(8)
+    for _ in range(300):
+        tree = random_page(rng)
+        root = html_text.parse(markup(tree))
+        html_text.prune(root)
+        html_text.measure(root)
+        body = root.parts[0]
+        chars, _, link_chars, _, _ = plain_counts(tree)
+        share = link_chars / max(chars, 1)
+        want = []
+        for node, linked in plain_nodes(tree):
+            kids = [c for c in node[1] if not isinstance(c, str) and plain_counts(c)[4]]
+            want.append((plain_density(node, linked, share), sum(plain_density(c, linked or c[0] == "a", share) for c in kids)))
+        got = html_text._in_order(body)
+        assert [n.density for n in got] == pytest.approx([d for d, _ in want])
+        assert [n.total for n in got] == pytest.approx([t for _, t in want])
+        parent = {id(c): n for n in got for c in n.parts if not isinstance(c, str)}
+        best, threshold = html_text.core(body, parent)
+        assert best.total == pytest.approx(max(t for _, t in want)) or best is body
+        path = [best]
+        while path[-1] is not body:
+            path.append(parent[id(path[-1])])
+        assert threshold == min(n.density for n in path)
+
+
 def test_every_page_has_a_row(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet")
     rows = entry.queries()["op8_text_density"](spark, small).collect()
     assert len(rows) == pages.count() and all(r.n_chars == len(r.text) for r in rows)
     odd = spark.createDataFrame([(1, None, None, "x"), (1, "u", "<p>" + "long " * 100_000, "x")], "page_id bigint, url string, html string, text string")
     assert sorted(r.n_chars for r in html_text.extract(odd).collect()) == [0, 499_999]
+    assert html_text.extract(odd.limit(0)).collect() == []
 
 
 # 9: chat ---------------------------------------------------------------------------------------------------------
