@@ -319,6 +319,18 @@ def _verified(docs: DataFrame, pairs: DataFrame, local_ids: int) -> DataFrame:
             pairs = pairs.join(sets.select(F.col("doc").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
         return pairs
 
+    def with_grams(pairs: DataFrame) -> DataFrame:
+        """Hashes travel for documents of these pairs only; pairs too many to broadcast choose them by a shuffle."""
+        few = pairs.count() <= BROADCAST_IDS
+        leads = pairs.select("a").distinct()
+        own = {side: sets.select(F.col("doc").alias(side), F.col("grams").alias(f"grams_{side}")) for side in ("a", "b")}
+        if few:
+            # The first hashes meet their pairs where they lie.
+            pairs = own["b"].join(F.broadcast(pairs), "b")
+        else:
+            pairs = pairs.join(own["b"].join(pairs.select("b").distinct(), "b", "left_semi"), "b")
+        return pairs.join(own["a"].join(F.broadcast(leads) if few else leads, "a", "left_semi"), "a")
+
     # The suffix filter needs sizes and ranges alone, narrow ones only for pairs that the coarse ones let pass; hashes are
     # fetched for what is left.
     def bound(column: str) -> Column:
@@ -329,7 +341,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, local_ids: int) -> DataFrame:
     passed = _enough(F.col("most"), F.col("n_a"), F.col("n_b"))
     coarse = cut(with_sets(pairs, "n", "coarse").select(*size, bound("coarse")))
     narrow = cut(with_sets(coarse.where(passed).select(*size), "ranges").select(*size, bound("ranges")))
-    met = with_sets(narrow.where(passed), "grams").withColumn("common", F.size(F.array_intersect("grams_a", "grams_b")))
+    met = with_grams(narrow.where(passed)).withColumn("common", F.size(F.array_intersect("grams_a", "grams_b")))
     both = met.drop("grams_a", "grams_b")
     for bounded in (coarse, narrow):
         both = both.unionByName(bounded.where(~passed).withColumn("common", F.lit(None).cast("int")))
@@ -366,8 +378,10 @@ def _remaining_pairs(lists: DataFrame, verified: DataFrame, nodes: DataFrame) ->
     x, y = (placed.select(*[F.col(c).alias(f"{c}_{s}") if c != "gram" else F.col(c) for c in placed.columns]) for s in ("x", "y"))
     gap = F.greatest(F.col("near_x") - F.col("far_y"), F.col("near_y") - F.col("far_x"))
     found = x.join(y, "gram").where("doc_x < doc_y and root_x != root_y").where(_possible("n_x", "pos_x", "n_y", "pos_y", False))
-    found = found.where(gap <= 1 - PERCENT / 100 + 1e-9).select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b")).distinct()
-    return found.join(verified.select("a", "b"), ["a", "b"], "left_anti")
+    found = found.where(gap <= 1 - PERCENT / 100 + 1e-9).select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b"), F.lit(False).alias("known"))
+    # One grouping makes pairs distinct and drops those that are verified.
+    pairs = found.unionByName(verified.select("a", "b", F.lit(True).alias("known"))).groupBy("a", "b").agg(F.max("known").alias("known"))
+    return pairs.where(~F.col("known")).select("a", "b")
 
 
 def classes(docs: DataFrame, local_ids: int = LOCAL_IDS) -> DataFrame:
