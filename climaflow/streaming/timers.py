@@ -6,9 +6,9 @@ sending is reported while nothing arrives. ``silences`` and ``sustained_runs`` u
 watermark is final, whatever order files came in, and equals the batch operators over the same readings.
 
 Stations are unequal, so rows are combined before they are dealt by station: per Arrow batch only the first and last
-reading of each bucket of the limit is sent on (no silence fits inside a bucket), and for runs one row per instant, of
-unflagged ones the first and last per bucket (no run long enough fits between them). State per station is bounded by the
-watermark's delay and is dropped when the station has been gone for ``forget_s``: so long a pause ends a run, and what comes
+reading of each bucket of the limit is sent on (no silence fits inside a bucket), and for runs, per task, one row per
+instant outside the first and last unflagged ones of each bucket (no run long enough fits between them). State per station
+is pruned in the same way, is bounded by the watermark's delay and is dropped when the station has been gone for ``forget_s``: so long a pause ends a run, and what comes
 after it begins anew, so that a silence of this length has no end.
 
 Output is appended: a silence or run that goes on is told again with its later end. ``silence_table`` and
@@ -20,6 +20,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, functions as F
@@ -33,6 +34,8 @@ from .alerts import LATENESS_S
 FORGET_S = 7 * 86400
 # Readings of a run are looked at in steps of event time.
 STEP_S = 10
+# Rows that a task combines at a time, and hands on in one batch.
+HELD_ROWS, SENT_ROWS = 2_000_000, 50_000
 # The key under which the whole source is watched.
 WHOLE_SOURCE = "*"
 
@@ -188,50 +191,102 @@ def silence_by_clock(readings: DataFrame, limit_s: float = SILENCE_S, forget_s:
 
 # Sustained conditions ---------------------------------------------------------------------------------------------
 
+def _pruned(station: np.ndarray, us: np.ndarray, flag: np.ndarray, hold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct instants per station, in order, without those between the first and the last unflagged one of a bucket of
+    the hold: a run that is long enough cannot lie there, whatever else there is. An instant is flagged if all its rows are."""
+    order = np.lexsort((flag, us, station))
+    station, us, flag = station[order], us[order], flag[order]
+    new = np.ones(len(us), bool)
+    new[1:] = (station[1:] != station[:-1]) | (us[1:] != us[:-1])
+    station, us, flag = station[new], us[new], flag[new]
+    if not len(us):
+        return station, us, flag
+    bucket = us // hold
+    begins = np.ones(len(us), bool)
+    begins[1:] = (station[1:] != station[:-1]) | (bucket[1:] != bucket[:-1])
+    first, group = np.flatnonzero(begins), np.cumsum(begins) - 1
+    whole = np.iinfo(np.int64)
+    low = np.minimum.reduceat(np.where(flag, whole.max, us), first)[group]
+    high = np.maximum.reduceat(np.where(flag, whole.min, us), first)[group]
+    keep = (us <= low) | (us >= high) | (low > high)
+    return station[keep], us[keep], flag[keep]
+
+
 def _instants(hold_s: int):
-    """Per Arrow batch: one row per station and instant; of unflagged ones the first and last per bucket of the hold."""
+    """Per task: one row per station and instant that can begin, end or break a run that is long enough.
+
+    Batches are combined as long as little is left of them.
+    """
+    hold = hold_s * _M
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: dict[str, int] = {}
+        held, size = [], 0
+
+        def combined():
+            return _pruned(*(np.concatenate(x) for x in zip(*held)), hold)
+
+        def sent(station, us, flag) -> Iterator[pa.RecordBatch]:
+            stations = pa.array(list(names), pa.string())
+            for lo in range(0, len(us), SENT_ROWS):
+                some = slice(lo, lo + SENT_ROWS)
+                yield pa.record_batch([stations.take(pa.array(station[some])), pa.array(us[some]), pa.array(flag[some])], names=["station", "us", "flag"])
+
         for batch in batches:
-            table = pa.table({"station": batch.column(0), "us": batch.column(1), "flag": batch.column(2)})
-            one = table.group_by(["station", "us"]).aggregate([("flag", "min")]).rename_columns(["station", "us", "flag"])
-            calm = one.filter(pc.invert(one["flag"]))
-            bucket = pc.floor(pc.divide(pc.cast(calm["us"], pa.float64()), float(hold_s * _M))).cast(pa.int64())
-            ends = calm.append_column("bucket", bucket).group_by(["station", "bucket"]).aggregate([("us", "min"), ("us", "max")])
-            first, last = (pa.table({"station": ends["station"], "us": ends[c]}) for c in ("us_min", "us_max"))
-            last = last.filter(pc.not_equal(ends["us_min"], ends["us_max"]))
-            calm = pa.concat_tables([first, last])
-            calm = calm.append_column("flag", pa.array([False] * len(calm), pa.bool_()))
-            found = pa.concat_tables([one.filter(one["flag"]).select(["station", "us", "flag"]), calm])
-            yield from found.combine_chunks().to_batches()
+            if not batch.num_rows:
+                continue
+            stations = batch.column(0).dictionary_encode()
+            code = np.array([names.setdefault(x, len(names)) for x in stations.dictionary.to_pylist()], np.int64)
+            held.append((code[stations.indices.to_numpy()], batch.column(1).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)))
+            size += batch.num_rows
+            if size >= HELD_ROWS:
+                held = [combined()]
+                size = len(held[0][1])
+                if size > HELD_ROWS // 2:
+                    yield from sent(*held[0])
+                    held, size = [], 0
+        if held:
+            yield from sent(*combined())
 
     return run
 
 
 class _Runs(StatefulProcessor):
-    """``samples`` are those not yet behind the watermark; ``run`` is the flagged run that reaches up to it, the newest
-    sample behind it, and the end of the step that a timer waits for."""
+    """``samples`` are those not yet behind the watermark, packed as they came; ``run`` is the flagged run that reaches up to
+    it, the newest sample behind it, and the end of the step that a timer waits for."""
 
     def __init__(self, hold_s: int, forget_s: int, step_s: int):
         self.hold, self.forget, self.step = hold_s * _M, forget_s * _M, step_s * _M
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.samples = handle.getListState("samples", "us bigint, flag boolean")
+        self.samples = handle.getListState("samples", "us binary, flag binary")
         self.run = handle.getValueState("run", "started bigint, ended bigint, newest bigint, due bigint")
 
-    def _wait_for(self, samples: list[tuple[int, bool]], due: int | None) -> int | None:
+    def _wait_for(self, first: int, due: int | None) -> int | None:
         """A timer at the end of the first step that has samples, unless an earlier one is set."""
-        end = (min(us for us, _ in samples) // self.step + 1) * self.step
+        end = (first // self.step + 1) * self.step
         if due is None or end < due:
             due = end
             self.handle.registerTimer(due // 1000)
         return due
 
+    @staticmethod
+    def _packed(us: np.ndarray, flag: np.ndarray) -> list[tuple[bytes, bytes]]:
+        cuts = range(0, len(us), SENT_ROWS)
+        return [(us[k:k + SENT_ROWS].astype(np.int64).tobytes(), flag[k:k + SENT_ROWS].astype(bool).tobytes()) for k in cuts]
+
+    def _held(self) -> tuple[np.ndarray, np.ndarray]:
+        parts = [(np.frombuffer(us, np.int64), np.frombuffer(flag, bool)) for us, flag in self.samples.get()]
+        us, flag = (np.concatenate([np.zeros(0, kind), *(p[i] for p in parts)]) for i, kind in enumerate((np.int64, bool)))
+        return _pruned(np.zeros(len(us), np.int8), us, flag, self.hold)[1:]
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(row.us, row.flag) for row in rows]
-        self.samples.appendList(new)
+        found = [(row.us, row.flag) for row in rows]
+        us, flag = np.array([x for x, _ in found], np.int64), np.array([x for _, x in found], bool)
+        self.samples.appendList(self._packed(us, flag))
         started, ended, newest, due = self.run.get() if self.run.exists() else (None,) * 4
-        self.run.update((started, ended, newest, self._wait_for(new, due)))
+        self.run.update((started, ended, newest, self._wait_for(int(us.min()), due)))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -239,28 +294,33 @@ class _Runs(StatefulProcessor):
         if not self.run.exists():
             return
         started, ended, newest, due = self.run.get()
-        held = [tuple(s) for s in self.samples.get()] if due is not None and due <= now else []
-        settled: dict[int, bool] = {}
-        for us, flag in held:
-            if us < now:
-                settled[us] = flag and settled.get(us, True)
-        grown = False
-        for us in sorted(settled):
-            if started is not None and us - newest >= self.forget:
-                if ended - started >= self.hold:
-                    yield self._row(key, started, ended, True)
-                started, ended, grown = None, None, False
-            newest = us
-            if settled[us]:
-                started, ended, grown = us if started is None else started, us, True
-            elif started is not None:
-                if ended - started >= self.hold:
-                    yield self._row(key, started, ended, True)
-                started, ended, grown = None, None, False
+        grown, settled = False, 0
+        if due is not None and due <= now:
+            held, flags = self._held()
+            settled = int(np.searchsorted(held, now))
         if settled:
-            rest = [(us, flag) for us, flag in held if us >= now]
-            self.samples.put(rest) if rest else self.samples.clear()
-            due = self._wait_for(rest, None) if rest else None
+            us, flag = held[:settled], flags[:settled]
+            # Stretches of one flag without a long gap; the first may go on with the run that reaches up to it.
+            begins = np.ones(settled, bool)
+            begins[1:] = (flag[1:] != flag[:-1]) | (us[1:] - us[:-1] >= self.forget)
+            first = np.flatnonzero(begins)
+            last = np.append(first[1:], settled) - 1
+            firsts, lasts, hot = us[first], us[last], flag[first]
+            if started is not None and hot[0] and firsts[0] - newest < self.forget:
+                firsts[0] = started
+            elif started is not None and ended - started >= self.hold:
+                yield self._row(key, started, ended, True)
+            for k in np.flatnonzero(hot[:-1] & (lasts[:-1] - firsts[:-1] >= self.hold)):
+                yield self._row(key, int(firsts[k]), int(lasts[k]), True)
+            grown = bool(hot[-1])
+            started, ended = (int(firsts[-1]), int(lasts[-1])) if grown else (None, None)
+            newest = int(us[-1])
+            if settled < len(held):
+                self.samples.put(self._packed(held[settled:], flags[settled:]))
+                due = self._wait_for(int(held[settled]), None)
+            else:
+                self.samples.clear()
+                due = None
             self.handle.registerTimer(-(-(newest + self.forget) // self.step) * self.step // 1000)
         gone = newest is not None and now >= newest + self.forget
         if started is not None and (grown or gone) and ended - started >= self.hold:

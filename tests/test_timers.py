@@ -4,6 +4,8 @@ import datetime as dt
 import random
 import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,3 +136,31 @@ def test_busy_station_is_combined_before_the_shuffle(spark, small):
     bounds = timers._bucket_bounds(readings(events(spark, small)), 86400 * 365)
     assert bounds.count() <= 5 * bounds.rdd.getNumPartitions() and bounds.agg(F.max("hi")).first()[0] is not None
     assert event_stream(spark, f"{small}/events*.parquet").isStreaming
+
+
+def _long_runs(us, flag, hold):
+    found, began, ended = [], None, None
+    for at in sorted(set(us)):
+        if all(f for u, f in zip(us, flag) if u == at):
+            began, ended = at if began is None else began, at
+            continue
+        found.append((began, ended))
+        began = ended = None
+    return [(a, b) for a, b in [*found, (began, ended)] if a is not None and b - a >= hold]
+
+
+def test_pruned_instants_keep_every_long_run():
+    rng = np.random.default_rng(5)
+    for share in (0.1, 0.5, 0.9, 0.97, 1.0):
+        us, flag = rng.integers(-2000, 4000, 700), rng.random(700) < share
+        left = [x[1:] for x in [timers._pruned(np.zeros(700, np.int64), us, flag, 40)]][0]
+        assert _long_runs(*(x.tolist() for x in left), 40) == _long_runs(us.tolist(), flag.tolist(), 40)
+
+
+def test_flagged_instants_are_combined_over_the_batches_of_a_task():
+    us = np.arange(100_000, dtype=np.int64) * 1_000_000
+    batches = [pa.record_batch([pa.array(["a"] * 100), pa.array(us[k:k + 100]), pa.array(us[k:k + 100] // 1_000_000 % 10 != 0)],
+                               names=["station", "us", "flag"]) for k in range(0, len(us), 100)]
+    sent = pa.Table.from_batches(timers._instants(1000)(iter(batches)))
+    # Per bucket of the hold the first and last unflagged instant, and nine flagged ones after it.
+    assert sent.num_rows == 100 * 11
