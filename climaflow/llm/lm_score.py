@@ -2,8 +2,8 @@
 
 Words and pairs of neighbouring words of the training texts are counted. A count is quantised to its power of two: an
 n-gram of level q is put into a Bloom filter q times, together with 1, 2, ... q. Asking for the n-gram with 1, 2, ...
-until the answer is no gives the level back, never too low and rarely too high. The filter is broadcast to the workers,
-which turn the levels of a word, of the word before it and of the pair into a smoothed probability:
+until the answer is no gives the level back, never too low and rarely too high. The workers
+turn the levels of a word, of the word before it and of the pair into a smoothed probability:
 
     p(w) = (c(w) + 1) / (N + V + 1),   p(w | h) = (c(h w) + MASS p(w)) / (max(c(h), c(h w)) + MASS)
 
@@ -11,15 +11,16 @@ with c the middle of a level. A text is its words and one end; the end also stan
 
 Size of the filter. It has room for all entries of all words and pairs, so it grows with the texts, and nothing is left
 out at any size. It is made in parts by hash range, whose number follows from the bytes of the texts; each part counts
-its n-grams and takes as many segments as they need. Up to ``FILTER_BYTES`` the filter is broadcast. Beyond that it
-stays a table: the distinct words and pairs of a chunk of texts are sent to the parts that hold them, and the levels come
-back to the chunk. Both ways ask the same bits and give the same scores.
+its n-grams and takes as many segments as they need. It stays a table: the distinct words and pairs of a chunk of texts
+are sent to the parts that hold them, and the levels come back to the chunk. A filter of at most ``max_bytes``, none unless
+given, is broadcast instead. Both ways ask the same bits and give the same scores.
 
 Exact word counts (for the base score) are broadcast for the ``TABLE_WORDS`` most frequent words at most. Rarer words, if
 there are any beyond that, are joined by a shuffle of their occurrences.
 
-Counting combines map-side and shuffles (n-gram hash, count) once; hashes have 64 bits. Sorted hashes travel as their
-differences, byte by byte, so that what is alike in neighbours is compressed.
+Counting combines map-side and shuffles (n-gram hash, count) once; hashes of words have 64 bits, and keys of the filter
+48: of 2^31 pairs one in 2^17 is taken for another, far fewer than the filter's own errors. Sorted hashes travel as
+their differences, byte by byte, so that what is alike in neighbours, and bits that are not used, are compressed.
 
 Defined results: null and empty texts consist of the end alone; ids that are null fall into the remainder of the empty
 text; repeated rows weigh as often as they occur and all get a score; without training texts counts are zero; very long
@@ -40,13 +41,13 @@ from .words import Chunk, chunks, mix, runs, white_space_words
 
 # Rows whose id leaves this remainder are not learnt from.
 PARTS, HELD_OUT = 7, 2
-# A filter of at most so many bytes is broadcast, a larger one is joined.
-FILTER_BYTES = 64 << 20
 TABLE_WORDS = 4_000_000
 BITS_PER_ENTRY, PROBES = 12, 6
 MASS = 400.0
 
 SEGMENT_BITS = 19
+# The bits of a hash that make a key of the filter; parts and segments follow from the upper half alone.
+KEY_BITS = np.uint64(0xFFFFFFFFFFFF0000)
 # Bytes of text per part of the filter, which one task counts and builds.
 PART_BYTES = 4 << 20
 # n-grams that a task collects before it hands on their counts.
@@ -171,8 +172,8 @@ def _bits(grams: np.ndarray, level: np.ndarray | int, probe: int) -> np.ndarray:
 
 
 def _sized(grams: np.ndarray, size: np.ndarray | int) -> np.ndarray:
-    """Words and pairs in one space."""
-    return mix(grams + np.asarray(size, np.uint64))
+    """Words and pairs in one space, as keys of the filter."""
+    return mix(grams + np.asarray(size, np.uint64)) & KEY_BITS
 
 
 def _probed(segments: np.ndarray, segment: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -313,7 +314,7 @@ class Model:
         return np.log10((both + MASS * single[kind]) / (np.maximum(before, both) + MASS))
 
 
-def fit(docs: DataFrame, max_bytes: int = FILTER_BYTES, table_words: int = TABLE_WORDS, part_bytes: int = PART_BYTES) -> tuple[Model, DataFrame, int, DataFrame, int]:
+def fit(docs: DataFrame, max_bytes: int = 0, table_words: int = TABLE_WORDS, part_bytes: int = PART_BYTES) -> tuple[Model, DataFrame, int, DataFrame, int]:
     """The model of the rows that are learnt from, the counts of words beyond the broadcast table and how many these are,
     the parts of the filter and their number."""
     train = docs.where(remainder_of_id("doc_id", PARTS) != HELD_OUT)
@@ -333,7 +334,7 @@ def fit(docs: DataFrame, max_bytes: int = FILTER_BYTES, table_words: int = TABLE
     order = np.argsort(keys)
     counts = listed.column("n").to_numpy()[order]
     segments = table.agg(F.sum("segments")).first()[0] or 1
-    grams = whole_filter(table, parts) if segments << SEGMENT_BITS <= 8 * max_bytes else None
+    grams = whole_filter(table, parts) if max_bytes and segments << SEGMENT_BITS <= 8 * max_bytes else None
     model = Model(grams, keys[order], counts, tokens, distinct)
     return model, words.where(F.col("n") < least), distinct - len(keys), table, parts
 
@@ -456,7 +457,7 @@ def _by_join(rows: DataFrame, shared, others: bool, schema: str, table: DataFram
     return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(scored, schema)
 
 
-def score(docs: DataFrame, max_bytes: int = FILTER_BYTES, table_words: int = TABLE_WORDS, part_bytes: int = PART_BYTES) -> DataFrame:
+def score(docs: DataFrame, max_bytes: int = 0, table_words: int = TABLE_WORDS, part_bytes: int = PART_BYTES) -> DataFrame:
     """Scores of every row of ``docs`` (doc_id, text) under the model of the rows that are learnt from."""
     spark = docs.sparkSession
     model, rest, n_rest, table, parts = fit(docs, max_bytes, table_words, part_bytes)

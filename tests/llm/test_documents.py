@@ -359,6 +359,19 @@ def test_pairs_seen_once_count(spark):
 
 # 4: classifier ---------------------------------------------------------------------------------------------------
 
+def test_filter_keys_travel_short_and_not_through_the_driver(spark, monkeypatch):
+    keys = lm_score._sized(np.arange(100_000, dtype=np.uint64), 2)
+    assert not (keys & np.uint64(0xFFFF)).any() and len(np.unique(keys)) == len(keys)
+    assert len(pa.compress(lm_score._packed_sorted(np.sort(keys)), codec="lz4", asbytes=True)) < 5.2 * len(keys)
+
+    def collected(*_):
+        raise AssertionError("the filter was collected")
+
+    monkeypatch.setattr(lm_score, "whole_filter", collected)
+    rows = [(k, f"words of text {k % 3} and more of them") for k in range(20)]
+    assert lm_score.score(spark.createDataFrame(rows, "doc_id bigint, text string")).count() == 20
+
+
 def test_trees_learn_and_flat_traversal_equals_single_steps():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(3000, 5)).astype(np.float32)
