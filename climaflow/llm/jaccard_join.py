@@ -6,12 +6,13 @@ them by hash. Two sets of similarity 3/4 or more then share an n-gram in their p
 
 1. Copies. Texts with the same set (by size and two sums over its hashes) form a class; one of each class goes on.
 2. Prefixes. Every prefix n-gram of every set is dealt by n-gram (frequent ones by n-gram and a salt of the document),
-   sorted, and streamed through a filter that drops those that only one document has.
+   sorted, and streamed through a filter that knows each list's smallest id and drops the documents of short lists that
+   no other document of the list can be paired with.
 3. First pairs. In each n-gram's list every document is paired with the list's smallest id only, under the length
    filter and the positional filter (what both prefixes leave can still reach the needed overlap). Pairs are made
-   distinct and verified once: the suffix filter bounds the overlap by how many hashes fall into each of 64, then 256 parts
-   of the hash range, and pairs that pass are intersected. Groups of near copies collapse to components here, without
-   all pairs of a group being formed.
+   distinct and verified once: the suffix filter bounds the overlap by how many hashes fall into each of 64 parts of the
+   hash range, then into each of so many that a part holds a few hashes, and pairs that pass are intersected. Groups of
+   near copies collapse to components here, without all pairs of a group being formed.
 4. Remaining pairs. Lists that still hold documents of different components are joined with themselves, under the
    same filters; pairs of one component are already connected and are left out. So are pairs that a common partner
    rules out: with distance d = 1 - similarity, d(a, b) >= |d(a, c) - d(b, c)|. What is left is verified the same way.
@@ -50,11 +51,14 @@ PER_SALT = 2_000
 # Ids that are broadcast to choose texts.
 LOCAL_IDS = 4_000_000
 BROADCAST_IDS = 1_000_000
-# Hash ranges of the suffix filter, a power of 2, and how many of them the first look takes as one. A range should hold a
-# few hashes of a set: where it holds many, unlike sets have about as many each, and the bound says nothing. Most pairs go
-# at the first look already, for a quarter of the bytes.
+# Hash ranges of the suffix filter, powers of 2: at the first look, and at least for pairs that pass it. A range should hold
+# a few hashes of a set: where it holds many, unlike sets have about as many each, and the bound says nothing. So sets of
+# more than ``RANGES * FILL`` hashes have more ranges, with up to ``FILL`` hashes each on average.
+COARSE = 64
 RANGES = 256
-FOLDED = 4
+FILL = 4
+# Lists up to this many rows are looked through for documents that no other can be paired with.
+SHORT_LIST = 16
 
 _BUFFER = 4_000_000
 
@@ -223,28 +227,55 @@ def _prefixes(frequent: np.ndarray, times: np.ndarray):
     return work
 
 
-def _shared_only(batches):
-    """Rows of n-grams that more than one row has. Rows come sorted; one is held back between batches.
-
-    A salted n-gram keeps all its rows, as others of it may be elsewhere.
-    """
-    held, held_twin = None, False
+def _groups(batches) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by n-gram and salt, batched anew so that no list is split."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
         gram, salt = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        next_same = np.zeros(len(gram), bool)
-        next_same[:-1] = (gram[1:] == gram[:-1]) & (salt[1:] == salt[:-1])
-        goes_on = held is not None and held.column(0)[0].as_py() == int(gram[0]) and held.column(1)[0].as_py() == int(salt[0])
-        if held is not None and (held_twin or goes_on or held.column(1)[0].as_py() >= 0):
-            yield held
-        twin = np.concatenate([[goes_on], next_same[:-1]])
-        keep = (twin | next_same | (salt >= 0))[:-1]
+        last = int(np.argmax((gram == gram[-1]) & (salt == salt[-1])))
+        goes_on = bool(held) and held[0].column(0)[0].as_py() == int(gram[0]) and held[0].column(1)[0].as_py() == int(salt[0])
+        if held and not (goes_on and last == 0):
+            yield pa.concat_batches([*held, batch.slice(0, last)])
+            held = []
+        elif last:
+            yield batch.slice(0, last)
+        held.append(batch.slice(last))
+    if held:
+        yield pa.concat_batches(held)
+
+
+_SHARED = f"{_POSTING}, lead bigint, lead_n int, lead_pos int"
+
+
+def _shared_only(batches):
+    """Rows that can be paired with a row of another document and the same n-gram, with the list's first row as ``lead``.
+
+    Rows come sorted by n-gram, salt, document. Lists of more than ``SHORT_LIST`` rows stay whole. A salted n-gram keeps
+    all its rows, as others of it may be elsewhere, and has no ``lead`` here.
+    """
+    for batch in _groups(batches):
+        gram, salt, doc, n, pos = (batch.column(i).to_numpy().astype(np.int64) for i in range(5))
+        starts = np.append(True, (gram[1:] != gram[:-1]) | (salt[1:] != salt[:-1]))
+        of = np.cumsum(starts) - 1
+        first = np.flatnonzero(starts)
+        rows = np.diff(np.append(first, len(of)))
+        keep = (salt >= 0) | (rows[of] > SHORT_LIST)
+        for step in range(1, min(SHORT_LIST, int(rows.max()))):
+            x = np.flatnonzero((of[step:] == of[:-step]) & (doc[step:] != doc[:-step]))
+            y = x + step
+            least, most = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+            reach = np.minimum(n[x] - pos[x], n[y] - pos[y]) + np.minimum(pos[x], pos[y])
+            fits = (100 * least >= PERCENT * most) & ((100 + PERCENT) * reach >= PERCENT * (least + most))
+            keep[x[fits]] = True
+            keep[y[fits]] = True
         if keep.any():
-            yield batch.slice(0, len(gram) - 1).filter(pa.array(keep))
-        held, held_twin = batch.slice(len(gram) - 1), bool(twin[-1])
-    if held is not None and (held_twin or held.column(1)[0].as_py() >= 0):
-        yield held
+            lead = first[of[keep]]
+            own = salt[keep] >= 0
+            leads = [pa.array(v[lead].astype(kind), mask=own) for v, kind in ((doc, np.int64), (n, np.int32), (pos, np.int32))]
+            kept = batch.filter(pa.array(keep))
+            yield pa.record_batch([*kept.columns, *leads], names=[f.split()[0] for f in _SHARED.split(", ")])
 
 
 def _lists(docs: DataFrame, rows: DataFrame, frequent: DataFrame, local_ids: int) -> DataFrame:
@@ -256,13 +287,15 @@ def _lists(docs: DataFrame, rows: DataFrame, frequent: DataFrame, local_ids: int
     work = _prefixes(grams.view(np.uint64)[order], times[order])
     postings = _one_per_class(docs, rows, work, _POSTING, local_ids)
     path = f"{run_dir(spark, 'prefixes')}/shared.parquet"
-    postings.repartition("gram", "salt").sortWithinPartitions("gram", "salt").mapInArrow(_shared_only, _POSTING).drop("salt").write.parquet(path)
+    by_list = postings.repartition("gram", "salt").sortWithinPartitions("gram", "salt", "doc", "n", "pos")
+    by_list.mapInArrow(_shared_only, _SHARED).write.parquet(path)
     shared = spark.read.parquet(path)
-    leads = shared.groupBy("gram").agg(
+    salted = shared.where("salt >= 0").select("gram", "doc", "n", "pos")
+    leads = salted.groupBy("gram").agg(
         F.min(F.struct(F.col("doc").alias("lead"), F.col("n").alias("lead_n"), F.col("pos").alias("lead_pos"))).alias("first"),
         F.max("doc").alias("last"),
     ).where("last != first.lead")
-    return shared.join(leads.select("gram", "first.*"), "gram")
+    return shared.where("salt < 0").drop("salt").unionByName(salted.join(leads.select("gram", "first.*"), "gram"))
 
 
 # 3. and 4. Pairs -------------------------------------------------------------------------------------------------
@@ -283,24 +316,54 @@ def _possible(n_a: str, pos_a: str, n_b: str, pos_b: str, before: bool) -> Colum
     return (100 * F.least(a, b).cast("long") >= PERCENT * F.greatest(a, b)) & _enough(most, a, b)
 
 
-_SET = "doc bigint, n int, coarse array<int>, ranges array<int>, grams array<bigint>"
+_SET = "doc bigint, n int, coarse array<int>, ranges array<tinyint>, grams array<bigint>"
 
 
 def _set_rows(ids, of, grams, sizes):
-    """One row per set: id, size, hashes per coarse and per narrow range, hashes."""
+    """One row per set: id, size, hashes per coarse and per narrow range, hashes.
+
+    The narrow ones are null where a range holds more hashes than a byte can count.
+    """
     texts, first = np.unique(of, return_index=True)
     ends = np.append(first[1:], len(of))
     place = np.repeat(np.arange(len(texts)), ends - first)
-    ranges = np.bincount(place * RANGES + (grams >> np.uint64(65 - RANGES.bit_length())).astype(np.int64), minlength=RANGES * len(texts))
-    lists = lambda starts, values: pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(values))
-    per_set = np.arange(len(texts) + 1) * RANGES
+
+    def counts(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of the sets in the counts, and the counts over 2^bits ranges of each set."""
+        starts = np.concatenate([[0], np.cumsum(1 << bits)])
+        at = (grams >> (64 - bits[place]).astype(np.uint64)).astype(np.int64)
+        return starts, np.bincount(starts[place] + at, minlength=starts[-1])
+
+    def lists(starts: np.ndarray, values: np.ndarray, none: np.ndarray | None = None) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(values), mask=None if none is None else pa.array(none))
+
+    coarse = counts(np.full(len(texts), COARSE.bit_length() - 1))
+    starts, ranges = counts(range_bits(sizes[texts]))
+    full = np.maximum.reduceat(ranges, starts[:-1]) > 127
     yield pa.record_batch([
         pa.array(ids[texts]), pa.array(sizes[texts].astype(np.int32)),
-        lists(per_set // FOLDED, ranges.reshape(-1, FOLDED).sum(axis=1).astype(np.int32)), lists(per_set, ranges.astype(np.int32)),
+        lists(coarse[0], coarse[1].astype(np.int32)), lists(starts, np.minimum(ranges, 127).astype(np.int8), full),
         lists(np.append(first, len(of)), grams.view(np.int64)),
     ], names=["doc", "n", "coarse", "ranges", "grams"])
 
 
+def range_bits(n: np.ndarray) -> np.ndarray:
+    """The number of narrow ranges of sets of these sizes, as powers of 2. Sizes that differ by a third at most differ by 1."""
+    return np.maximum(RANGES.bit_length() - 1, np.ceil(np.log2(np.maximum(n, 1) / FILL)).astype(np.int64))
+
+
+def most_common(a: Column, b: Column) -> Column:
+    """Bound of the overlap of two sets by their hashes per range; one may have twice as many ranges as the other."""
+    def halved(wide: Column, narrow: Column) -> Column:
+        part = lambda i: F.get(narrow, i).cast("int")
+        return F.transform(wide, lambda x, i: F.least(x.cast("int"), part(2 * i) + part(2 * i + 1)))
+
+    same = F.zip_with(a, b, lambda x, y: F.least(x, y).cast("int"))
+    least = F.when(F.size(a) == F.size(b), same).when(F.size(a) < F.size(b), halved(a, b)).otherwise(halved(b, a))
+    # Without counts there is no bound, and sum and result are null.
+    return F.aggregate(F.when(a.isNotNull() & b.isNotNull(), least), F.lit(0), lambda s, x: s + x)
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, local_ids: int) -> DataFrame:
     """Pairs (a < b) with the least and greatest distance their sets can have; exact where the suffix filter lets them pass.
 
@@ -314,32 +377,35 @@ def _verified(docs: DataFrame, pairs: DataFrame, local_ids: int) -> DataFrame:
     _of_ids(docs, ids, _set_rows, _SET, local_ids).write.parquet(f"{folder}/sets.parquet")
     sets = spark.read.parquet(f"{folder}/sets.parquet")
 
-    def with_sets(pairs: DataFrame, *columns: str) -> DataFrame:
+    def own(side: str, column: str) -> DataFrame:
+        return sets.select(F.col("doc").alias(side), F.col("n").alias(f"n_{side}"), F.col(column).alias(f"{column}_{side}"))
+
+    def with_sets(pairs: DataFrame, column: str) -> DataFrame:
+        """An id can have several sets, so sets are joined by their sizes as well once these are known."""
         for side in ("b", "a"):
-            pairs = pairs.join(sets.select(F.col("doc").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+            pairs = pairs.join(own(side, column), [c for c in (side, f"n_{side}") if c in pairs.columns])
         return pairs
 
     def with_grams(pairs: DataFrame) -> DataFrame:
         """Hashes travel for documents of these pairs only; pairs too many to broadcast choose them by a shuffle."""
         few = pairs.count() <= BROADCAST_IDS
-        leads = pairs.select("a").distinct()
-        own = {side: sets.select(F.col("doc").alias(side), F.col("grams").alias(f"grams_{side}")) for side in ("a", "b")}
+        a, b = ["a", "n_a"], ["b", "n_b"]
+        leads = pairs.select(*a).distinct()
         if few:
             # The first hashes meet their pairs where they lie.
-            pairs = own["b"].join(F.broadcast(pairs), "b")
+            pairs = own("b", "grams").join(F.broadcast(pairs), b)
         else:
-            pairs = pairs.join(own["b"].join(pairs.select("b").distinct(), "b", "left_semi"), "b")
-        return pairs.join(own["a"].join(F.broadcast(leads) if few else leads, "a", "left_semi"), "a")
+            pairs = pairs.join(own("b", "grams").join(pairs.select(*b).distinct(), b, "left_semi"), b)
+        return pairs.join(own("a", "grams").join(F.broadcast(leads) if few else leads, a, "left_semi"), a)
 
     # The suffix filter needs sizes and ranges alone, narrow ones only for pairs that the coarse ones let pass; hashes are
     # fetched for what is left.
     def bound(column: str) -> Column:
-        least = F.zip_with(f"{column}_a", f"{column}_b", lambda x, y: F.least(x, y))
-        return F.aggregate(least, F.lit(0), lambda s, x: s + x).alias("most")
+        return F.coalesce(most_common(F.col(f"{column}_a"), F.col(f"{column}_b")), F.least("n_a", "n_b")).alias("most")
 
     size = ["a", "b", "n_a", "n_b"]
     passed = _enough(F.col("most"), F.col("n_a"), F.col("n_b"))
-    coarse = cut(with_sets(pairs, "n", "coarse").select(*size, bound("coarse")))
+    coarse = cut(with_sets(pairs, "coarse").select(*size, bound("coarse")))
     narrow = cut(with_sets(coarse.where(passed).select(*size), "ranges").select(*size, bound("ranges")))
     met = with_grams(narrow.where(passed)).withColumn("common", F.size(F.array_intersect("grams_a", "grams_b")))
     both = met.drop("grams_a", "grams_b")

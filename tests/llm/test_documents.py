@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -204,6 +205,82 @@ def test_repeated_rows_go_and_rows_without_an_id_stay(spark):
     assert sorted(map(tuple, left.collect()), key=str) == sorted([(None, "same", "a"), (None, "same", "b"), (5, "x", None), (5, None, "n"), (6, "y", "q")], key=str)
 
 
+def test_ranges_bound_the_overlap_of_sets_of_any_size(spark):
+    """Unlike sets are ruled out however large they are, without their hashes."""
+    rng = np.random.default_rng(6)
+    top = 2**64 - 1
+    base = rng.integers(0, top, 9_000, np.uint64, True)
+    fresh = lambda n: rng.integers(0, top, n, np.uint64, True)
+    sets = [base, base[:7_000], np.append(base[:1_000], fresh(7_000)), base[:8_100], base[:40], fresh(50), base[:1_024], base[:1_025], np.arange(200, dtype=np.uint64)]
+    sizes = np.array([len(x) for x in sets])
+    batch, = jaccard_join._set_rows(np.arange(len(sets)), np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets), sizes)
+    rows = spark.createDataFrame(batch.to_pylist(), jaccard_join._SET)
+    x, y = (rows.select(*[F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "ranges")]) for s in "xy")
+    alike = F.least("n_x", "n_y") * 4 >= F.greatest("n_x", "n_y") * 3
+    got = {(r.doc_x, r.doc_y): r.most for r in x.join(y, (F.col("doc_x") != F.col("doc_y")) & alike)
+           .select("doc_x", "doc_y", jaccard_join.most_common(F.col("ranges_x"), F.col("ranges_y")).alias("most")).collect()}
+    assert {(0, 1), (0, 2), (1, 3), (4, 5), (6, 7)} <= set(got)
+    for (i, j), most in got.items():
+        assert len(np.intersect1d(sets[i], sets[j])) <= most <= min(sizes[i], sizes[j])
+    assert all(175 * got[i, 2] < 75 * (sizes[i] + sizes[2]) for i in (0, 1, 3))
+    # More hashes in one range than a byte can count.
+    assert batch.column(3).null_count == 1 and not batch.column(3)[8].is_valid
+
+
+def test_long_unlike_texts_are_ruled_out_before_their_hashes_meet(spark):
+    """Long texts have hashes in every range, so a fixed number of ranges lets them all pass."""
+    shared, near = prose(401, 200), prose(402, 6_000)
+    rows = [(1, f"{shared} {prose(403, 6_000)}"), (2, f"{shared} {prose(404, 6_000)}"), (3, near), (4, f"{near} {prose(405, 900)}")]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (3, 4)], "a bigint, b bigint")
+    got = {(r.a, r.b): r for r in jaccard_join._verified(texts, pairs, 100).collect()}
+    assert {k: r.linked for k, r in got.items()} == {(1, 2): False, (1, 3): False, (3, 4): True}
+    assert linked(shingles(rows[2][1]), shingles(rows[3][1])) and shingles(rows[0][1]) & shingles(rows[1][1])
+    # Nothing exact is known of the pair that shares a passage, as its hashes were not fetched.
+    assert got[1, 2].most_apart == 1.0 and 0.25 < got[1, 2].least_apart < 1
+
+
+@pytest.mark.parametrize("rows_a_batch", [1, 3, 7, 1_000])
+def test_lists_keep_every_row_with_a_possible_partner(rows_a_batch):
+    rng = np.random.default_rng(rows_a_batch)
+    rows = []
+    for gram, size in enumerate([1, 2, 2, 2, 3, 5, 9, 16, 17, 40, 2, 2, 1]):
+        salt = 0 if gram in (5, 12) else -1
+        for _ in range(size):
+            n = int(rng.integers(20, 60))
+            rows.append((gram, salt, int(rng.integers(0, 30)), n, int(rng.integers(0, n // 4 + 1))))
+    rows.sort()
+    names = ["gram", "salt", "doc", "n", "pos"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+    batches = [pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows[i:i + rows_a_batch]), kinds)], names=names) for i in range(0, len(rows), rows_a_batch)]
+    got = [tuple(r.values()) for b in jaccard_join._shared_only(iter(batches)) for r in b.to_pylist()]
+
+    def fits(x, y):
+        (a, i), (b, j) = x[3:], y[3:]
+        return x[2] != y[2] and 4 * min(a, b) >= 3 * max(a, b) and 175 * (min(a - i, b - j) + min(i, j)) >= 75 * (a + b)
+
+    want = []
+    for x in rows:
+        same = [y for y in rows if y[:2] == x[:2]]
+        if x[1] >= 0:
+            want.append((*x, None, None, None))
+        elif len(same) > jaccard_join.SHORT_LIST or any(fits(x, y) for y in same):
+            want.append((*x, *same[0][2:]))
+    assert got == want and len(want) < len(rows)
+
+
+def test_sets_of_one_id_are_not_mixed(spark):
+    """The size of one text of an id does not go with the hashes of another."""
+    long = [f"w{i}" for i in range(104)]
+    rows = []
+    for k in range(20):
+        rows += [(2 * k, " ".join(f"{w}k{k}" for w in long)),
+                 (2 * k + 1, " ".join([f"{w}k{k}" for w in long[:81]] + [f"new{i}k{k}" for i in range(3)])),
+                 (2 * k + 1, " ".join([f"{w}k{k}" for w in long[:82]] + [f"other{i}k{k}" for i in range(22)]))]
+    got = {r.doc_id: r.component_id for r in jaccard_join.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == plain_components(rows) == {i: i for i in got}
+
+
 def test_roots_of_stars_chains_and_nothing(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 120)] + [(5, 5)]
     got = {r.node: r.root for r in roots(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
