@@ -14,7 +14,7 @@ them by hash. Two sets of similarity 3/4 or more then share an n-gram in their p
    hash range, then into each of so many that a part holds a few hashes, and pairs that pass are intersected. Groups of
    near copies collapse to components here, without all pairs of a group being formed.
 4. Remaining pairs. Lists that still hold documents of different components are joined with themselves, under the
-   same filters; pairs of one component are already connected and are left out. So are pairs that a common partner
+   same filters, without their smallest ids and documents that only these can be paired with; pairs of one component are already connected and are left out. So are pairs that a common partner
    rules out: with distance d = 1 - similarity, d(a, b) >= |d(a, c) - d(b, c)|. What is left is verified the same way.
 
 So every pair of similarity 3/4 or more is either verified or lies in one component already; no list is cut short.
@@ -246,14 +246,15 @@ def _groups(batches) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
-_SHARED = f"{_POSTING}, lead bigint, lead_n int, lead_pos int"
+_SHARED = f"{_POSTING}, lead bigint, lead_n int, lead_pos int, again boolean"
 
 
 def _shared_only(batches):
     """Rows that can be paired with a row of another document and the same n-gram, with the list's first row as ``lead``.
 
-    Rows come sorted by n-gram, salt, document. Lists of more than ``SHORT_LIST`` rows stay whole. A salted n-gram keeps
-    all its rows, as others of it may be elsewhere, and has no ``lead`` here.
+    ``again``: whether it can be paired, at the first common n-gram, with such a row besides the lead, and is not the lead
+    itself; another set of the lead's document is a row like others. Rows come sorted by n-gram, salt, document. Lists of more than ``SHORT_LIST`` rows stay whole. A
+    salted n-gram keeps all its rows, as others of it may be elsewhere, and has no ``lead`` here.
     """
     for batch in _groups(batches):
         gram, salt, doc, n, pos = (batch.column(i).to_numpy().astype(np.int64) for i in range(5))
@@ -262,24 +263,30 @@ def _shared_only(batches):
         first = np.flatnonzero(starts)
         rows = np.diff(np.append(first, len(of)))
         keep = (salt >= 0) | (rows[of] > SHORT_LIST)
+        behind = (doc != doc[first][of]) | (n != n[first][of]) | (pos != pos[first][of])
+        again = (salt >= 0) | ((rows[of] > SHORT_LIST) & behind)
         for step in range(1, min(SHORT_LIST, int(rows.max()))):
             x = np.flatnonzero((of[step:] == of[:-step]) & (doc[step:] != doc[:-step]))
             y = x + step
             least, most = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
-            reach = np.minimum(n[x] - pos[x], n[y] - pos[y]) + np.minimum(pos[x], pos[y])
-            fits = (100 * least >= PERCENT * most) & ((100 + PERCENT) * reach >= PERCENT * (least + most))
-            keep[x[fits]] = True
-            keep[y[fits]] = True
+            left = np.minimum(n[x] - pos[x], n[y] - pos[y])
+            for marked, before in ((keep, np.minimum(pos[x], pos[y])), (again, np.where(behind[x] & behind[y], 0, -left))):
+                fits = (100 * least >= PERCENT * most) & ((100 + PERCENT) * (left + before) >= PERCENT * (least + most))
+                marked[x[fits]] = True
+                marked[y[fits]] = True
         if keep.any():
             lead = first[of[keep]]
             own = salt[keep] >= 0
             leads = [pa.array(v[lead].astype(kind), mask=own) for v, kind in ((doc, np.int64), (n, np.int32), (pos, np.int32))]
             kept = batch.filter(pa.array(keep))
-            yield pa.record_batch([*kept.columns, *leads], names=[f.split()[0] for f in _SHARED.split(", ")])
+            yield pa.record_batch([*kept.columns, *leads, pa.array(again[keep])], names=[f.split()[0] for f in _SHARED.split(", ")])
 
 
 def _lists(docs: DataFrame, rows: DataFrame, frequent: DataFrame, local_ids: int) -> DataFrame:
-    """gram, doc, n, pos of prefix n-grams that more than one document has, each with its list's smallest id: ``lead``."""
+    """gram, doc, n, pos of prefix n-grams that more than one document has, each with its list's smallest id: ``lead``.
+
+    ``again``: whether it may have pairs besides that with ``lead``.
+    """
     spark = docs.sparkSession
     known = frequent.toArrow()
     grams, times = (known.column(i).to_numpy().astype(np.int64) for i in (0, 1))
@@ -295,7 +302,8 @@ def _lists(docs: DataFrame, rows: DataFrame, frequent: DataFrame, local_ids: int
         F.min(F.struct(F.col("doc").alias("lead"), F.col("n").alias("lead_n"), F.col("pos").alias("lead_pos"))).alias("first"),
         F.max("doc").alias("last"),
     ).where("last != first.lead")
-    return shared.where("salt < 0").drop("salt").unionByName(salted.join(leads.select("gram", "first.*"), "gram"))
+    salted = salted.join(leads.select("gram", "first.*"), "gram").withColumn("again", F.struct("doc", "n", "pos") != F.struct("lead", "lead_n", "lead_pos"))
+    return shared.where("salt < 0").drop("salt").unionByName(salted)
 
 
 # 3. and 4. Pairs -------------------------------------------------------------------------------------------------
@@ -428,18 +436,20 @@ def _first_pairs(lists: DataFrame) -> DataFrame:
 
 
 def _remaining_pairs(lists: DataFrame, verified: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of different components that share a prefix n-gram, pass all filters and are not ruled out or verified."""
-    labelled = lists.join(nodes, F.col("doc") == F.col("node"), "left").withColumn("root", F.coalesce("root", "doc")).drop("node")
+    """Pairs of different components that share a prefix n-gram, pass all filters and are not ruled out or verified.
+
+    Pairs with a list's lead that pass are verified, so neither leads nor what only they can be paired with are needed.
+    """
+    labelled = lists.where("again").drop("again").join(nodes, F.col("doc") == F.col("node"), "left").withColumn("root", F.coalesce("root", "doc")).drop("node")
     mixed = labelled.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
     to_lead = verified.groupBy("a", "b").agg(F.min("least_apart").alias("least_apart"), F.max("most_apart").alias("most_apart"))
     placed = labelled.join(mixed.select("gram"), "gram").join(
         to_lead.toDF("lead", "doc", "least_apart", "most_apart"), ["lead", "doc"], "left")
-    own = F.col("doc") == F.col("lead")
     by_size = 1 - F.least("n", "lead_n") / F.greatest("n", "lead_n")
     placed = placed.select(
         "gram", "doc", "n", "pos", "root",
-        F.when(own, 0.0).otherwise(F.coalesce("least_apart", by_size)).alias("near"),
-        F.when(own, 0.0).otherwise(F.coalesce("most_apart", F.lit(1.0))).alias("far"),
+        F.coalesce("least_apart", by_size).alias("near"),
+        F.coalesce("most_apart", F.lit(1.0)).alias("far"),
     )
     x, y = (placed.select(*[F.col(c).alias(f"{c}_{s}") if c != "gram" else F.col(c) for c in placed.columns]) for s in ("x", "y"))
     gap = F.greatest(F.col("near_x") - F.col("far_y"), F.col("near_y") - F.col("far_x"))

@@ -248,25 +248,27 @@ def test_lists_keep_every_row_with_a_possible_partner(rows_a_batch):
         salt = 0 if gram in (5, 12) else -1
         for _ in range(size):
             n = int(rng.integers(20, 60))
-            rows.append((gram, salt, int(rng.integers(0, 30)), n, int(rng.integers(0, n // 4 + 1))))
+            rows.append((gram, salt, int(rng.integers(0, 12)), n, int(rng.integers(0, n // 4 + 1))))
     rows.sort()
     names = ["gram", "salt", "doc", "n", "pos"]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
     batches = [pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows[i:i + rows_a_batch]), kinds)], names=names) for i in range(0, len(rows), rows_a_batch)]
     got = [tuple(r.values()) for b in jaccard_join._shared_only(iter(batches)) for r in b.to_pylist()]
 
-    def fits(x, y):
+    def fits(x, y, before=True):
         (a, i), (b, j) = x[3:], y[3:]
-        return x[2] != y[2] and 4 * min(a, b) >= 3 * max(a, b) and 175 * (min(a - i, b - j) + min(i, j)) >= 75 * (a + b)
+        return x[2] != y[2] and 4 * min(a, b) >= 3 * max(a, b) and 175 * (min(a - i, b - j) + before * min(i, j)) >= 75 * (a + b)
 
     want = []
     for x in rows:
         same = [y for y in rows if y[:2] == x[:2]]
         if x[1] >= 0:
-            want.append((*x, None, None, None))
+            want.append((*x, None, None, None, True))
         elif len(same) > jaccard_join.SHORT_LIST or any(fits(x, y) for y in same):
-            want.append((*x, *same[0][2:]))
-    assert got == want and len(want) < len(rows)
+            others = [y for y in same if y != same[0]]
+            again = x in others and (len(same) > jaccard_join.SHORT_LIST or any(fits(x, y, False) for y in others))
+            want.append((*x, *same[0][2:], again))
+    assert got == want and len(want) < len(rows) and not all(r[-1] for r in got)
 
 
 def test_sets_of_one_id_are_not_mixed(spark):
